@@ -180,35 +180,45 @@ _J3 = 151 * _E1 ** 3 / 96
 _J4 = 1097 * _E1 ** 4 / 512
 
 
-def utm_to_latlon(easting: ColumnOrName, northing: ColumnOrName, zone: int = 10,
-                  northern: bool = True) -> Column:
-    """Struct<lat double, long double> in degrees from UTM metres.
-
-    One expression for both outputs, so the shared terms are computed once
-    per row (subexpression elimination inside codegen).
+def with_utm_latlon(df, easting: str, northing: str, lat_out: str = "lat", long_out: str = "long",
+                   zone: int = 10, northern: bool = True, located: Column | None = None):
+    """Add ``lat_out`` / ``long_out`` (degrees) from UTM metres; DataFrame -> DataFrame.
+
+    The series is evaluated in a few stacked projections so every shared
+    term (footpoint latitude, its sine / cosine / tangent, radii) is computed
+    once per row; Catalyst keeps the stages apart because collapsing them
+    would duplicate non-trivial expressions. ``located`` (default: both
+    metres positive) decides which rows get coordinates; others get null.
     """
-    x = _c(easting).cast("double") - 500000.0
-    y = _c(northing).cast("double")
-    if not northern:
-        y = y - 10000000.0
-    mu = y / _K0 / _MU_DEN
-    p1 = (mu + F.lit(_J1) * F.sin(2 * mu) + F.lit(_J2) * F.sin(4 * mu)
-          + F.lit(_J3) * F.sin(6 * mu) + F.lit(_J4) * F.sin(8 * mu))
-    sin_p1 = F.sin(p1)
-    cos_p1 = F.cos(p1)
-    tan_p1 = F.tan(p1)
-    s2 = sin_p1 * sin_p1
-    cc = F.lit(_EP2) * cos_p1 * cos_p1
-    tt = tan_p1 * tan_p1
-    n1 = _A / F.sqrt(1 - _E2 * s2)
-    r = _A * (1 - _E2) / F.pow(1 - _E2 * s2, 1.5)
-    d = x / (n1 * _K0)
-    d2 = d * d
-    lat = p1 - (n1 * tan_p1 / r) * (
+    e, n = F.col(easting).cast("double"), F.col(northing).cast("double")
+    ok = located if located is not None else (e > 0) & (n > 0)
+    y = n if northern else n - 10000000.0
+    t = "__utm_"
+    mu = F.col(t + "mu")
+    s1 = df.select("*", ok.alias(t + "ok"), (e - 500000.0).alias(t + "x"), (y / _K0 / _MU_DEN).alias(t + "mu"))
+    s2 = s1.select("*", (mu + F.lit(_J1) * F.sin(2 * mu) + F.lit(_J2) * F.sin(4 * mu)
+                         + F.lit(_J3) * F.sin(6 * mu) + F.lit(_J4) * F.sin(8 * mu)).alias(t + "p1"))
+    p1 = F.col(t + "p1")
+    s3 = s2.select("*", F.sin(p1).alias(t + "sin"), F.cos(p1).alias(t + "cos"), F.tan(p1).alias(t + "tan"))
+    sn, cs, tn = F.col(t + "sin"), F.col(t + "cos"), F.col(t + "tan")
+    s4 = s3.select("*", (sn * sn).alias(t + "s2"), (F.lit(_EP2) * cs * cs).alias(t + "cc"),
+                   (tn * tn).alias(t + "tt"))
+    s2c = F.col(t + "s2")
+    s5 = s4.select("*", (_A / F.sqrt(1 - _E2 * s2c)).alias(t + "n1"),
+                   (_A * (1 - _E2) / F.pow(1 - _E2 * s2c, 1.5)).alias(t + "r"))
+    n1 = F.col(t + "n1")
+    s6 = s5.select("*", (F.col(t + "x") / (n1 * _K0)).alias(t + "d"))
+    d = F.col(t + "d")
+    s7 = s6.select("*", (d * d).alias(t + "d2"))
+    d2, cc, tt = F.col(t + "d2"), F.col(t + "cc"), F.col(t + "tt")
+    lat = p1 - (n1 * tn / F.col(t + "r")) * (
         d2 / 2
         - (5 + 3 * tt + 10 * cc - 4 * cc * cc - 9 * _EP2) * d2 * d2 / 24
         + (61 + 90 * tt + 298 * cc + 45 * tt * tt - 252 * _EP2 - 3 * cc * cc) * d2 * d2 * d2 / 720)
     lon = (d - (1 + 2 * tt + cc) * d2 * d / 6
-           + (5 - 2 * cc + 28 * tt - 3 * cc * cc + 8 * _EP2 + 24 * tt * tt) * d2 * d2 * d / 120) / cos_p1
+           + (5 - 2 * cc + 28 * tt - 3 * cc * cc + 8 * _EP2 + 24 * tt * tt) * d2 * d2 * d / 120) / cs
     central_meridian = float(zone * 6 - 183)
-    return F.struct(F.degrees(lat).alias("lat"), (F.degrees(lon) + central_meridian).alias("long"))
+    okc = F.col(t + "ok")
+    out = s7.select("*", F.when(okc, F.degrees(lat)).alias(lat_out),
+                    F.when(okc, F.degrees(lon) + central_meridian).alias(long_out))
+    return out.drop(*[c for c in out.columns if c.startswith(t)])

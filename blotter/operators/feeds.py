@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (hour_of, month_number, month_of, safe_cast,
-                         utm_to_latlon, year_of)
+                         with_utm_latlon, year_of)
 from ..schemas import INCIDENT_COLUMNS, INCIDENT_FIELDS
 from .classify import DROP, KEEP, REJECT, classify
 from .keys import with_content_key, with_random_key
@@ -89,12 +89,9 @@ def adapt_vancouver(raw: DataFrame, type_map: DataFrame, on_unmapped: str = REJE
     df = raw.na.fill(0, subset=["X", "Y"])
     if fill_missing_hour:
         df = df.na.fill(0, subset=["hour"])
-    ll = F.when((F.col("X") > 0) & (F.col("Y") > 0), utm_to_latlon("X", "Y", zone=zone))
-    df = (df.withColumn("__ll", ll)
-            .select(F.lit("Vancouver").alias("city"), F.col("subtype").alias("crimesub_type"),
-                    "year", "month", "hour", "neighbourhood",
-                    F.col("__ll.lat").alias("lat"), F.col("__ll.long").alias("long"),
-                    F.lit(1).alias("count")))
+    df = with_utm_latlon(df.drop("lat", "long"), "X", "Y", "lat", "long", zone=zone)
+    df = df.select(F.lit("Vancouver").alias("city"), F.col("subtype").alias("crimesub_type"),
+                   "year", "month", "hour", "neighbourhood", "lat", "long", F.lit(1).alias("count"))
     return _finish(df, type_map, on_unmapped, key)
 
 

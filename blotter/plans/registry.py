@@ -185,10 +185,8 @@ def q_gazetteer_build(spark, sf):
 # ---- X10, N1, F2-F6, X4, X2/N2, P4/P5, X5, F11 ----------------------------------
 
 def q_utm_to_latlon(spark, sf):
-    m = V.customer_metres(spark, sf)
-    ll = F.when((F.col("X") > 0) & (F.col("Y") > 0), X.utm_to_latlon("X", "Y", zone=10))
-    return (m.withColumn("__ll", ll)
-             .select("c_custkey", _r6(F.col("__ll.lat")).alias("lat"), _r6(F.col("__ll.long")).alias("long")))
+    m = X.with_utm_latlon(V.customer_metres(spark, sf), "X", "Y", "lat", "long", zone=10)
+    return m.select("c_custkey", _r6("lat").alias("lat"), _r6("long").alias("long"))
 
 
 def q_na_fill_zero(spark, sf):
