@@ -75,7 +75,6 @@ CTE = {
       FROM part GROUP BY p_name""",
 }
 
-DEPS = {"v1l": ["v1"], "g": [], "r": []}
 
 
 def W(names: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
@@ -337,7 +336,10 @@ SQL: dict[str, str] = {
         "nw.l_partkey = old.l_partkey AND nw.l_suppkey = old.l_suppkey) UNION ALL SELECT * FROM nw",
         [("vv", "SELECT l_orderkey, l_partkey, l_suppkey, year, count FROM v1"),
          ("old", "SELECT * FROM vv WHERE year <= 1998"),
-         ("nw", "SELECT l_orderkey, l_partkey, l_suppkey, year, count * 2 AS count FROM vv WHERE year >= 1997")]),
+         ("nw0", "SELECT l_orderkey, l_partkey, l_suppkey, year, count * 2 AS count FROM vv WHERE year >= 1997"),
+         # a keyed store holds one row per key: the greatest (year, count) wins
+         ("nw", "SELECT DISTINCT ON (l_orderkey, l_partkey, l_suppkey) * FROM nw0 "
+                "ORDER BY l_orderkey, l_partkey, l_suppkey, year DESC, count DESC")]),
     "feed_vancouver": _feed(_feed_vancouver),
     "feed_calgary": _feed(_feed_calgary),
     "feed_calgary_rejects": W(["v2", "loc", "tm_ev"],
