@@ -1,4 +1,18 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers: broadcast only behind a size check.
+
+Policy used throughout blotter:
+
+* dimensions whose size is fixed by code (inline lookup tables, generator
+  arrays) are hinted with :func:`fixed_broadcast`;
+* dimensions derived from data (gazetteer, place tables, supplier, part,
+  nation) get **no hint**. Spark's planner broadcasts them only if their
+  estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+  re-checks with the real shuffle sizes at runtime
+  (``spark.sql.adaptive.autoBroadcastJoinThreshold``); above the threshold
+  the join stays a sort-merge / shuffle-hash join, with AQE skew splitting.
+* :func:`bounded_broadcast` is the explicit form for callers that want a
+  hard row bound checked by a (cheap, LIMIT-ed) job before planning.
+"""
 
 from __future__ import annotations
 

@@ -3,7 +3,9 @@
 The gazetteer maps a locality text (``<neighbourhood>, Edmonton, Canada``)
 to coordinates, with (0.0, 0.0) meaning "looked up, not found". Lookups are
 joins against a reference place table supplied as data (``places``:
-locality, lat, long) instead of a per-row web call.
+locality, lat, long) instead of a per-row web call. Gazetteer and place
+tables grow with the data, so their joins carry no broadcast hint: the
+planner broadcasts them while they are small and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import default_zero, locality, neither_zero
-from .joins import bounded_broadcast
 from .upsert import upsert_by_key
 
 EDMONTON_SUFFIX = ", Edmonton, Canada"
@@ -30,7 +31,7 @@ def localities(df: DataFrame, neighbourhood_col: str = "neighbourhood",
 def resolve(locs: DataFrame, places: DataFrame) -> DataFrame:
     """Coordinates for each locality from ``places``; unknown -> (0.0, 0.0)."""
     p = places.select("locality", F.col("lat").alias("__lat"), F.col("long").alias("__long"))
-    return (locs.join(bounded_broadcast(p), "locality", "left")
+    return (locs.join(p, "locality", "left")
                 .select("locality", default_zero("__lat").alias("lat"),
                         default_zero("__long").alias("long")))
 
@@ -49,7 +50,7 @@ def missing_localities(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: s
     (the zero filter would otherwise have dropped them unseen).
     """
     loc = df.select(locality(neighbourhood_col, suffix).alias("locality")).filter(F.col("locality").isNotNull())
-    g = bounded_broadcast(gazetteer.select("locality"))
+    g = gazetteer.select("locality")
     return (loc.join(g, "locality", "left_anti")
                .groupBy("locality").agg(F.count(F.lit(1)).alias("n_incidents")))
 
@@ -62,7 +63,7 @@ def enrich(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: str = "neighb
     gazetteer entry at all (null), drops the row.
     """
     base = df.drop("lat", "long")
-    g = bounded_broadcast(gazetteer.select("locality", "lat", "long"))
+    g = gazetteer.select("locality", "lat", "long")
     out = (base.withColumn("locality", locality(neighbourhood_col, suffix))
                .join(g, "locality", "left"))
     if drop_unlocated:
@@ -78,7 +79,7 @@ def to_resolve(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: str = "ne
     if retry_not_found:
         nf = gazetteer.filter((F.col("lat") == 0) & (F.col("long") == 0)).select("locality")
         seen = localities(df, neighbourhood_col, suffix)
-        need = need.unionByName(seen.join(bounded_broadcast(nf), "locality", "left_semi"))
+        need = need.unionByName(seen.join(nf, "locality", "left_semi"))
     return need
 
 
@@ -102,12 +103,30 @@ class Refreshed:
 def refresh_and_enrich(df: DataFrame, gazetteer: DataFrame, places: DataFrame,
                        neighbourhood_col: str = "neighbourhood",
                        suffix: str = EDMONTON_SUFFIX, retry_not_found: bool = False) -> Refreshed:
-    """Resolve missing localities, upsert them, then enrich.
+    """Rows located with the gazetteer, falling back to ``places`` for
+    localities the gazetteer lacks, plus the refreshed gazetteer.
 
-    No branch on a count: when nothing is missing the upsert is a no-op.
+    The located rows come from one pass over ``df`` (two lookup joins); they
+    equal "resolve the missing localities, upsert them, then enrich", without
+    materialising the upsert first. The refreshed gazetteer is a separate
+    lazy output, computed only if the caller writes it. No branch on a count.
     """
-    g2, resolved = refresh_gazetteer(df, gazetteer, places, neighbourhood_col, suffix, retry_not_found)
-    all_rows = enrich(df, g2, neighbourhood_col, suffix, drop_unlocated=False)
+    g = gazetteer.select("locality", F.col("lat").alias("__g_lat"), F.col("long").alias("__g_long"),
+                         F.lit(True).alias("__in_g"))
+    p = places.select("locality", F.col("lat").alias("__p_lat"), F.col("long").alias("__p_long"))
+    use_g = F.col("__in_g").isNotNull()
+    if retry_not_found:
+        use_g = use_g & ~((F.col("__g_lat") == 0) & (F.col("__g_long") == 0))
+    all_rows = (df.drop("lat", "long")
+                  .withColumn("locality", locality(neighbourhood_col, suffix))
+                  .join(g, "locality", "left")
+                  .join(p, "locality", "left")
+                  .withColumn("lat", F.when(use_g, F.col("__g_lat"))
+                                      .when(F.col("locality").isNotNull(), default_zero("__p_lat")))
+                  .withColumn("long", F.when(use_g, F.col("__g_long"))
+                                       .when(F.col("locality").isNotNull(), default_zero("__p_long")))
+                  .drop("locality", "__g_lat", "__g_long", "__in_g", "__p_lat", "__p_long"))
     located = all_rows.filter(neither_zero("lat", "long"))
     unlocated = all_rows.filter(~F.coalesce(neither_zero("lat", "long"), F.lit(False)))
+    g2, resolved = refresh_gazetteer(df, gazetteer, places, neighbourhood_col, suffix, retry_not_found)
     return Refreshed(located, unlocated, g2, resolved)

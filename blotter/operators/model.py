@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions import contains_any, has_lat, not_both_zero, round_half_up
 from ..lookups import SCORE_YEAR, SUPPORTED_CITIES
-from .joins import bounded_broadcast
 from .keys import with_content_key, with_random_key
 
 FEATURES = ["lat", "long", "year", "code"]
@@ -39,7 +38,7 @@ def training_features(incidents: DataFrame, codes: DataFrame, digits: int = 4,
           .filter(has_lat("lat"))
           .filter(not_both_zero("lat", "long"))
           .select("lat", "long", "year", "crime_type", "count"))
-    c = bounded_broadcast(codes.select("code", "type_crime"))
+    c = codes.select("code", "type_crime")
     out = df.join(c, df["crime_type"] == c["type_crime"], "inner").select("lat", "long", "year", "code", "count")
     if key == "content":
         out = with_content_key(out)

@@ -20,7 +20,7 @@ from ..operators import feeds as FD
 from ..operators import locate as L
 from ..operators import model as M
 from ..operators import summaries as S
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import fixed_broadcast
 from ..operators.keys import with_content_key
 from ..operators.upsert import union_all, upsert_by_key
 from . import standins as V
@@ -107,7 +107,7 @@ def q_summaries_from_cube_season(spark, sf):
 # ---- J1-J3, E4 classification --------------------------------------------------
 
 def _v2_classified(spark, sf, policy):
-    return C.classify(V.v2(spark, sf), _tm_events(spark), on_unmapped=policy)
+    return C.classify(V.v2(spark, sf), _tm_events(spark), on_unmapped=policy, fixed_size=True)
 
 
 def q_classify_left(spark, sf):
@@ -126,7 +126,7 @@ def q_classify_rejects(spark, sf):
 
 def q_code_join(spark, sf):
     v = V.v1(spark, sf)
-    codes = bounded_broadcast(_codes_parts(spark))
+    codes = fixed_broadcast(_codes_parts(spark))
     return (v.join(codes, v["crime_type"] == codes["type_crime"], "inner")
              .select("l_orderkey", "l_partkey", "l_suppkey", "crime_type", "code"))
 
