@@ -36,6 +36,10 @@ class FeedResult:
     kept: DataFrame
     rejected: DataFrame
     gazetteer: DataFrame | None = None
+    # All canonical rows before the split, with ``reason`` (null = kept). A
+    # job that writes both outputs persists this once instead of running the
+    # adapter twice.
+    rows: DataFrame | None = None
 
 
 def canonical(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -59,20 +63,17 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
 
 def _finish(located: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
             unlocated: DataFrame | None = None) -> FeedResult:
-    c = classify(located, type_map, on_unmapped=on_unmapped)
-    kept = _keyed(canonical(c.kept), key)
-    rej_parts = []
-    if c.rejected is not None:
-        rej_parts.append(canonical(c.rejected).withColumn("reason", F.lit("unmapped_type")))
-    if unlocated is not None:
-        rej_parts.append(canonical(unlocated).withColumn("reason", F.lit("no_location")))
-    if rej_parts:
-        rejected = rej_parts[0]
-        for r in rej_parts[1:]:
-            rejected = rejected.unionByName(r)
+    c = classify(located, type_map, on_unmapped=DROP if on_unmapped == DROP else KEEP)
+    if on_unmapped == REJECT:
+        reason = F.when(F.col("crime_type").isNull(), F.lit("unmapped_type"))
     else:
-        rejected = canonical(located.limit(0)).withColumn("reason", F.lit(None).cast("string"))
-    return FeedResult(kept, rejected)
+        reason = F.lit(None).cast("string")
+    rows = canonical(c.kept, extra=[reason.alias("reason")])
+    if unlocated is not None:
+        rows = rows.unionByName(canonical(unlocated, extra=[F.lit("no_location").alias("reason")]))
+    kept = _keyed(rows.filter(F.col("reason").isNull()).drop("reason"), key)
+    rejected = rows.filter(F.col("reason").isNotNull())
+    return FeedResult(kept, rejected, rows=rows)
 
 
 # ---- C1: Vancouver (CSV, UTM metres) ---------------------------------------
@@ -123,9 +124,9 @@ def adapt_toronto(features: DataFrame, key: str = "content", count_per_incident:
         F.col("Lat").alias("lat"), F.col("Long").alias("long"),
         month_number("reportedmonth").alias("month"), F.col("Neighbourhood").alias("neighbourhood"),
         F.col("reportedyear").cast("int").alias("year"), F.lit(count_per_incident).alias("count"))
-    kept = _keyed(canonical(df), key)
-    rejected = canonical(df.limit(0)).withColumn("reason", F.lit(None).cast("string"))
-    return FeedResult(kept, rejected)
+    rows = canonical(df, extra=[F.lit(None).cast("string").alias("reason")])
+    kept = _keyed(rows.drop("reason"), key)
+    return FeedResult(kept, rows.filter(F.col("reason").isNotNull()), rows=rows)
 
 
 # ---- C4-C6: Ottawa / Victoria / Lethbridge (one adapter) -------------------

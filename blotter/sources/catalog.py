@@ -145,10 +145,10 @@ class Catalog:
         return cur
 
     # ---- append log keyed by batch id (idempotent on replay) -------------------
-    def write_epoch(self, name: str, df: DataFrame, epoch: int) -> str:
-        """Write one micro-batch's rows to ``<name>/epoch=<n>``; a replay of
-        the same batch overwrites the same folder instead of duplicating."""
-        p = f"{self._table_dir(name)}/epoch={int(epoch)}"
+    def write_epoch(self, name: str, df: DataFrame, epoch: int | str) -> str:
+        """Write one batch's rows to ``<name>/epoch=<id>``; a replay of the
+        same batch overwrites the same folder instead of duplicating."""
+        p = f"{self._table_dir(name)}/epoch={epoch}"
         df.write.mode("overwrite").parquet(p)
         return p
 
