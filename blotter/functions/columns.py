@@ -159,11 +159,31 @@ _NULL_MARK = "\u0000"
 
 
 def content_hash(*cols: ColumnOrName) -> Column:
-    """SHA-256 over the given columns; nulls and separators are unambiguous."""
+    """SHA-256 hex over the given columns; nulls and separators are unambiguous.
+
+    Portable text digest (same bytes in any engine); for keys inside Spark
+    prefer :func:`content_hash128`, which avoids building strings.
+    """
     parts = [F.coalesce(_c(c).cast("string"), F.lit(_NULL_MARK)) for c in cols]
     return F.sha2(F.concat_ws(_UNIT_SEP, *parts), 256)
 
 
+def content_hash128(*cols: ColumnOrName) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of the row content (128 bits together).
+
+    Typed hashing inside codegen, no string building. Spark's hash skips
+    nulls, so each column is followed by its null flag: (null, 'a') and
+    ('a', null) hash differently.
+    """
+    args = []
+    for c in cols:
+        col = _c(c)
+        args += [col, col.isNull()]
+    h1 = F.xxhash64(F.lit("blotter-h1"), *args)
+    h2 = F.xxhash64(F.lit("blotter-h2-salt"), *reversed(args))
+    return h1, h2
+
+
 # ---- X10: UTM -> latitude / longitude -------------------------------------
 # Inverse transverse Mercator on WGS84 (Snyder 1987, USGS PP 1395).
 

@@ -1,6 +1,6 @@
 """Row keys (X9): random UUIDs for parity, content keys for idempotent loads.
 
-A content key is ``sha256(row content) || '-' || occurrence`` where the
+A content key is ``hash128(row content) || '-' || occurrence`` where the
 occurrence number tells identical rows apart (identical incidents are
 legal, e.g. two thefts on one block in one hour). Re-running a load gives
 the same keys, so an upsert by key replaces instead of duplicating.
@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import content_hash
+from ..functions import content_hash128
+from ..session import ensure_checkpoint_dir
 
 
 def with_random_key(df: DataFrame, out: str = "uuid") -> DataFrame:
@@ -28,18 +29,40 @@ def with_random_key(df: DataFrame, out: str = "uuid") -> DataFrame:
 
 
 def with_content_key(df: DataFrame, cols: list[str] | None = None, out: str = "uuid",
-                     buckets: int = 32, seed: int = 17) -> DataFrame:
+                     buckets: int = 32, seed: int = 17, materialize: bool = True) -> DataFrame:
+    """Add ``out`` = ``<32 hex digits of a 128-bit content hash>-<occurrence>``.
+
+    Plan: one shuffle of the rows by (hash, salt) numbers them inside each
+    bucket. That numbered frame is checkpointed to the shared
+    ``spark.checkpoint.dir`` (eager, reliable -- never a local checkpoint), so
+    the bucket sizes and the final join read the *same* salts and numbers
+    and a lost executor re-reads the checkpoint instead of re-drawing salts.
+    A narrow shuffle of bucket sizes by hash gives each bucket's start; only
+    non-zero starts (buckets after the first of a repeated content) are
+    joined back, so for mostly distinct rows that side is small and AQE
+    broadcasts it.
+
+    ``materialize=False`` skips the checkpoint and relies on the seeded salt
+    replaying identically in both branches (same input splits) -- lazy, but
+    only for inputs whose partitioning is stable.
+    """
     cols = cols or [c for c in df.columns if c != out]
-    h, s, i, n, off = "__key_h", "__key_s", "__key_i", "__key_n", "__key_off"
+    h1, h2, s, i, off = "__key_h1", "__key_h2", "__key_s", "__key_i", "__key_off"
     base = df.drop(out) if out in df.columns else df
-    x = (base.withColumn(h, content_hash(*cols))
+    a, b = content_hash128(*cols)
+    hk = [h1, h2]
+    x = (base.withColumn(h1, a).withColumn(h2, b)
              .withColumn(s, F.floor(F.rand(seed) * buckets).cast("int")))
     # number rows inside (hash, salt); order among identical rows is immaterial
-    x = x.withColumn(i, F.row_number().over(Window.partitionBy(h, s).orderBy(h)) - 1)
-    # starting offset of each salt bucket within its hash group
-    counts = x.groupBy(h, s).agg(F.count(F.lit(1)).alias(n))
-    before = Window.partitionBy(h).orderBy(s).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(h, s, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
-    keyed = x.join(offsets, [h, s], "inner")
-    return (keyed.withColumn(out, F.concat_ws("-", F.col(h), (F.col(off) + F.col(i)).cast("string")))
-                 .drop(h, s, i, off))
+    x = x.withColumn(i, F.row_number().over(Window.partitionBy(*hk, s).orderBy(h1)) - 1)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        x = x.checkpoint(eager=True)
+    sizes = x.groupBy(*hk, s).agg((F.max(i) + 1).alias("__key_n"))
+    before = Window.partitionBy(*hk).orderBy(s).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (sizes.select(*hk, s, F.sum("__key_n").over(before).alias(off))
+                    .filter(F.col(off).isNotNull() & (F.col(off) > 0)))
+    keyed = x.join(offsets, [*hk, s], "left")
+    occ = F.coalesce(F.col(off), F.lit(0)) + F.col(i)
+    key = F.format_string("%016x%016x-%d", F.col(h1), F.col(h2), occ)
+    return keyed.withColumn(out, key).drop(h1, h2, s, i, off)

@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # reliable checkpoints (content keys, summary cube) are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -52,7 +54,7 @@ def get_spark(master: str | None = None, app_name: str = "blotter",
 def apply_session_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable defaults to an existing session."""
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.ui") or k.startswith("spark.sql.execution.arrow"):
+        if not k.startswith("spark.sql.") or k.startswith("spark.sql.execution.arrow"):
             continue
         try:
             spark.conf.set(k, v)

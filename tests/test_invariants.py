@@ -70,9 +70,10 @@ def test_content_keys_unique_and_partition_independent(spark, sf_dir):
     v = V.v1(spark, sf_dir).select(*cols)
     k1 = with_content_key(v, cols).select("uuid")
     k2 = with_content_key(v.repartition(5), cols, buckets=3).select("uuid")
+    k3 = with_content_key(v.repartition(3), cols, buckets=7, materialize=False).select("uuid")
     n = v.count()
     assert k1.distinct().count() == n
-    assert _set(k1) == _set(k2)
+    assert _set(k1) == _set(k2) == _set(k3)
 
 
 def test_hot_key_numbering(spark):
