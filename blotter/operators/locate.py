@@ -75,10 +75,11 @@ def to_resolve(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: str = "ne
                suffix: str = EDMONTON_SUFFIX, retry_not_found: bool = False) -> DataFrame:
     """Localities of ``df`` that need a lookup: missing, and optionally the
     ones recorded as not found (0.0, 0.0) so a better source can fill them."""
-    need = missing_localities(df, gazetteer, neighbourhood_col, suffix).select("locality")
+    seen = localities(df, neighbourhood_col, suffix)          # one distinct pass over df
+    g = gazetteer.select("locality")
+    need = seen.join(g, "locality", "left_anti")
     if retry_not_found:
         nf = gazetteer.filter((F.col("lat") == 0) & (F.col("long") == 0)).select("locality")
-        seen = localities(df, neighbourhood_col, suffix)
         need = need.unionByName(seen.join(nf, "locality", "left_semi"))
     return need
 
