@@ -70,7 +70,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder made here; a cluster without the setting is an error rather than
     a silent machine-local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server's setting applies
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         if not sc.master.startswith("local"):

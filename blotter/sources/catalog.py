@@ -3,12 +3,15 @@
 A table lives under ``<root>/<name>/`` as numbered version directories
 ``v00000001/ …``; a version is visible once Spark's ``_SUCCESS`` marker is
 written, so readers never see a half-written table and a failed job leaves
-the previous version in place. An upsert reads the current version and
-writes the next one -- it never overwrites a path its own plan reads.
-
-The incident table is partitioned by ``city``: a feed reload replaces only
-its own city's partition (dynamic partition overwrite), and city filters
-prune files at planning time.
+the previous version in place. An upsert of an unpartitioned table reads
+the current version and writes the next one -- it never overwrites a path
+its own plan reads.
+
+The incident table is partitioned by ``city``: a feed load merges into, or a
+reload replaces, only its own city partitions. Those rows are staged in the
+shared checkpoint folder and swapped in by dynamic partition overwrite, so
+the cost follows the city, not the table (the swap is per partition, not
+atomic across partitions). City filters prune files at planning time.
 """
 
 from __future__ import annotations
@@ -91,22 +94,32 @@ class Catalog:
         merged = upsert_by_key(self.read(name), new, keys)
         return self.write(name, merged)
 
-    # ---- K3: replace one city's partition -------------------------------------
+    # ---- K3: replace whole partitions (a city reload) -------------------------
     def replace_partitions(self, name: str, df: DataFrame) -> str:
-        """New version = old rows of partitions absent from ``df`` + ``df``.
+        """Replace the partitions present in ``df`` with ``df``; others untouched.
 
-        Written as a new version (not an in-place overwrite) so readers of
-        the current version are never disturbed.
+        Cost is proportional to the reloaded partitions, not the table: the
+        new rows are staged in the shared checkpoint folder (so ``df`` may even
+        be derived from this table) and swapped in by dynamic partition
+        overwrite.
         """
         parts = PARTITIONS.get(name)
         if not parts:
             raise ValueError(f"table {name!r} is not partitioned")
         if not self.exists(name):
             return self.write(name, df)
-        old = self.read(name)
-        touched = df.select(*parts).distinct()
-        kept = old.join(touched, parts, "left_anti")
-        return self.write(name, kept.unionByName(df.select(*old.columns)))
+        cur = self.current_path(name)
+        cols = self.spark.read.parquet(cur).columns
+        self._swap_in(cur, df.select(*cols), parts)
+        return cur
+
+    def _swap_in(self, cur: str, rows: DataFrame, parts: list[str]) -> None:
+        stage = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/blotter-stage-{uuid.uuid4().hex}"
+        rows.write.mode("errorifexists").partitionBy(*parts).parquet(stage)
+        staged = self.spark.read.parquet(stage).select(*rows.columns)
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(*parts).parquet(cur))
+        self._fs.delete(self._Path(stage), True)
 
     # ---- K1 on a partitioned table: merge only the touched partitions ---------
     def merge_partitions(self, name: str, new: DataFrame, keys: list[str]) -> str:
@@ -136,12 +149,7 @@ class Catalog:
                 c = e if c is None else (c & e)
             cond = c if cond is None else (cond | c)
         merged = upsert_by_key(old.filter(cond), new.select(*old.columns), keys)
-        stage = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/blotter-stage-{uuid.uuid4().hex}"
-        merged.write.mode("errorifexists").partitionBy(*parts).parquet(stage)
-        staged = self.spark.read.parquet(stage).select(*old.columns)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*parts).parquet(cur))
-        self._fs.delete(self._Path(stage), True)
+        self._swap_in(cur, merged, parts)
         return cur
 
     # ---- append log keyed by batch id (idempotent on replay) -------------------

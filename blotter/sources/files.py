@@ -29,16 +29,20 @@ def read_type_map_csv(spark: SparkSession, path: str, schema: T.StructType = TYP
 
 
 def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType = VANCOUVER_SCHEMA) -> DataFrame:
-    """Header CSV; columns bound by the declared schema's names.
+    """Header CSV whose columns are bound to ``schema`` by *name*.
 
-    ``enforceSchema=False`` makes Spark check the header against the schema
-    names, so a reordered file is caught instead of silently mis-bound.
+    The file is read as text columns named by its header (no inference
+    pass), then each declared field is taken by name and cast with
+    ``try_cast``: a file with its columns in another order binds correctly,
+    and a bad value becomes null instead of failing the job. A declared
+    field missing from the header is an error.
     """
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    have = set(raw.columns)
+    missing = [f.name for f in schema.fields if f.name not in have]
+    if missing:
+        raise ValueError(f"CSV header lacks declared columns {missing}")
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType = SOCRATA_INCIDENT_SCHEMA,

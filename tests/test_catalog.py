@@ -14,11 +14,13 @@ def test_versions_upsert_and_partition_merge(spark, tmp_path):
     cat.merge_partitions("incidents", b, ["uuid"])
     assert sorted((r["uuid"], r["count"]) for r in cat.read("incidents").collect()) == \
         [("u1", 1), ("u2", 20), ("u3", 3)]
-    # a city reload replaces that city only, as a new version
+    # a city reload replaces that city only; other partitions are not rewritten
+    ott_files = sorted(p.name for p in (tmp_path / "wh" / "incidents" / "v00000001" / "city=Ottawa").iterdir())
     c = spark.createDataFrame([("u9", "Calgary", 9)], "uuid string, city string, count int")
     cat.replace_partitions("incidents", c)
-    assert cat.versions("incidents") == [1, 2]
+    assert cat.versions("incidents") == [1]
     assert sorted(r["uuid"] for r in cat.read("incidents").collect()) == ["u2", "u3", "u9"]
+    assert sorted(p.name for p in (tmp_path / "wh" / "incidents" / "v00000001" / "city=Ottawa").iterdir()) == ott_files
 
 
 def test_upsert_unpartitioned(spark, tmp_path):

@@ -151,3 +151,20 @@ def test_union_of_feeds_is_order_independent(spark, tmp_path, tm):
     a = spark.createDataFrame([("x", 1)], "crime_type string, count int")
     b = spark.createDataFrame([(2, "y")], "count int, crime_type string")
     assert sorted(map(tuple, union_all([a, b]).collect())) == sorted(map(tuple, union_all([b, a]).select("crime_type", "count").collect()))
+
+
+def test_header_csv_binds_by_name(spark, tmp_path, tm):
+    p = tmp_path / "van_reordered.csv"
+    p.write_text("Y,X,neighbourhood,hundred_block,minute,hour,day,month,year,subtype\n"
+                 "5459000.0,491000.0,Downtown,1XX Main,0,14,1,5,2018,Theft of Vehicle\n"
+                 "5459000.0,491000.0,Downtown,1XX Main,0,notanhour,1,5,2018,Theft of Vehicle\n")
+    raw = S.read_csv_with_header(spark, str(p))
+    assert raw.columns == ["subtype", "year", "month", "day", "hour", "minute", "hundred_block",
+                           "neighbourhood", "X", "Y"]
+    rows = FD.adapt_vancouver(raw, tm, key="none").kept.collect()
+    assert {r["hour"] for r in rows} == {14, None}
+    assert all(round(r["lat"], 6) == 49.283686 for r in rows)
+    bad = tmp_path / "bad.csv"
+    bad.write_text("subtype,year\nx,2018\n")
+    with pytest.raises(ValueError):
+        S.read_csv_with_header(spark, str(bad))
