@@ -207,38 +207,47 @@ def with_utm_latlon(df, easting: str, northing: str, lat_out: str = "lat", long_
     The series is evaluated in a few stacked projections so every shared
     term (footpoint latitude, its sine / cosine / tangent, radii) is computed
     once per row; Catalyst keeps the stages apart because collapsing them
-    would duplicate non-trivial expressions. ``located`` (default: both
-    metres positive) decides which rows get coordinates; others get null.
+    would duplicate non-trivial expressions. Each stage is one SQL expression
+    string (a single parse instead of hundreds of Column calls). ``located``
+    (default: both metres positive) decides which rows get coordinates;
+    others get null.
     """
-    e, n = F.col(easting).cast("double"), F.col(northing).cast("double")
-    ok = located if located is not None else (e > 0) & (n > 0)
-    y = n if northern else n - 10000000.0
     t = "__utm_"
-    mu = F.col(t + "mu")
-    s1 = df.select("*", ok.alias(t + "ok"), (e - 500000.0).alias(t + "x"), (y / _K0 / _MU_DEN).alias(t + "mu"))
-    s2 = s1.select("*", (mu + F.lit(_J1) * F.sin(2 * mu) + F.lit(_J2) * F.sin(4 * mu)
-                         + F.lit(_J3) * F.sin(6 * mu) + F.lit(_J4) * F.sin(8 * mu)).alias(t + "p1"))
-    p1 = F.col(t + "p1")
-    s3 = s2.select("*", F.sin(p1).alias(t + "sin"), F.cos(p1).alias(t + "cos"), F.tan(p1).alias(t + "tan"))
-    sn, cs, tn = F.col(t + "sin"), F.col(t + "cos"), F.col(t + "tan")
-    s4 = s3.select("*", (sn * sn).alias(t + "s2"), (F.lit(_EP2) * cs * cs).alias(t + "cc"),
-                   (tn * tn).alias(t + "tt"))
-    s2c = F.col(t + "s2")
-    s5 = s4.select("*", (_A / F.sqrt(1 - _E2 * s2c)).alias(t + "n1"),
-                   (_A * (1 - _E2) / F.pow(1 - _E2 * s2c, 1.5)).alias(t + "r"))
-    n1 = F.col(t + "n1")
-    s6 = s5.select("*", (F.col(t + "x") / (n1 * _K0)).alias(t + "d"))
-    d = F.col(t + "d")
-    s7 = s6.select("*", (d * d).alias(t + "d2"))
-    d2, cc, tt = F.col(t + "d2"), F.col(t + "cc"), F.col(t + "tt")
-    lat = p1 - (n1 * tn / F.col(t + "r")) * (
-        d2 / 2
-        - (5 + 3 * tt + 10 * cc - 4 * cc * cc - 9 * _EP2) * d2 * d2 / 24
-        + (61 + 90 * tt + 298 * cc + 45 * tt * tt - 252 * _EP2 - 3 * cc * cc) * d2 * d2 * d2 / 720)
-    lon = (d - (1 + 2 * tt + cc) * d2 * d / 6
-           + (5 - 2 * cc + 28 * tt - 3 * cc * cc + 8 * _EP2 + 24 * tt * tt) * d2 * d2 * d / 120) / cs
+    e = f"CAST(`{easting}` AS DOUBLE)"
+    n = f"CAST(`{northing}` AS DOUBLE)"
+    y = n if northern else f"({n} - 10000000.0)"
+    ok = located if located is not None else (F.col(easting) > 0) & (F.col(northing) > 0)
+
+    def lit(v: float) -> str:
+        return f"CAST('{v!r}' AS DOUBLE)"
+
+    s1 = df.select("*", ok.alias(t + "ok"),
+                   F.expr(f"{e} - 500000.0").alias(t + "x"),
+                   F.expr(f"{y} / {lit(_K0)} / {lit(_MU_DEN)}").alias(t + "mu"))
+    mu = t + "mu"
+    s2 = s1.select("*", F.expr(f"{mu} + {lit(_J1)} * sin(2 * {mu}) + {lit(_J2)} * sin(4 * {mu})"
+                               f" + {lit(_J3)} * sin(6 * {mu}) + {lit(_J4)} * sin(8 * {mu})").alias(t + "p1"))
+    p1 = t + "p1"
+    s3 = s2.selectExpr("*", f"sin({p1}) AS {t}sin", f"cos({p1}) AS {t}cos", f"tan({p1}) AS {t}tan")
+    sn, cs, tn = t + "sin", t + "cos", t + "tan"
+    s4 = s3.selectExpr("*", f"{sn} * {sn} AS {t}s2", f"{lit(_EP2)} * {cs} * {cs} AS {t}cc",
+                       f"{tn} * {tn} AS {t}tt")
+    s2c, cc, tt = t + "s2", t + "cc", t + "tt"
+    s5 = s4.selectExpr("*", f"{lit(_A)} / sqrt(1 - {lit(_E2)} * {s2c}) AS {t}n1",
+                       f"{lit(_A * (1 - _E2))} / pow(1 - {lit(_E2)} * {s2c}, 1.5) AS {t}r")
+    n1, r = t + "n1", t + "r"
+    s6 = s5.selectExpr("*", f"{t}x / ({n1} * {lit(_K0)}) AS {t}d")
+    d = t + "d"
+    s7 = s6.selectExpr("*", f"{d} * {d} AS {t}d2")
+    d2 = t + "d2"
+    lat = (f"{p1} - ({n1} * {tn} / {r}) * ({d2} / 2"
+           f" - (5 + 3 * {tt} + 10 * {cc} - 4 * {cc} * {cc} - {lit(9 * _EP2)}) * {d2} * {d2} / 24"
+           f" + (61 + 90 * {tt} + 298 * {cc} + 45 * {tt} * {tt} - {lit(252 * _EP2)} - 3 * {cc} * {cc})"
+           f" * {d2} * {d2} * {d2} / 720)")
+    lon = (f"({d} - (1 + 2 * {tt} + {cc}) * {d2} * {d} / 6"
+           f" + (5 - 2 * {cc} + 28 * {tt} - 3 * {cc} * {cc} + {lit(8 * _EP2)} + 24 * {tt} * {tt})"
+           f" * {d2} * {d2} * {d} / 120) / {cs}")
     central_meridian = float(zone * 6 - 183)
-    okc = F.col(t + "ok")
-    out = s7.select("*", F.when(okc, F.degrees(lat)).alias(lat_out),
-                    F.when(okc, F.degrees(lon) + central_meridian).alias(long_out))
+    out = s7.selectExpr("*", f"CASE WHEN {t}ok THEN degrees({lat}) END AS `{lat_out}`",
+                        f"CASE WHEN {t}ok THEN degrees({lon}) + {lit(central_meridian)} END AS `{long_out}`")
     return out.drop(*[c for c in out.columns if c.startswith(t)])

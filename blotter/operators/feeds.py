@@ -42,13 +42,15 @@ class FeedResult:
     rows: DataFrame | None = None
 
 
-def canonical(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Project to the canonical columns, in order and with canonical types."""
-    cols = []
-    for name in INCIDENT_COLUMNS:
-        t = CANON_TYPES[name]
-        cols.append((F.col(name) if name in df.columns else F.lit(None)).cast(t).alias(name))
-    return df.select(*cols, *(extra or []))
+def canonical(df: DataFrame, extra: list | None = None) -> DataFrame:
+    """Project to the canonical columns, in order and with canonical types
+    (absent columns become typed nulls)."""
+    have = set(df.columns)
+    exprs = [f"CAST({('`' + n + '`') if n in have else 'NULL'} AS {CANON_TYPES[n].simpleString()}) AS `{n}`"
+             for n in INCIDENT_COLUMNS]
+    if not extra:
+        return df.selectExpr(*exprs)
+    return df.select(*[F.expr(x) for x in exprs], *extra)
 
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
