@@ -7,16 +7,18 @@ the previous version in place. An upsert of an unpartitioned table reads
 the current version and writes the next one -- it never overwrites a path
 its own plan reads.
 
-The incident table is partitioned by ``city``: a feed load merges into, or a
-reload replaces, only its own city partitions. Those rows are staged in the
-shared checkpoint folder and swapped in by dynamic partition overwrite, so
-the cost follows the city, not the table (the swap is per partition, not
-atomic across partitions). City filters prune files at planning time.
+The incident table is partitioned by ``(city, year)``: a feed load merges
+into only the (city, year) partitions its rows touch, and a reload replaces
+only its cities. Those rows are staged in the shared checkpoint folder and
+swapped in by dynamic partition overwrite, so the cost follows the data
+loaded, not the table (the swap is per partition, not atomic across
+partitions). City and year filters prune folders at planning time.
 """
 
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,11 @@ from pyspark.sql import functions as F
 from ..operators.upsert import upsert_by_key
 from ..session import ensure_checkpoint_dir
 
-# Tables and their partition columns.
-PARTITIONS = {"incidents": ["city"]}
+# Tables and their partition columns. Incidents are partitioned by city and
+# year: a load touches only the (city, year) partitions of its rows, and year
+# ranges prune files like city lists do.
+PARTITIONS = {"incidents": ["city", "year"]}
+_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Catalog:
@@ -96,12 +101,14 @@ class Catalog:
 
     # ---- K3: replace whole partitions (a city reload) -------------------------
     def replace_partitions(self, name: str, df: DataFrame) -> str:
-        """Replace the partitions present in ``df`` with ``df``; others untouched.
-
-        Cost is proportional to the reloaded partitions, not the table: the
-        new rows are staged in the shared checkpoint folder (so ``df`` may even
-        be derived from this table) and swapped in by dynamic partition
-        overwrite.
+        """Replace every partition of the top-level values in ``df`` (for
+        incidents: each city in ``df``) with ``df``; other cities untouched.
+
+        Cost is proportional to the reloaded cities, not the table: the new
+        rows are staged in the shared checkpoint folder (so ``df`` may even be
+        derived from this table), swapped in by dynamic partition overwrite,
+        and then the reloaded cities' sub-partitions that ``df`` no longer has
+        (e.g. a year dropped from the feed) are removed.
         """
         parts = PARTITIONS.get(name)
         if not parts:
@@ -110,9 +117,41 @@ class Catalog:
             return self.write(name, df)
         cur = self.current_path(name)
         cols = self.spark.read.parquet(cur).columns
-        self._swap_in(cur, df.select(*cols), parts)
+        rows = df.select(*cols)
+        self._swap_in(cur, rows, parts)
+        if len(parts) > 1:
+            # bounded: one row per (city, year) present in the reload
+            present = {tuple(r) for r in rows.select(*parts).distinct().collect()}
+            self._drop_stale(cur, parts, present)
         return cur
 
+    def _drop_stale(self, cur: str, parts: list[str], present: set[tuple]) -> None:
+        """Delete sub-partition folders of the reloaded top-level values that
+        are not in ``present``. Folder names are decoded, never built, so no
+        path-escaping rule has to be reproduced here."""
+        def decode(name: str, col: str):
+            v = unquote(name[len(col) + 1:])
+            return None if v == _NULL_PART else v
+
+        def walk(path, depth: int, prefix: tuple):
+            for st in self._fs.listStatus(path):
+                nm = st.getPath().getName()
+                col = parts[depth]
+                if not st.isDirectory() or not nm.startswith(col + "="):
+                    continue
+                key = prefix + (decode(nm, col),)
+                if depth == 0 and key[0] not in tops:
+                    continue
+                if depth == len(parts) - 1:
+                    if tuple(str(x) if x is not None else None for x in key) not in present_str:
+                        self._fs.delete(st.getPath(), True)
+                else:
+                    walk(st.getPath(), depth + 1, key)
+
+        present_str = {tuple(str(x) if x is not None else None for x in p) for p in present}
+        tops = {str(t) if t is not None else None for t in tops}
+        walk(self._Path(cur), 0, ())
+
     def _swap_in(self, cur: str, rows: DataFrame, parts: list[str]) -> None:
         stage = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/blotter-stage-{uuid.uuid4().hex}"
         rows.write.mode("errorifexists").partitionBy(*parts).parquet(stage)

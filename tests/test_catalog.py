@@ -4,9 +4,11 @@ from blotter.sources.catalog import Catalog
 def test_versions_upsert_and_partition_merge(spark, tmp_path):
     cat = Catalog(spark, str(tmp_path / "wh"))
     a = spark.createDataFrame([("u1", "Calgary", 1), ("u2", "Ottawa", 2)], "uuid string, city string, count int")
+    a = a.withColumn("year", a["count"] * 0 + 2015)
     cat.write("incidents", a)
     assert cat.versions("incidents") == [1]
     b = spark.createDataFrame([("u2", "Ottawa", 20), ("u3", "Ottawa", 3)], "uuid string, city string, count int")
+    b = b.withColumn("year", b["count"] * 0 + 2015)
     cat.merge_partitions("incidents", b, ["uuid"])
     got = sorted((r["uuid"], r["city"], r["count"]) for r in cat.read("incidents").collect())
     assert got == [("u1", "Calgary", 1), ("u2", "Ottawa", 20), ("u3", "Ottawa", 3)]
@@ -15,12 +17,25 @@ def test_versions_upsert_and_partition_merge(spark, tmp_path):
     assert sorted((r["uuid"], r["count"]) for r in cat.read("incidents").collect()) == \
         [("u1", 1), ("u2", 20), ("u3", 3)]
     # a city reload replaces that city only; other partitions are not rewritten
-    ott_files = sorted(p.name for p in (tmp_path / "wh" / "incidents" / "v00000001" / "city=Ottawa").iterdir())
+    ott = tmp_path / "wh" / "incidents" / "v00000001" / "city=Ottawa"
+    ott_files = sorted(str(p) for p in ott.rglob("*.parquet"))
     c = spark.createDataFrame([("u9", "Calgary", 9)], "uuid string, city string, count int")
+    c = c.withColumn("year", c["count"] * 0 + 2015)
     cat.replace_partitions("incidents", c)
     assert cat.versions("incidents") == [1]
     assert sorted(r["uuid"] for r in cat.read("incidents").collect()) == ["u2", "u3", "u9"]
-    assert sorted(p.name for p in (tmp_path / "wh" / "incidents" / "v00000001" / "city=Ottawa").iterdir()) == ott_files
+    assert sorted(str(p) for p in ott.rglob("*.parquet")) == ott_files
+
+
+def test_city_reload_drops_years_no_longer_in_feed(spark, tmp_path):
+    cat = Catalog(spark, str(tmp_path / "wh"))
+    schema = "uuid string, city string, year int, count int"
+    cat.write("incidents", spark.createDataFrame(
+        [("a", "St. John's/East", 2015, 1), ("b", "St. John's/East", 2016, 1), ("c", "St. John's/East", None, 1),
+         ("d", "Ottawa", 2015, 1)], schema))
+    cat.replace_partitions("incidents", spark.createDataFrame([("e", "St. John's/East", 2016, 5)], schema))
+    got = sorted((r["uuid"], r["city"], r["year"]) for r in cat.read("incidents").collect())
+    assert got == [("d", "Ottawa", 2015), ("e", "St. John's/East", 2016)]
 
 
 def test_upsert_unpartitioned(spark, tmp_path):

@@ -37,10 +37,10 @@ def test_partition_pruning_and_pushdown_on_incident_table(spark, sf_dir, tmp_pat
     df = S.summary_by_hour(inc, V.V1_YEARS, V.V1_HOUR_EXCLUDED)
     plan = _plan(df)
     scan = [l for l in plan.splitlines() if "FileScan parquet" in l][0]
-    assert re.search(r"PartitionFilters: \[.*city", scan), scan          # city filter prunes partitions
-    assert re.search(r"PushedFilters: \[.*year", scan), scan             # year range reaches the scan
+    parts = re.search(r"PartitionFilters: \[([^\]]*)\]", scan).group(1)
+    assert "city" in parts and "year" in parts, scan                     # both prune folders
     schema = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
-    assert set(f.split(":")[0] for f in schema.split(",")) == {"year", "hour", "count"}
+    assert set(f.split(":")[0] for f in schema.split(",")) == {"hour", "count"}
     # and the result equals the direct computation
     direct = S.summary_by_hour(V.v1(spark, sf_dir), V.V1_YEARS, V.V1_HOUR_EXCLUDED)
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, direct.collect()))
