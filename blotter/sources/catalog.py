@@ -149,7 +149,7 @@ class Catalog:
                     walk(st.getPath(), depth + 1, key)
 
         present_str = {tuple(str(x) if x is not None else None for x in p) for p in present}
-        tops = {str(t) if t is not None else None for t in tops}
+        tops = {str(p[0]) if p[0] is not None else None for p in present}
         walk(self._Path(cur), 0, ())
 
     def _swap_in(self, cur: str, rows: DataFrame, parts: list[str]) -> None:
