@@ -33,3 +33,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["city", "crime_type", "year", "count"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, sf_dir, con, name):
+    df = E.queries()[name](spark, sf_dir)
+    spark_types = {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes}
+    rel = con.sql(SQLS[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert spark_types == duck_types
