@@ -82,11 +82,22 @@ def build_pipeline(max_depth: int = 5, max_iter: int = 100, seed: int = 50, step
     return Pipeline(stages=[identity, assemble, gbt])
 
 
-def fit(train: DataFrame, label: str = "count", **params) -> PipelineModel:
-    """Fit on rows with a label and complete features (GBT rejects null labels)."""
+def fit(train: DataFrame, label: str = "count", deterministic: bool = True, key: str = "uuid",
+        partitions: int | None = None, **params) -> PipelineModel:
+    """Fit on rows with a label and complete features (GBT rejects null labels).
+
+    With ``deterministic`` the rows get a fixed layout before the fit --
+    hash-partitioned by ``key`` into a fixed number of partitions and sorted
+    within them -- so the seeded split finding and boosting see the same
+    data order on every run, whatever the upstream partitioning was.
+    """
     clean = train.filter(F.col(label).isNotNull())
     for c in FEATURES:
         clean = clean.filter(F.col(c).isNotNull())
+    if deterministic:
+        order = [key] if key in clean.columns else FEATURES + [label]
+        n = partitions or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        clean = clean.repartition(n, *order).sortWithinPartitions(*order)
     return build_pipeline(label=label, **params).fit(clean)
 
 

@@ -71,3 +71,12 @@ def test_split_is_deterministic(spark):
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
     n = a.count()
     assert 500 < n < 700
+
+
+def test_fit_is_partitioning_independent(spark, incidents):
+    f = M.training_features(incidents, code_table_df(spark))
+    m1 = M.fit(f.repartition(3), max_iter=4)
+    m2 = M.fit(f.repartition(7).orderBy(F.rand(3)), max_iter=4)
+    a = sorted(r[0] for r in m1.transform(f).select("prediction").collect())
+    b = sorted(r[0] for r in m2.transform(f).select("prediction").collect())
+    assert a == b
