@@ -168,3 +168,14 @@ def test_header_csv_binds_by_name(spark, tmp_path, tm):
     bad.write_text("subtype,year\nx,2018\n")
     with pytest.raises(ValueError):
         S.read_csv_with_header(spark, str(bad))
+
+
+def test_calgary_geocode_as_map(spark, tm):
+    # records inferred from API dicts carry the geocode as a map, not a struct
+    raw = spark.createDataFrame(
+        [("Beltline", "Assault (Non-domestic)", "3", "2018", "2018-02-01T00:00:00.000",
+          {"latitude": "51.05", "longitude": "-114.07"})],
+        "community_name string, category string, count string, year string, date string, "
+        "geocoded_column map<string,string>")
+    r = FD.adapt_calgary(raw, tm, key="none").kept.first()
+    assert (r["lat"], r["long"], r["crime_type"]) == (51.05, -114.07, "Assault")
