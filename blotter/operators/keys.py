@@ -9,8 +9,8 @@ Numbering identical rows needs them side by side, and one content value may
 hold a large share of a table. The numbering is therefore salted: each row
 draws one of ``buckets`` salts, rows are numbered inside (hash, salt), and a
 per-(hash, salt) count table -- at most ``buckets`` rows per hash -- turns
-bucket-local numbers into 0..n-1 for the whole group. No task holds more
-than about 1/buckets of a hot group. Identical rows are interchangeable, so
+bucket-local numbers into 0..n-1 for the whole group. No window group holds
+more than about 1/buckets of a hot content. Identical rows are interchangeable, so
 the set of keys is the same on every run whatever salt each row drew.
 """
 
@@ -28,8 +28,15 @@ def with_random_key(df: DataFrame, out: str = "uuid") -> DataFrame:
     return df.withColumn(out, F.expr("uuid()"))
 
 
+# Salt buckets per content hash. A content with n copies occupies at most
+# min(n, SALT_BUCKETS) buckets, so a large value costs nothing for ordinary
+# data, while a content holding a third of 10^12 rows is cut into window
+# groups of ~5 * 10^6 rows.
+SALT_BUCKETS = 1 << 16
+
+
 def with_content_key(df: DataFrame, cols: list[str] | None = None, out: str = "uuid",
-                     buckets: int = 32, seed: int = 17, materialize: bool = True) -> DataFrame:
+                     buckets: int = SALT_BUCKETS, seed: int = 17, materialize: bool = True) -> DataFrame:
     """Add ``out`` = ``<32 hex digits of a 128-bit content hash>-<occurrence>``.
 
     Plan: one shuffle of the rows by (hash, salt) numbers them inside each

@@ -2,6 +2,7 @@
 summaries, kept + rejected = input, upsert is idempotent, keys are stable
 and unique, cube-derived summaries equal direct ones."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter.operators import classify as C
@@ -76,10 +77,11 @@ def test_content_keys_unique_and_partition_independent(spark, sf_dir):
     assert _set(k1) == _set(k2) == _set(k3)
 
 
-def test_hot_key_numbering(spark):
+@pytest.mark.parametrize("buckets", [16, None])
+def test_hot_key_numbering(spark, buckets):
     # one content value holding most rows: numbers must be 0..n-1
     df = spark.range(5000).select(F.when(F.col("id") < 4000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("x"))
-    keyed = with_content_key(df, ["x"], buckets=16)
+    keyed = with_content_key(df, ["x"], **({"buckets": buckets} if buckets else {}))
     occ = keyed.filter(F.col("x") == "hot").select(F.split("uuid", "-").getItem(1).cast("int").alias("o"))
     got = [r[0] for r in occ.orderBy("o").collect()]
     assert got == list(range(4000))
