@@ -31,6 +31,24 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
+                 min_partitions: int = 200) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input.
+
+    Start with about one shuffle partition per 128 MB of input so a stage
+    over the whole table never has partitions too large for executor memory;
+    AQE then coalesces small ones (and splits skewed ones) at runtime.
+    Pass the result as ``get_spark(extra=...)``.
+    """
+    n = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def get_spark(master: str | None = None, app_name: str = "blotter",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
