@@ -20,12 +20,10 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .lookups import code_table_df, type_map_df
 from .operators import feeds as FD
 from .operators import locate as L
-from .operators.joins import bounded_broadcast
 from .plans import jobs as J
 from .schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, GAZETTEER_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
                       VANCOUVER_SCHEMA)
@@ -38,11 +36,9 @@ FEEDS = ("vancouver", "calgary", "toronto", "edmonton") + SOCRATA_CITIES
 
 
 def _type_map(cat: Catalog) -> DataFrame:
-    """The loaded sub-type map, broadcast behind a row-count check, or the
-    built-in one (fixed size)."""
-    if cat.exists("crime_type"):
-        return bounded_broadcast(cat.read("crime_type"), J.LOOKUP_MAX_ROWS)
-    return F.broadcast(type_map_df(cat.spark))
+    """The loaded sub-type map, or the built-in one (the adapters broadcast
+    it after a row-count check)."""
+    return cat.read("crime_type") if cat.exists("crime_type") else type_map_df(cat.spark)
 
 
 def _read_table_file(spark: SparkSession, path: str, schema) -> DataFrame:

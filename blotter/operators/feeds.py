@@ -64,8 +64,8 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
 
 
 def _finish(located: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
-            unlocated: DataFrame | None = None) -> FeedResult:
-    c = classify(located, type_map, on_unmapped=DROP if on_unmapped == DROP else KEEP)
+            unlocated: DataFrame | None = None, broadcast: str = "check") -> FeedResult:
+    c = classify(located, type_map, on_unmapped=DROP if on_unmapped == DROP else KEEP, broadcast=broadcast)
     if on_unmapped == REJECT:
         reason = F.when(F.col("crime_type").isNull(), F.lit("unmapped_type"))
     else:
@@ -82,7 +82,7 @@ def _finish(located: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
 
 def adapt_vancouver(raw: DataFrame, type_map: DataFrame, on_unmapped: str = REJECT,
                     key: str = "content", fill_missing_hour: bool = False,
-                    zone: int = 10) -> FeedResult:
+                    zone: int = 10, broadcast: str = "check") -> FeedResult:
     """Metres -> degrees where both X and Y are positive, else no coordinates.
 
     Every input row appears exactly once (the X == 0 rows are not doubled and
@@ -95,20 +95,20 @@ def adapt_vancouver(raw: DataFrame, type_map: DataFrame, on_unmapped: str = REJE
     df = with_utm_latlon(df.drop("lat", "long"), "X", "Y", "lat", "long", zone=zone)
     df = df.select(F.lit("Vancouver").alias("city"), F.col("subtype").alias("crimesub_type"),
                    "year", "month", "hour", "neighbourhood", "lat", "long", F.lit(1).alias("count"))
-    return _finish(df, type_map, on_unmapped, key)
+    return _finish(df, type_map, on_unmapped, key, broadcast=broadcast)
 
 
 # ---- C2: Calgary (JSON records, nested geocode) ----------------------------
 
 def adapt_calgary(raw: DataFrame, type_map: DataFrame, on_unmapped: str = REJECT,
-                  key: str = "content") -> FeedResult:
+                  key: str = "content", broadcast: str = "check") -> FeedResult:
     g = F.col("geocoded_column")
     df = raw.select(
         F.lit("Calgary").alias("city"), F.col("community_name").alias("neighbourhood"),
         F.col("category").alias("crimesub_type"), safe_cast("count", "int").alias("count"),
         safe_cast("year", "int").alias("year"), month_of("date").alias("month"), hour_of("date").alias("hour"),
         safe_cast(g["longitude"], "double").alias("long"), safe_cast(g["latitude"], "double").alias("lat"))
-    return _finish(df, type_map, on_unmapped, key)
+    return _finish(df, type_map, on_unmapped, key, broadcast=broadcast)
 
 
 # ---- C3: Toronto (GeoJSON features) -----------------------------------------
@@ -134,7 +134,7 @@ def adapt_toronto(features: DataFrame, key: str = "content", count_per_incident:
 # ---- C4-C6: Ottawa / Victoria / Lethbridge (one adapter) -------------------
 
 def adapt_socrata(raw: DataFrame, type_map: DataFrame, on_unmapped: str = DROP,
-                  key: str = "content") -> FeedResult:
+                  key: str = "content", broadcast: str = "check") -> FeedResult:
     """City comes from the record; unmapped sub-types are dropped (inner)."""
     df = raw.select(
         "city", F.col("parent_incident_type").alias("crimesub_type"),
@@ -142,14 +142,14 @@ def adapt_socrata(raw: DataFrame, type_map: DataFrame, on_unmapped: str = DROP,
         safe_cast("hour_of_day", "int").alias("hour"),
         year_of("incident_datetime").alias("year"), month_of("incident_datetime").alias("month"),
         F.lit(1).alias("count"), F.col("address_1").alias("neighbourhood"))
-    return _finish(df, type_map, on_unmapped, key)
+    return _finish(df, type_map, on_unmapped, key, broadcast=broadcast)
 
 
 # ---- C7: Edmonton (all-string records + gazetteer) -------------------------
 
 def adapt_edmonton(raw: DataFrame, type_map: DataFrame, gazetteer: DataFrame, places: DataFrame,
                    on_unmapped: str = REJECT, key: str = "content",
-                   suffix: str = EDMONTON_SUFFIX) -> FeedResult:
+                   suffix: str = EDMONTON_SUFFIX, broadcast: str = "check") -> FeedResult:
     """Monthly counts per neighbourhood; coordinates from the gazetteer.
 
     Localities missing from the gazetteer are resolved against ``places``
@@ -161,7 +161,7 @@ def adapt_edmonton(raw: DataFrame, type_map: DataFrame, gazetteer: DataFrame, pl
         safe_cast("month", "int").alias("month"), safe_cast("count", "int").alias("count"),
         F.lit("Edmonton").alias("city"), F.lit(0).alias("hour"))
     r = refresh_and_enrich(df, gazetteer, places, "neighbourhood", suffix)
-    out = _finish(r.located, type_map, on_unmapped, key, unlocated=r.unlocated)
+    out = _finish(r.located, type_map, on_unmapped, key, unlocated=r.unlocated, broadcast=broadcast)
     out.gazetteer = r.gazetteer
     return out
 

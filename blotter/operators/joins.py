@@ -10,8 +10,10 @@ Policy used throughout blotter:
   re-checks with the real shuffle sizes at runtime
   (``spark.sql.adaptive.autoBroadcastJoinThreshold``); above the threshold
   the join stays a sort-merge / shuffle-hash join, with AQE skew splitting.
-* :func:`bounded_broadcast` is the explicit form for callers that want a
-  hard row bound checked by a (cheap, LIMIT-ed) job before planning.
+* lookup tables of the incident taxonomy (sub-type map, code table) go
+  through :func:`lookup_side`: hinted when fixed by code, otherwise after
+  :func:`bounded_broadcast` has checked a hard row bound with one cheap,
+  LIMIT-ed job -- so a feed is never shuffled for its type lookup.
 """
 
 from __future__ import annotations
@@ -24,6 +26,10 @@ from pyspark.sql import functions as F
 # shuffle join (and AQE may still switch to broadcast from runtime sizes).
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
+# Lookup tables (sub-type map, code table) hold one row per type: they are
+# broadcast after a LIMIT-ed count shows at most this many rows.
+LOOKUP_MAX_ROWS = 100_000
+
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hint ``dim`` only if it provably has at most ``max_rows`` rows.
@@ -39,3 +45,16 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def fixed_broadcast(dim: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size is fixed by code (an inline table)."""
     return F.broadcast(dim)
+
+
+def lookup_side(dim: DataFrame, broadcast: str = "check") -> DataFrame:
+    """The small side of a lookup join under a broadcast policy:
+    ``fixed`` (size fixed by code: hint), ``check`` (hint after a row-count
+    check, else leave to the planner) or ``planner`` (no hint)."""
+    if broadcast == "fixed":
+        return fixed_broadcast(dim)
+    if broadcast == "check":
+        return bounded_broadcast(dim, LOOKUP_MAX_ROWS)
+    if broadcast == "planner":
+        return dim
+    raise ValueError(f"unknown broadcast policy {broadcast!r}")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import contains_any, has_lat, not_both_zero, round_half_up
 from ..lookups import SCORE_YEAR, SUPPORTED_CITIES
-from .joins import fixed_broadcast
+from .joins import lookup_side
 from .keys import with_content_key, with_random_key
 
 FEATURES = ["lat", "long", "year", "code"]
@@ -27,13 +27,12 @@ FEATURES = ["lat", "long", "year", "code"]
 # ---- M1: feature table -------------------------------------------------------
 
 def training_features(incidents: DataFrame, codes: DataFrame, digits: int = 4,
-                      key: str = "content", fixed_size: bool = False) -> DataFrame:
+                      key: str = "content", broadcast: str = "check") -> DataFrame:
     """(uuid, lat, long, year, code, count) from located, coded incidents.
 
     Coordinates are rounded to ``digits``; null latitude and (0, 0) rows are
-    dropped; the type -> code join is an inner join. ``fixed_size=True``
-    (an inline code table) broadcasts the codes outright; otherwise the
-    planner's size check decides.
+    dropped; the type -> code join is an inner join against the broadcast
+    code table (policy ``broadcast``, see :func:`joins.lookup_side`).
     """
     df = (incidents
           .withColumn("lat", round_half_up(F.col("lat").cast("double"), digits))
@@ -41,9 +40,7 @@ def training_features(incidents: DataFrame, codes: DataFrame, digits: int = 4,
           .filter(has_lat("lat"))
           .filter(not_both_zero("lat", "long"))
           .select("lat", "long", "year", "crime_type", "count"))
-    c = codes.select("code", "type_crime")
-    if fixed_size:
-        c = fixed_broadcast(c)
+    c = lookup_side(codes.select("code", "type_crime"), broadcast)
     out = df.join(c, df["crime_type"] == c["type_crime"], "inner").select("lat", "long", "year", "code", "count")
     if key == "content":
         out = with_content_key(out)

@@ -23,15 +23,11 @@ from ..operators import model as M
 from ..operators import summaries as S
 from ..operators.classify import reject_report
 from ..operators.feeds import FeedResult
-from ..operators.joins import bounded_broadcast
 from ..session import ensure_checkpoint_dir
 from ..sources.catalog import Catalog
 
 SUMMARY_TABLES = ["crimes_yoy", "crimes_typ", "crimes_hr", "crimes_dl", "crimes_ss"]
 
-# Lookup tables (sub-type map, code table) read from the catalogue are
-# broadcast only after a LIMIT-ed count shows at most this many rows.
-LOOKUP_MAX_ROWS = 100_000
 
 
 def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
@@ -68,12 +64,12 @@ def rebuild_summaries(catalog: Catalog, years=SUMMARY_YEARS, hour_exclude=HOUR_E
 
 def build_training(catalog: Catalog, codes: DataFrame | None = None, table: str = "incidents",
                    out: str = "training") -> str:
-    """The code table is broadcast: inline, or behind a row-count check when
-    it comes from a table (one row per crime type)."""
+    """The code table is broadcast: the inline one outright, a loaded one
+    behind a row-count check (one row per crime type)."""
     if codes is None:
-        feats = M.training_features(catalog.read(table), code_table_df(catalog.spark), fixed_size=True)
+        feats = M.training_features(catalog.read(table), code_table_df(catalog.spark), broadcast="fixed")
     else:
-        feats = M.training_features(catalog.read(table), bounded_broadcast(codes, LOOKUP_MAX_ROWS))
+        feats = M.training_features(catalog.read(table), codes, broadcast="check")
     return catalog.write(out, feats)
 
 

@@ -107,7 +107,7 @@ def q_summaries_from_cube_season(spark, sf):
 # ---- J1-J3, E4 classification --------------------------------------------------
 
 def _v2_classified(spark, sf, policy):
-    return C.classify(V.v2(spark, sf), _tm_events(spark), on_unmapped=policy, fixed_size=True)
+    return C.classify(V.v2(spark, sf), _tm_events(spark), on_unmapped=policy, broadcast="fixed")
 
 
 def q_classify_left(spark, sf):
@@ -249,7 +249,7 @@ def q_any_city_gate(spark, sf):
 # ---- M1, A9, M2 ---------------------------------------------------------------------
 
 def q_training_features(spark, sf):
-    return M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="none", fixed_size=True)
+    return M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="none", broadcast="fixed")
 
 
 def q_rmse_metric(spark, sf):
@@ -265,7 +265,7 @@ def q_key_split(spark, sf):
 
 def q_gbt_score(spark, sf):
     """Fit on V1 features (key split 60/40), score gated customer locations."""
-    feats = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="content", fixed_size=True)
+    feats = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="content", broadcast="fixed")
     train, _ = M.key_split(feats, "uuid", 60, hashed=True)
     model = M.fit(train)
     locs = M.gate_locations(V.customer_locations(spark, sf), cities=V.GATE_CITIES).filter("supported")
