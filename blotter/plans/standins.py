@@ -15,12 +15,9 @@ Lookups used here are small inline tables whose size is fixed by this file.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import round_half_up
 from ..operators.joins import fixed_broadcast
 
 # FIXED VALUES: stand-in type map for event types. 'signup' is absent so
@@ -43,8 +40,6 @@ V2_YEARS = (2023, 2024)
 # FIXED VALUES: stand-in supported cities for the address gate.
 GATE_CITIES = ["NATION_1", "NATION_3", "NATION_5", "NATION_7", "NATION_11", "NATION_13", "NATION_17"]
 
-STEP = Decimal("0.001")
-
 
 _TABLES: dict[tuple[int, str, str], DataFrame] = {}
 
@@ -238,7 +233,3 @@ def raw_edmonton(spark, sf_dir) -> DataFrame:
 
 def grid_offsets(steps: int = 10) -> list[int]:
     return [k for k in range(-steps, steps + 1) if k != 0]
-
-
-def round3(c):
-    return round_half_up(c, 3)

@@ -1,14 +1,8 @@
 import math
 
-from pyspark.sql import functions as F
-
 from blotter import functions as X
 
 
-def _one(spark, expr, schema="x int", rows=((None,),)):
-    return spark.createDataFrame(list(rows), schema).select(expr.alias("r")).first()["r"]
-
-
 def test_utm_sample_point(spark):
     df = spark.createDataFrame([(491000.0, 5459000.0)], "E double, N double")
     r = X.with_utm_latlon(df, "E", "N").first()
