@@ -35,3 +35,42 @@ def test_stream_ingest_is_idempotent(spark, tmp_path):
     q = start_feed_stream(spark, str(land), SOCRATA_INCIDENT_SCHEMA, adapt, cat, name="t", checkpoint=ck)
     q.awaitTermination(120)
     assert cat.read("incidents").count() == 2
+
+
+def test_stream_replay_after_crash_is_idempotent(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    rec = {"incident_datetime": "2018-03-01T10:00:00.000", "address_1": "9 Bank", "city": "Ottawa",
+           "latitude": "45.4", "longitude": "-75.7", "hour_of_day": "10", "parent_incident_type": "Alarm"}
+    _land(land, "a.json", [rec, dict(rec, hour_of_day="11"), dict(rec, parent_incident_type="Unlisted")])
+    cat = Catalog(spark, str(tmp_path / "wh"))
+    tm = type_map_df(spark)
+
+    class Crash(Exception):
+        pass
+
+    state = {"crash": True}
+
+    class FlakyCatalog(Catalog):
+        def write_epoch(self, name, df, epoch):
+            if state["crash"]:
+                state["crash"] = False
+                raise Crash("executor lost after the incident merge")
+            return super().write_epoch(name, df, epoch)
+
+    flaky = FlakyCatalog(spark, str(tmp_path / "wh"))
+
+    def adapt(df):
+        return adapt_socrata(df, tm, on_unmapped="reject")
+
+    ck = str(tmp_path / "ckpt")
+    q = start_feed_stream(spark, str(land), SOCRATA_INCIDENT_SCHEMA, adapt, flaky, name="c", checkpoint=ck)
+    try:
+        q.awaitTermination(120)
+    except Exception:
+        pass
+    assert cat.read("incidents").count() == 2                    # merged before the crash
+    q = start_feed_stream(spark, str(land), SOCRATA_INCIDENT_SCHEMA, adapt, flaky, name="c", checkpoint=ck)
+    q.awaitTermination(120)                                      # the batch is replayed
+    assert cat.read("incidents").count() == 2                    # no duplicates from the replay
+    assert cat.read_log("incident_rejects").count() == 1
