@@ -4,7 +4,7 @@
     python -m blotter --warehouse W load-codes
     python -m blotter --warehouse W load-feed vancouver landed/van/ --load-id van-2020-01
     python -m blotter --warehouse W load-feed edmonton landed/edm/ --places places.csv --load-id edm-1
-    python -m blotter --warehouse W summaries
+    python -m blotter --warehouse W summaries            # incremental; --full rebuilds
     python -m blotter --warehouse W training
     python -m blotter --warehouse W train --model W/models/gbt
     python -m blotter --warehouse W score locations.csv --model W/models/gbt
@@ -103,7 +103,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p = sub.add_parser("gazetteer")
     p.add_argument("records")
     p.add_argument("--places", required=True)
-    sub.add_parser("summaries")
+    p = sub.add_parser("summaries")
+    p.add_argument("--full", action="store_true", help="rebuild from the whole table")
     sub.add_parser("training")
     p = sub.add_parser("train")
     p.add_argument("--model", required=True)
@@ -128,7 +129,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         places = _read_table_file(spark, args.places, GAZETTEER_SCHEMA)
         print(cat.upsert("gazetteer", L.build_gazetteer(recs, places), ["locality"]))
     elif args.cmd == "summaries":
-        print(J.rebuild_summaries(cat))
+        print(J.rebuild_summaries(cat) if args.full else J.refresh_summaries(cat))
     elif args.cmd == "training":
         codes = cat.read("crime_code") if cat.exists("crime_code") else None
         print(J.build_training(cat, codes))

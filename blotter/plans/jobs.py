@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..lookups import (CRIME_CODE_ROWS, DAYLIGHT_EXCLUDED_CITIES, HOUR_EXCLUDED_CITIES, SCORE_CODES,
                        SCORE_YEAR, SUMMARY_YEARS, code_table_df)
@@ -30,15 +31,22 @@ SUMMARY_TABLES = ["crimes_yoy", "crimes_typ", "crimes_hr", "crimes_dl", "crimes_
 
 
 
+DIRTY_LOG = "dirty_partitions"
+CUBE_TABLE = "summary_cube"
+
+
 def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
               table: str = "incidents", reject_table: str = "incident_rejects") -> dict[str, str]:
-    """Write one feed load. Kept rows merge into their city partitions by
-    key (a re-run of the same load changes nothing); rejects go to the log
-    under ``load_id`` (a re-run rewrites that entry)."""
+    """Write one feed load. Kept rows merge into their (city, year)
+    partitions by key (a re-run of the same load changes nothing); rejects go
+    to the log under ``load_id`` (a re-run rewrites that entry); the touched
+    (city, year) pairs go to the dirty-partition log that
+    :func:`refresh_summaries` consumes."""
     rows = result.rows.persist(StorageLevel.MEMORY_AND_DISK) if result.rows is not None else None
     try:
         out = {"incidents": catalog.merge_partitions(table, result.kept, ["uuid"]),
-               "rejects": catalog.write_epoch(reject_table, result.rejected, load_id)}
+               "rejects": catalog.write_epoch(reject_table, result.rejected, load_id),
+               "dirty": catalog.write_epoch(DIRTY_LOG, result.kept.select("city", "year").distinct(), load_id)}
     finally:
         if rows is not None:
             rows.unpersist()
@@ -62,6 +70,45 @@ def rebuild_summaries(catalog: Catalog, years=SUMMARY_YEARS, hour_exclude=HOUR_E
     return {name: catalog.write(name, outs[name]) for name in SUMMARY_TABLES}
 
 
+def refresh_summaries(catalog: Catalog, years=SUMMARY_YEARS, hour_exclude=HOUR_EXCLUDED_CITIES,
+                      daylight_exclude=DAYLIGHT_EXCLUDED_CITIES, table: str = "incidents") -> dict[str, str]:
+    """Incremental form of :func:`rebuild_summaries`.
+
+    SUM is decomposable and the incident table is partitioned by
+    (city, year), so only the cube rows of the (city, year) pairs loaded since
+    the last refresh are recomputed -- from those partitions alone (pruned
+    reads) -- and spliced into the stored cube; the five summaries are then
+    rebuilt whole from the small cube. The first call builds the cube from
+    the whole table. Dirty-log entries are listed before reading and only
+    those are cleared, so a load racing the refresh is picked up next time.
+    """
+    spark = catalog.spark
+    entries = catalog.log_entries(DIRTY_LOG)
+    inc = catalog.read(table)
+    if not catalog.exists(CUBE_TABLE):
+        cube = S.summary_cube(inc)
+    elif not entries:
+        cube = catalog.read(CUBE_TABLE)
+    else:
+        # bounded: one row per (city, year) loaded since the last refresh
+        dirty = [tuple(r) for r in catalog.read_log_entries(DIRTY_LOG, entries)
+                 .select("city", "year").distinct().collect()]
+        cond = None
+        for city, year in dirty:
+            c = (F.col("city").eqNullSafe(F.lit(city)) & F.col("year").eqNullSafe(F.lit(year)))
+            cond = c if cond is None else (cond | c)
+        old = catalog.read(CUBE_TABLE)
+        fresh = S.summary_cube(inc.filter(cond))
+        cube = old.filter(~cond).unionByName(fresh.select(*old.columns))
+    path = catalog.write(CUBE_TABLE, cube)
+    catalog.delete_paths(entries)
+    ensure_checkpoint_dir(spark)
+    outs = S.all_summaries(None, years, hour_exclude, daylight_exclude, cube=spark.read.parquet(path))
+    written = {name: catalog.write(name, outs[name]) for name in SUMMARY_TABLES}
+    written[CUBE_TABLE] = path
+    return written
+
+
 def build_training(catalog: Catalog, codes: DataFrame | None = None, table: str = "incidents",
                    out: str = "training") -> str:
     """The code table is broadcast: the inline one outright, a loaded one

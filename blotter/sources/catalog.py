@@ -201,3 +201,18 @@ class Catalog:
 
     def read_log(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._table_dir(name))
+
+    def log_entries(self, name: str) -> list[str]:
+        """Paths of the batch folders of an append log (listed, not read)."""
+        d = self._Path(self._table_dir(name))
+        if not self._fs.exists(d):
+            return []
+        return sorted(str(st.getPath()) for st in self._fs.listStatus(d)
+                      if st.isDirectory() and st.getPath().getName().startswith("epoch="))
+
+    def read_log_entries(self, name: str, paths: list[str]) -> DataFrame:
+        return self.spark.read.option("basePath", self._table_dir(name)).parquet(*paths)
+
+    def delete_paths(self, paths: list[str]) -> None:
+        for p in paths:
+            self._fs.delete(self._Path(p), True)
