@@ -3,7 +3,8 @@
 A file-source stream picks up newly landed feed files; each micro-batch
 runs the same adapter as the batch loader and merges the kept rows into the
 incident table by content key, touching only the cities in the batch. The
-rejects go to a log folder per batch id (a replay rewrites that folder). Progress lives in a checkpoint
+rejects and the touched (city, year) partitions go to log folders per batch
+id (a replay rewrites them), so summaries refresh incrementally. Progress lives in a checkpoint
 under the session's shared ``spark.checkpoint.dir``, so a restarted job
 resumes where it stopped; a replayed micro-batch produces the same content
 keys and therefore the same table.
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.feeds import FeedResult
+from ..plans.jobs import load_feed
 from ..session import ensure_checkpoint_dir
 from ..sources.catalog import Catalog
 
@@ -34,9 +36,9 @@ def start_feed_stream(spark: SparkSession, source_dir: str, schema: T.StructType
               .format(fmt).load(source_dir))
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        res = adapt(batch)
-        catalog.merge_partitions(table, res.kept, ["uuid"])
-        catalog.write_epoch(reject_table, res.rejected, epoch_id)
+        # the batch job: keyed merge, reject log and dirty-partition log, all
+        # under a load id derived from the batch id (a replay rewrites them)
+        load_feed(catalog, adapt(batch), f"{name}-{epoch_id}", table=table, reject_table=reject_table)
 
     w = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", ckpt).queryName(f"blotter_{name}"))
