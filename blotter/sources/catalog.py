@@ -72,6 +72,23 @@ class Catalog:
                     used.append(int(n[1:]))
         return f"{self._table_dir(name)}/v{max(used) + 1:08d}"
 
+    def vacuum(self, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` committed versions (and any
+        uncommitted folder older than them). Readers of a removed version
+        must have finished; keep >= 2 leaves the previous one for them."""
+        d = self._Path(self._table_dir(name))
+        if keep < 1 or not self._fs.exists(d):
+            return []
+        live = self.versions(name)[-keep:]
+        cutoff = live[0] if live else 0
+        removed = []
+        for st in self._fs.listStatus(d):
+            n = st.getPath().getName()
+            if n.startswith("v") and n[1:].isdigit() and int(n[1:]) < cutoff:
+                self._fs.delete(st.getPath(), True)
+                removed.append(str(st.getPath()))
+        return sorted(removed)
+
     # ---- S7: read -------------------------------------------------------------
     def exists(self, name: str) -> bool:
         return self.current_path(name) is not None

@@ -46,3 +46,12 @@ def test_upsert_unpartitioned(spark, tmp_path):
     cat.upsert("gazetteer", g2, ["locality"])
     assert sorted(tuple(r) for r in cat.read("gazetteer").collect()) == [("A", 3.0, 4.0), ("B", 5.0, 6.0)]
     assert cat.versions("gazetteer") == [1, 2]
+
+
+def test_vacuum_keeps_newest_versions(spark, tmp_path):
+    cat = Catalog(spark, str(tmp_path / "wh"))
+    for i in range(4):
+        cat.write("crimes_typ", spark.createDataFrame([("T", i)], "crime_type string, count bigint"))
+    removed = cat.vacuum("crimes_typ", keep=2)
+    assert len(removed) == 2 and cat.versions("crimes_typ") == [3, 4]
+    assert cat.read("crimes_typ").first()["count"] == 3
