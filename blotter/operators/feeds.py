@@ -16,8 +16,6 @@ The unmapped-type rule is a parameter of each adapter (``on_unmapped``):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,15 +29,30 @@ from .locate import EDMONTON_SUFFIX, refresh_and_enrich
 CANON_TYPES = dict(INCIDENT_FIELDS)
 
 
-@dataclass
 class FeedResult:
-    kept: DataFrame
-    rejected: DataFrame
-    gazetteer: DataFrame | None = None
-    # All canonical rows before the split, with ``reason`` (null = kept). A
-    # job that writes both outputs persists this once instead of running the
-    # adapter twice.
-    rows: DataFrame | None = None
+    """Adapter output.
+
+    ``rows`` holds all canonical rows before the split, with ``reason``
+    (null = kept). ``kept`` (keyed) and ``rejected`` are derived from it on
+    first use, so a job can persist ``rows`` first and both outputs -- and
+    the content-key checkpoint -- read the feed once.
+    """
+
+    def __init__(self, rows: DataFrame, key: str = "content", gazetteer: DataFrame | None = None):
+        self.rows = rows
+        self.key = key
+        self.gazetteer = gazetteer
+        self._kept: DataFrame | None = None
+
+    @property
+    def kept(self) -> DataFrame:
+        if self._kept is None:
+            self._kept = _keyed(self.rows.filter(F.col("reason").isNull()).drop("reason"), self.key)
+        return self._kept
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.rows.filter(F.col("reason").isNotNull())
 
 
 def canonical(df: DataFrame, extra: list | None = None) -> DataFrame:
@@ -73,9 +86,7 @@ def _finish(located: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
     rows = canonical(c.kept, extra=[reason.alias("reason")])
     if unlocated is not None:
         rows = rows.unionByName(canonical(unlocated, extra=[F.lit("no_location").alias("reason")]))
-    kept = _keyed(rows.filter(F.col("reason").isNull()).drop("reason"), key)
-    rejected = rows.filter(F.col("reason").isNotNull())
-    return FeedResult(kept, rejected, rows=rows)
+    return FeedResult(rows, key)
 
 
 # ---- C1: Vancouver (CSV, UTM metres) ---------------------------------------
@@ -126,9 +137,7 @@ def adapt_toronto(features: DataFrame, key: str = "content", count_per_incident:
         F.col("Lat").alias("lat"), F.col("Long").alias("long"),
         month_number("reportedmonth").alias("month"), F.col("Neighbourhood").alias("neighbourhood"),
         F.col("reportedyear").cast("int").alias("year"), F.lit(count_per_incident).alias("count"))
-    rows = canonical(df, extra=[F.lit(None).cast("string").alias("reason")])
-    kept = _keyed(rows.drop("reason"), key)
-    return FeedResult(kept, rows.filter(F.col("reason").isNotNull()), rows=rows)
+    return FeedResult(canonical(df, extra=[F.lit(None).cast("string").alias("reason")]), key)
 
 
 # ---- C4-C6: Ottawa / Victoria / Lethbridge (one adapter) -------------------

@@ -42,14 +42,13 @@ def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
     to the log under ``load_id`` (a re-run rewrites that entry); the touched
     (city, year) pairs go to the dirty-partition log that
     :func:`refresh_summaries` consumes."""
-    rows = result.rows.persist(StorageLevel.MEMORY_AND_DISK) if result.rows is not None else None
+    rows = result.rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = {"incidents": catalog.merge_partitions(table, result.kept, ["uuid"]),
                "rejects": catalog.write_epoch(reject_table, result.rejected, load_id),
                "dirty": catalog.write_epoch(DIRTY_LOG, result.kept.select("city", "year").distinct(), load_id)}
     finally:
-        if rows is not None:
-            rows.unpersist()
+        rows.unpersist()
     return out
 
 
