@@ -80,3 +80,22 @@ def test_fit_is_partitioning_independent(spark, incidents):
     a = sorted(r[0] for r in m1.transform(f).select("prediction").collect())
     b = sorted(r[0] for r in m2.transform(f).select("prediction").collect())
     assert a == b
+
+
+def test_pipeline_stages_and_parameters():
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    stages = M.build_pipeline().getStages()
+    assert [type(s) for s in stages] == [SQLTransformer, VectorAssembler, GBTRegressor]
+    assert stages[0].getStatement() == "select * from __THIS__"
+    assert stages[1].getInputCols() == ["lat", "long", "year", "code"]
+    assert stages[1].getHandleInvalid() == "skip"
+    g = stages[2]
+    assert (g.getMaxDepth(), g.getMaxIter(), g.getSeed(), g.getStepSize(), g.getLabelCol()) == (5, 100, 50, 0.1, "count")
+
+
+def test_case_insensitive_columns_in_scoring(spark):
+    # locations arriving with capitalised Lat / Long resolve to lat / long
+    locs = spark.createDataFrame([(1, 49.2827, -123.1207)], "loc_id int, Lat double, Long double")
+    g = M.neighbourhood_grid(locs.select("loc_id", "lat", "long"))
+    assert g.columns == ["loc_id", "lat", "long"] and g.count() == 20
