@@ -82,7 +82,7 @@ def test_fit_is_partitioning_independent(spark, incidents):
     assert a == b
 
 
-def test_pipeline_stages_and_parameters():
+def test_pipeline_stages_and_parameters(spark):
     from pyspark.ml.feature import SQLTransformer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
     stages = M.build_pipeline().getStages()
