@@ -57,9 +57,10 @@ class FeedResult:
 
 def canonical(df: DataFrame, extra: list | None = None) -> DataFrame:
     """Project to the canonical columns, in order and with canonical types
-    (absent columns become typed nulls)."""
+    (absent columns become typed nulls; ``TRY_CAST`` so a stray bad value
+    is null rather than a failed job under ANSI mode)."""
     have = set(df.columns)
-    exprs = [f"CAST({('`' + n + '`') if n in have else 'NULL'} AS {CANON_TYPES[n].simpleString()}) AS `{n}`"
+    exprs = [f"TRY_CAST({('`' + n + '`') if n in have else 'NULL'} AS {CANON_TYPES[n].simpleString()}) AS `{n}`"
              for n in INCIDENT_COLUMNS]
     if not extra:
         return df.selectExpr(*exprs)
