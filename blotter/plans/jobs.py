@@ -1,8 +1,11 @@
 """End-to-end batch jobs over the table catalogue.
 
 * :func:`load_feed`         -- adapter output -> incidents (merge by key into
-  the feed's city partitions) + reject log + unmapped-type report.
+  the feed's (city, year) partitions) + reject log + dirty-partition log.
+* :func:`unmapped_report`   -- unmapped sub-types per city over all loads.
 * :func:`rebuild_summaries` -- the five summary tables from one pre-aggregate.
+* :func:`refresh_summaries` -- the same, recomputing only partitions loaded
+  since the last refresh.
 * :func:`build_training`    -- feature table, written (cuts the lineage the
   model fit would otherwise replay each boosting round).
 * :func:`train_model`       -- key split, GBT fit, hold-out RMSE, model saved.
@@ -28,9 +31,6 @@ from ..session import ensure_checkpoint_dir
 from ..sources.catalog import Catalog
 
 SUMMARY_TABLES = ["crimes_yoy", "crimes_typ", "crimes_hr", "crimes_dl", "crimes_ss"]
-
-
-
 DIRTY_LOG = "dirty_partitions"
 CUBE_TABLE = "summary_cube"
 
@@ -41,12 +41,13 @@ def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
     partitions by key (a re-run of the same load changes nothing); rejects go
     to the log under ``load_id`` (a re-run rewrites that entry); the touched
     (city, year) pairs go to the dirty-partition log that
-    :func:`refresh_summaries` consumes."""
+    :func:`refresh_summaries` consumes -- written first, so a crash after it
+    can only over-report partitions (recomputed identically), never miss one."""
     rows = result.rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        out = {"incidents": catalog.merge_partitions(table, result.kept, ["uuid"]),
-               "rejects": catalog.write_epoch(reject_table, result.rejected, load_id),
-               "dirty": catalog.write_epoch(DIRTY_LOG, result.kept.select("city", "year").distinct(), load_id)}
+        out = {"dirty": catalog.write_epoch(DIRTY_LOG, result.kept.select("city", "year").distinct(), load_id)}
+        out["incidents"] = catalog.merge_partitions(table, result.kept, ["uuid"])
+        out["rejects"] = catalog.write_epoch(reject_table, result.rejected, load_id)
     finally:
         rows.unpersist()
     return out
