@@ -85,3 +85,11 @@ def test_hot_key_numbering(spark, buckets):
     occ = keyed.filter(F.col("x") == "hot").select(F.split("uuid", "-").getItem(1).cast("int").alias("o"))
     got = [r[0] for r in occ.orderBy("o").collect()]
     assert got == list(range(4000))
+
+
+def test_random_keys_are_v4_uuids_and_unique(spark):
+    from blotter.operators.keys import with_random_key
+    df = with_random_key(spark.range(2000))
+    keys = [r["uuid"] for r in df.collect()]
+    assert len(set(keys)) == 2000
+    assert all(len(k) == 36 and k[14] == "4" for k in keys)
