@@ -43,4 +43,5 @@ def test_workflow(spark, tmp_path, capsys):
     g = {r["locality"] for r in cat.read("gazetteer").collect()}
     assert g == {"Downtown, Edmonton, Canada", "Oliver, Edmonton, Canada"}
     assert cat.read("predictions").count() == 13
+    assert main(["--warehouse", wh, "vacuum", "gazetteer", "--keep", "1"], spark) == 0
     assert "rmse" in capsys.readouterr().out
