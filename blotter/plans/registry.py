@@ -7,6 +7,7 @@ trigonometry, averages or division are rounded via DECIMAL on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,6 +24,10 @@ from ..operators import summaries as S
 from ..operators.joins import fixed_broadcast
 from ..operators.keys import with_content_key
 from ..operators.upsert import union_all, upsert_by_key
+from ..schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
+                       VANCOUVER_SCHEMA)
+from ..session import ensure_checkpoint_dir
+from ..sources import files as SRC
 from . import standins as V
 from .oracle_sql import SQL
 
@@ -352,6 +357,51 @@ def q_union_feeds(spark, sf):
     return union_all([_feed_out(f(spark, sf).kept) for f in feeds])
 
 
+# ---- S2-S6 through landed files -------------------------------------------------
+# Each raw feed stand-in is written by Spark in its landed format to a fresh
+# folder under the shared checkpoint dir, read back through the blotter
+# reader and adapted: same expected rows as the in-memory feed query.
+
+def _land(spark, df, fmt: str) -> str:
+    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-landed-{uuid.uuid4().hex}"
+    if fmt == "csv":
+        df.write.mode("errorifexists").option("header", True).csv(d)
+    else:
+        df.write.mode("errorifexists").json(d)
+    return d
+
+
+def q_landed_vancouver_csv(spark, sf):
+    path = _land(spark, V.raw_vancouver(spark, sf), "csv")
+    raw = SRC.read_csv_with_header(spark, path, VANCOUVER_SCHEMA)
+    return _feed_out(FD.adapt_vancouver(raw, _tm_events(spark), key="none").kept)
+
+
+def q_landed_calgary_json(spark, sf):
+    path = _land(spark, V.raw_calgary(spark, sf), "json")
+    raw = SRC.read_records_json(spark, path, CALGARY_SCHEMA)
+    return _feed_out(FD.adapt_calgary(raw, _tm_events(spark), key="none").kept)
+
+
+def q_landed_toronto_geojson(spark, sf):
+    path = _land(spark, V.raw_toronto_features(spark, sf), "json")
+    feats = SRC.read_geojson_features(spark, path, line_delimited=True)
+    return _feed_out(FD.adapt_toronto(feats, key="none").kept)
+
+
+def q_landed_socrata_json(spark, sf):
+    path = _land(spark, V.raw_socrata(spark, sf), "json")
+    raw = SRC.read_json_array(spark, path, SOCRATA_INCIDENT_SCHEMA, line_delimited=True)
+    return _feed_out(FD.adapt_socrata(raw, _tm_events(spark), key="none").kept)
+
+
+def q_landed_edmonton_json(spark, sf):
+    path = _land(spark, V.raw_edmonton(spark, sf), "json")
+    raw = SRC.read_all_string_records(spark, path, EDMONTON_SCHEMA)
+    return _feed_out(FD.adapt_edmonton(raw, _tm_parts(spark), V.part_places(spark, sf),
+                                       V.part_places(spark, sf, resolver=True), key="none").kept)
+
+
 def q_incidents_summary_yoy(spark, sf):
     """A1 over the union of all adapted feeds (the canonical table)."""
     feeds = [_vancouver, _calgary, _toronto, _socrata, _edmonton]
@@ -404,6 +454,11 @@ QUERIES: list[Query] = [
     Query("feed_edmonton_rejects", q_feed_edmonton_rejects, SQL["feed_edmonton_rejects"]),
     Query("union_feeds", q_union_feeds, SQL["union_feeds"]),
     Query("incidents_summary_yoy", q_incidents_summary_yoy, SQL["incidents_summary_yoy"]),
+    Query("landed_vancouver_csv", q_landed_vancouver_csv, SQL["feed_vancouver"]),
+    Query("landed_calgary_json", q_landed_calgary_json, SQL["feed_calgary"]),
+    Query("landed_toronto_geojson", q_landed_toronto_geojson, SQL["feed_toronto"]),
+    Query("landed_socrata_json", q_landed_socrata_json, SQL["feed_socrata"]),
+    Query("landed_edmonton_json", q_landed_edmonton_json, SQL["feed_edmonton"]),
     Query("gbt_score", q_gbt_score, None),
 ]
 
