@@ -27,9 +27,14 @@ FEATURES = ["lat", "long", "year", "code"]
 # ---- M1: feature table -------------------------------------------------------
 
 def training_features(incidents: DataFrame, codes: DataFrame, digits: int = 4,
-                      key: str = "content", broadcast: str = "check") -> DataFrame:
+                      key: str = "random", broadcast: str = "check") -> DataFrame:
     """(uuid, lat, long, year, code, count) from located, coded incidents.
 
+    ``uuid`` is a row key for a table that is rebuilt whole, so the default
+    is a random v4 UUID (no shuffle); ``key="content"`` gives idempotent
+    content keys. Neither is needed for a deterministic split or fit, which
+    hash the feature values (:func:`content_split_label`).
+
     Coordinates are rounded to ``digits``; null latitude and (0, 0) rows are
     dropped; the type -> code join is an inner join against the broadcast
     code table (policy ``broadcast``, see :func:`joins.lookup_side`).
@@ -67,6 +72,27 @@ def key_split(df: DataFrame, key: str, train_pct: int = 60, hashed: bool = True)
     return df.filter(lab == "train"), df.filter(lab == "validation")
 
 
+def content_hash_col(cols: list[str]) -> F.Column:
+    """64-bit hash of the given columns' values (null-aware)."""
+    args = []
+    for c in cols:
+        args += [F.col(c), F.col(c).isNull()]
+    return F.xxhash64(*args)
+
+
+def content_split_label(cols: list[str], train_pct: int = 60) -> F.Column:
+    """'train' / 'validation' from a hash of the row's values: the same data
+    always splits the same way, with no key, shuffle or partition dependence
+    (identical rows go to the same side)."""
+    bucket = F.pmod(content_hash_col(cols), F.lit(100))
+    return F.when(bucket < train_pct, F.lit("train")).otherwise(F.lit("validation"))
+
+
+def content_split(df: DataFrame, train_pct: int = 60, label: str = "count"):
+    lab = content_split_label(FEATURES + [label], train_pct)
+    return df.filter(lab == "train"), df.filter(lab == "validation")
+
+
 # ---- M3-M6: pipeline ----------------------------------------------------------
 
 def build_pipeline(max_depth: int = 5, max_iter: int = 100, seed: int = 50, step_size: float = 0.1,
@@ -79,22 +105,24 @@ def build_pipeline(max_depth: int = 5, max_iter: int = 100, seed: int = 50, step
     return Pipeline(stages=[identity, assemble, gbt])
 
 
-def fit(train: DataFrame, label: str = "count", deterministic: bool = True, key: str = "uuid",
+def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
         partitions: int | None = None, **params) -> PipelineModel:
     """Fit on rows with a label and complete features (GBT rejects null labels).
 
     With ``deterministic`` the rows get a fixed layout before the fit --
-    hash-partitioned by ``key`` into a fixed number of partitions and sorted
-    within them -- so the seeded split finding and boosting see the same
-    data order on every run, whatever the upstream partitioning was.
+    hash-partitioned by their values into a fixed number of partitions and
+    sorted within them (identical rows are interchangeable) -- so the seeded
+    split finding and boosting see the same data order on every run, whatever
+    the upstream partitioning or row keys were.
     """
     clean = train.filter(F.col(label).isNotNull())
     for c in FEATURES:
         clean = clean.filter(F.col(c).isNotNull())
     if deterministic:
-        order = [key] if key in clean.columns else FEATURES + [label]
+        order = FEATURES + [label]
         n = partitions or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        clean = clean.repartition(n, *order).sortWithinPartitions(*order)
+        clean = (clean.withColumn("__h", content_hash_col(order))
+                      .repartition(n, "__h").sortWithinPartitions("__h", *order).drop("__h"))
     return build_pipeline(label=label, **params).fit(clean)
 
 

@@ -122,9 +122,9 @@ def build_training(catalog: Catalog, codes: DataFrame | None = None, table: str
 
 def train_model(catalog: Catalog, model_path: str, train_pct: int = 60, table: str = "training",
                 **params) -> float:
-    """Fit on the key split of the written feature table; save; return RMSE."""
+    """Fit on the content split of the written feature table; save; return RMSE."""
     feats = catalog.read(table)
-    train, validation = M.key_split(feats, "uuid", train_pct)
+    train, validation = M.content_split(feats, train_pct)
     model = M.fit(train, **params)
     rmse = M.evaluate_rmse(model.transform(validation))
     M.save_model(model, model_path)

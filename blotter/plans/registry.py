@@ -269,9 +269,9 @@ def q_key_split(spark, sf):
 
 
 def q_gbt_score(spark, sf):
-    """Fit on V1 features (key split 60/40), score gated customer locations."""
-    feats = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="content", broadcast="fixed")
-    train, _ = M.key_split(feats, "uuid", 60, hashed=True)
+    """Fit on V1 features (content split 60/40), score gated customer locations."""
+    feats = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="none", broadcast="fixed")
+    train, _ = M.content_split(feats, 60)
     model = M.fit(train)
     locs = M.gate_locations(V.customer_locations(spark, sf), cities=V.GATE_CITIES).filter("supported")
     return M.score_locations(locs, model, V.PART_CODE_ROWS)

@@ -24,11 +24,13 @@ def test_features_filters_and_codes(spark, incidents):
     assert f.columns == ["uuid", "lat", "long", "year", "code", "count"]
     assert f.count() == 400
     assert f.select("uuid").distinct().count() == 400
+    fc = M.training_features(incidents, code_table_df(spark), key="content")
+    assert fc.select("uuid").distinct().count() == 400
 
 
 def test_fit_score_save_load(spark, incidents, tmp_path):
     f = M.training_features(incidents, code_table_df(spark))
-    train, val = M.key_split(f, "uuid", 60)
+    train, val = M.content_split(f, 60)
     assert train.count() + val.count() == 400
     model = M.fit(train, max_iter=5)
     pred = model.transform(val)
@@ -99,3 +101,11 @@ def test_case_insensitive_columns_in_scoring(spark):
     locs = spark.createDataFrame([(1, 49.2827, -123.1207)], "loc_id int, Lat double, Long double")
     g = M.neighbourhood_grid(locs.select("loc_id", "lat", "long"))
     assert g.columns == ["loc_id", "lat", "long"] and g.count() == 20
+
+
+def test_content_split_is_deterministic(spark, incidents):
+    a = M.training_features(incidents, code_table_df(spark))
+    b = M.training_features(incidents.repartition(5), code_table_df(spark))
+    ta = sorted(tuple(r) for r in M.content_split(a, 60)[0].drop("uuid").collect())
+    tb = sorted(tuple(r) for r in M.content_split(b, 60)[0].drop("uuid").collect())
+    assert ta == tb and 0 < len(ta) < 400
