@@ -303,11 +303,11 @@ def _feed_out(df):
 
 
 def _vancouver(spark, sf):
-    return FD.adapt_vancouver(V.raw_vancouver(spark, sf), _tm_events(spark), key="none")
+    return FD.adapt_vancouver(V.raw_vancouver(spark, sf), _tm_events(spark), key="none", broadcast="fixed")
 
 
 def _calgary(spark, sf):
-    return FD.adapt_calgary(V.raw_calgary(spark, sf), _tm_events(spark), key="none")
+    return FD.adapt_calgary(V.raw_calgary(spark, sf), _tm_events(spark), key="none", broadcast="fixed")
 
 
 def _toronto(spark, sf):
@@ -315,12 +315,12 @@ def _toronto(spark, sf):
 
 
 def _socrata(spark, sf):
-    return FD.adapt_socrata(V.raw_socrata(spark, sf), _tm_events(spark), key="none")
+    return FD.adapt_socrata(V.raw_socrata(spark, sf), _tm_events(spark), key="none", broadcast="fixed")
 
 
 def _edmonton(spark, sf):
     return FD.adapt_edmonton(V.raw_edmonton(spark, sf), _tm_parts(spark), V.part_places(spark, sf),
-                             V.part_places(spark, sf, resolver=True), key="none")
+                             V.part_places(spark, sf, resolver=True), key="none", broadcast="fixed")
 
 
 def q_feed_vancouver(spark, sf):
@@ -374,13 +374,13 @@ def _land(spark, df, fmt: str) -> str:
 def q_landed_vancouver_csv(spark, sf):
     path = _land(spark, V.raw_vancouver(spark, sf), "csv")
     raw = SRC.read_csv_with_header(spark, path, VANCOUVER_SCHEMA)
-    return _feed_out(FD.adapt_vancouver(raw, _tm_events(spark), key="none").kept)
+    return _feed_out(FD.adapt_vancouver(raw, _tm_events(spark), key="none", broadcast="fixed").kept)
 
 
 def q_landed_calgary_json(spark, sf):
     path = _land(spark, V.raw_calgary(spark, sf), "json")
     raw = SRC.read_records_json(spark, path, CALGARY_SCHEMA)
-    return _feed_out(FD.adapt_calgary(raw, _tm_events(spark), key="none").kept)
+    return _feed_out(FD.adapt_calgary(raw, _tm_events(spark), key="none", broadcast="fixed").kept)
 
 
 def q_landed_toronto_geojson(spark, sf):
@@ -392,14 +392,14 @@ def q_landed_toronto_geojson(spark, sf):
 def q_landed_socrata_json(spark, sf):
     path = _land(spark, V.raw_socrata(spark, sf), "json")
     raw = SRC.read_json_array(spark, path, SOCRATA_INCIDENT_SCHEMA, line_delimited=True)
-    return _feed_out(FD.adapt_socrata(raw, _tm_events(spark), key="none").kept)
+    return _feed_out(FD.adapt_socrata(raw, _tm_events(spark), key="none", broadcast="fixed").kept)
 
 
 def q_landed_edmonton_json(spark, sf):
     path = _land(spark, V.raw_edmonton(spark, sf), "json")
     raw = SRC.read_all_string_records(spark, path, EDMONTON_SCHEMA)
     return _feed_out(FD.adapt_edmonton(raw, _tm_parts(spark), V.part_places(spark, sf),
-                                       V.part_places(spark, sf, resolver=True), key="none").kept)
+                                       V.part_places(spark, sf, resolver=True), key="none", broadcast="fixed").kept)
 
 
 def q_incidents_summary_yoy(spark, sf):
