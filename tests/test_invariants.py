@@ -93,3 +93,14 @@ def test_random_keys_are_v4_uuids_and_unique(spark):
     keys = [r["uuid"] for r in df.collect()]
     assert len(set(keys)) == 2000
     assert all(len(k) == 36 and k[14] == "4" for k in keys)
+
+
+def test_display_order_option(spark, sf_dir):
+    # O1: sorting is a display option on the small outputs, off by default
+    v = V.v1(spark, sf_dir)
+    rows = [tuple(r) for r in S.summary_yoy(v, order=True).collect()]
+    assert rows == sorted(rows, key=lambda r: (r[0], r[1], r[2]))
+    hr = [(r["year"], r["hour"]) for r in S.summary_by_hour(v, V.V1_YEARS, V.V1_HOUR_EXCLUDED, order=True).collect()]
+    assert hr == sorted(hr)
+    plan = S.summary_yoy(v)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
