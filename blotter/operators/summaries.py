@@ -3,9 +3,10 @@
 Every summary is a SUM of ``count`` (or an AVG of such sums), so all of
 them can be answered from one compact pre-aggregate at
 (city, crime_type, year, month, hour). On the full table that cube has at
-most cities x types x years x 12 x 25 rows however many incidents there
-are, so :func:`all_summaries` scans and shuffles the incident table once and
-derives the five outputs from a table that fits anywhere.
+most cities x types x years x 13 x 25 rows (months and hours, plus null)
+however many incidents there are, so :func:`all_summaries` scans and
+shuffles the incident table once and derives the five outputs from a table
+that fits anywhere.
 """
 
 from __future__ import annotations
