@@ -8,6 +8,7 @@
     python -m blotter --warehouse W training
     python -m blotter --warehouse W train --model W/models/gbt
     python -m blotter --warehouse W score locations.csv --model W/models/gbt
+    python -m blotter --warehouse W unmapped             # sub-types the type map misses, per city
     python -m blotter --warehouse W vacuum crimes_yoy --keep 2
 
 Every step reads and writes tables of the catalogue under ``--warehouse``
@@ -110,6 +111,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p = sub.add_parser("train")
     p.add_argument("--model", required=True)
     p.add_argument("--max-iter", type=int, default=100)
+    sub.add_parser("unmapped")
     p = sub.add_parser("vacuum")
     p.add_argument("table")
     p.add_argument("--keep", type=int, default=2)
@@ -139,6 +141,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(J.build_training(cat, codes))
     elif args.cmd == "train":
         print({"rmse": J.train_model(cat, args.model, max_iter=args.max_iter)})
+    elif args.cmd == "unmapped":
+        print(cat.write("unmapped_subtypes", J.unmapped_report(cat)))
     elif args.cmd == "vacuum":
         print({"removed": cat.vacuum(args.table, keep=args.keep)})
     elif args.cmd == "score":

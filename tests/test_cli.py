@@ -44,4 +44,6 @@ def test_workflow(spark, tmp_path, capsys):
     assert g == {"Downtown, Edmonton, Canada", "Oliver, Edmonton, Canada"}
     assert cat.read("predictions").count() == 13
     assert main(["--warehouse", wh, "vacuum", "gazetteer", "--keep", "1"], spark) == 0
+    assert main(["--warehouse", wh, "unmapped"], spark) == 0
+    assert cat.read("unmapped_subtypes").count() == 0          # every fixture sub-type is mapped
     assert "rmse" in capsys.readouterr().out
