@@ -96,3 +96,17 @@ def test_q16_summaries_rebuilt_whole(spark, tmp_path):
                                 "city string, crime_type string, year int, month int, hour int, count int")
     cat.write("crimes_typ", S.summary_by_type(inc))
     assert [r["crime_type"] for r in cat.read("crimes_typ").collect()] == ["T"]
+
+
+def test_retry_not_found_places(spark):
+    df = spark.createDataFrame([("Nowhere",), ("Downtown",)], "neighbourhood string")
+    gaz = _gaz(spark, [("Downtown, Edmonton, Canada", 53.54, -113.49), ("Nowhere, Edmonton, Canada", 0.0, 0.0)])
+    places = _gaz(spark, [("Nowhere, Edmonton, Canada", 53.7, -113.3)])
+    plain = L.refresh_and_enrich(df, gaz, places)
+    assert [r["neighbourhood"] for r in plain.located.collect()] == ["Downtown"]
+    assert [r["neighbourhood"] for r in plain.unlocated.collect()] == ["Nowhere"]
+    retry = L.refresh_and_enrich(df, gaz, places, retry_not_found=True)
+    got = sorted((r["neighbourhood"], r["lat"]) for r in retry.located.collect())
+    assert got == [("Downtown", 53.54), ("Nowhere", 53.7)]
+    g = {r["locality"]: r["lat"] for r in retry.gazetteer.collect()}
+    assert g["Nowhere, Edmonton, Canada"] == 53.7
