@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from blotter import functions as X
 
 
@@ -36,6 +38,14 @@ def test_utm_round_trip_against_forward_projection(spark):
     out = X.with_utm_latlon(df, "E", "N").collect()
     worst = max(max(abs(r["lat"] - r["lat0"]), abs(r["long"] - r["lon0"])) for r in out)
     assert worst < 1e-8
+    # southern hemisphere, same zone: false northing of 10,000,000 m
+    south = [(-33.0 - i * 0.05, -123.3 + j * 0.04) for i in range(6) for j in range(5)]
+    srows = [(lat, lon, E, N + 10000000.0) for lat, lon in south for E, N in [forward(lat, lon)]]
+    sdf = spark.createDataFrame(srows, "lat0 double, lon0 double, E double, N double")
+    sout = X.with_utm_latlon(sdf, "E", "N", northern=False,
+                             located=F.col("E") > 0).collect()
+    worst = max(max(abs(r["lat"] - r["lat0"]), abs(r["long"] - r["lon0"])) for r in sout)
+    assert worst < 1e-8
 
 
 def test_utm_non_positive_is_null(spark):
