@@ -96,17 +96,20 @@ def content_split(df: DataFrame, train_pct: int = 60, label: str = "count"):
 # ---- M3-M6: pipeline ----------------------------------------------------------
 
 def build_pipeline(max_depth: int = 5, max_iter: int = 100, seed: int = 50, step_size: float = 0.1,
-                   label: str = "count", checkpoint_interval: int = 10) -> Pipeline:
+                   label: str = "count", checkpoint_interval: int = 10,
+                   weight_col: str | None = None) -> Pipeline:
     identity = SQLTransformer(statement="select * from __THIS__")
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="input_features", handleInvalid="skip")
     gbt = GBTRegressor(featuresCol="input_features", labelCol=label, maxDepth=max_depth,
                        maxIter=max_iter, seed=seed, stepSize=step_size,
                        checkpointInterval=checkpoint_interval)
+    if weight_col:
+        gbt.setWeightCol(weight_col)
     return Pipeline(stages=[identity, assemble, gbt])
 
 
 def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
-        partitions: int | None = None, **params) -> PipelineModel:
+        partitions: int | None = None, weighted: bool = False, **params) -> PipelineModel:
     """Fit on rows with a label and complete features (GBT rejects null labels).
 
     With ``deterministic`` the rows get a fixed layout before the fit --
@@ -114,10 +117,20 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     sorted within them (identical rows are interchangeable) -- so the seeded
     split finding and boosting see the same data order on every run, whatever
     the upstream partitioning or row keys were.
+
+    ``weighted`` (off by default) collapses identical (features, label) rows
+    into one row weighted by their number -- a map-side-combined aggregate
+    that can shrink the boosting input by orders of magnitude when many
+    incidents share a block and year. The loss is the same as on the
+    duplicated rows, but MLlib picks split thresholds from a sample of rows,
+    so the model can differ slightly from the per-row fit.
     """
     clean = train.filter(F.col(label).isNotNull())
     for c in FEATURES:
         clean = clean.filter(F.col(c).isNotNull())
+    if weighted:
+        clean = clean.groupBy(*FEATURES, label).agg(F.count(F.lit(1)).cast("double").alias("__weight"))
+        params["weight_col"] = "__weight"
     if deterministic:
         order = FEATURES + [label]
         n = partitions or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -109,3 +109,13 @@ def test_content_split_is_deterministic(spark, incidents):
     ta = sorted(tuple(r) for r in M.content_split(a, 60)[0].drop("uuid").collect())
     tb = sorted(tuple(r) for r in M.content_split(b, 60)[0].drop("uuid").collect())
     assert ta == tb and 0 < len(ta) < 400
+
+
+def test_weighted_fit_collapses_duplicates(spark, incidents):
+    f = M.training_features(incidents, code_table_df(spark), key="none")
+    dup = f.unionByName(f).unionByName(f)                  # every row three times
+    per_row = M.fit(dup, max_iter=5)
+    weighted = M.fit(dup, max_iter=5, weighted=True)
+    r1 = M.rmse_frame(per_row.transform(f)).first()["rmse"]
+    r2 = M.rmse_frame(weighted.transform(f)).first()["rmse"]
+    assert abs(r1 - r2) <= 0.2 * max(r1, r2) + 1e-9
