@@ -111,6 +111,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p = sub.add_parser("train")
     p.add_argument("--model", required=True)
     p.add_argument("--max-iter", type=int, default=100)
+    p.add_argument("--weighted", action="store_true", help="collapse identical rows into weighted rows")
     sub.add_parser("unmapped")
     p = sub.add_parser("vacuum")
     p.add_argument("table")
@@ -140,7 +141,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         codes = cat.read("crime_code") if cat.exists("crime_code") else None
         print(J.build_training(cat, codes))
     elif args.cmd == "train":
-        print({"rmse": J.train_model(cat, args.model, max_iter=args.max_iter)})
+        print({"rmse": J.train_model(cat, args.model, max_iter=args.max_iter, weighted=args.weighted)})
     elif args.cmd == "unmapped":
         print(cat.write("unmapped_subtypes", J.unmapped_report(cat)))
     elif args.cmd == "vacuum":

@@ -32,6 +32,7 @@ def test_workflow(spark, tmp_path, capsys):
     assert main(["--warehouse", wh, "load-feed", "edmonton", str(edm), "--places", str(places),
                  "--load-id", "e1"], spark) == 0
     for cmd in (["summaries"], ["training"], ["train", "--model", str(tmp_path / "m"), "--max-iter", "3"],
+                ["train", "--model", str(tmp_path / "mw"), "--max-iter", "3", "--weighted"],
                 ["score", str(locs), "--model", str(tmp_path / "m")]):
         assert main(["--warehouse", wh, *cmd], spark) == 0
     cat = Catalog(spark, wh)
