@@ -44,3 +44,17 @@ def test_partition_pruning_and_pushdown_on_incident_table(spark, sf_dir, tmp_pat
     # and the result equals the direct computation
     direct = S.summary_by_hour(V.v1(spark, sf_dir), V.V1_YEARS, V.V1_HOUR_EXCLUDED)
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_lookup_side_policies(spark):
+    from blotter.lookups import type_map_df
+    from blotter.operators.joins import bounded_broadcast, lookup_side
+    fact = spark.range(1000).selectExpr("CAST(id % 3 AS STRING) AS sub_type")
+    tm = type_map_df(spark, [("0", "A"), ("1", "B")])
+    for policy, expect_hint in (("fixed", True), ("check", True)):
+        plan = _plan(fact.join(lookup_side(tm, policy), "sub_type", "left"))
+        assert ("BroadcastHashJoin" in plan) == expect_hint, policy
+    big = spark.range(50).selectExpr("CAST(id AS STRING) AS sub_type", "'x' AS type")
+    assert bounded_broadcast(big, max_rows=10) is big          # over the bound: no hint
+    with pytest.raises(ValueError):
+        lookup_side(tm, "always")
