@@ -70,10 +70,20 @@ def get_spark(master: str | None = None, app_name: str = "blotter",
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable defaults to an existing session."""
+    """Apply the runtime-settable defaults to an existing session.
+
+    A value the session's owner set explicitly (partition sizes tuned to a
+    cluster, say) is left alone; only unset settings get blotter's default.
+    """
+    try:
+        explicit = spark.sparkContext.getConf()
+    except Exception:  # Spark Connect: nothing to compare with
+        explicit = None
     for k, v in DEFAULT_CONF.items():
         if not k.startswith("spark.sql.") or k.startswith("spark.sql.execution.arrow"):
             continue
+        if explicit is not None and k != "spark.sql.session.timeZone" and explicit.contains(k):
+            continue
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a session built elsewhere
