@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_token_counts, op3_packing, op5_binary
+from . import op1_token_counts, op2_decontaminate, op3_packing, op5_binary, op6_quality
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -22,11 +26,17 @@ def op5_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_binary.write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts_query,
+        "op2_decontamination": op2_decontamination,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op5_binary_output": op5_binary_output,
+        "op6_quality_rules": op6_quality_rules,
     }
 
 
