@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_token_counts, op2_decontaminate, op3_packing, op5_binary, op6_quality
+from . import op1_token_counts, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_binary.write_and_read(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts_query,
         "op2_decontamination": op2_decontamination,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_minhash_neardup": op4_minhash_neardup,
         "op5_binary_output": op5_binary_output,
         "op6_quality_rules": op6_quality_rules,
     }
