@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_token_counts, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality
+from . import op1_token_counts, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_suffix.removals(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts_query,
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_minhash_neardup": op4_minhash_neardup,
         "op5_binary_output": op5_binary_output,
         "op6_quality_rules": op6_quality_rules,
+        "op7_suffix_dedup": op7_suffix_dedup,
     }
 
 
