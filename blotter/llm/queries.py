@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_token_counts, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix
+from . import op1_token_counts, op10_warc, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_suffix.removals(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_warc.write_and_read(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts_query,
@@ -47,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_binary_output": op5_binary_output,
         "op6_quality_rules": op6_quality_rules,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op10_warc": op10_warc_query,
     }
 
 
