@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_token_counts, op10_warc, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix
+from . import op1_token_counts, op10_warc, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix, op8_chat, op9_html
 from .common import table
 
 
@@ -38,6 +38,17 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_suffix.removals(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"  # the contract's added conversation
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").selectExpr("cast(conv_id as long) conv_id", "cast(turn as long) turn", "role", "text")
+    return op8_chat.write_and_read(rows.unionByName(extra))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_html.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_warc.write_and_read(table(spark, sf_dir, "pages"))
 
@@ -51,6 +62,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_binary_output": op5_binary_output,
         "op6_quality_rules": op6_quality_rules,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_chat_format": op8_chat_format,
+        "op9_html_extraction": op9_html_extraction,
         "op10_warc": op10_warc_query,
     }
 
