@@ -242,7 +242,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     C.bound_batches(docs.sparkSession)
     source = named(docs)
     a = C.materialize(anchors(source, window, gram), "anchors")
-    twice = a.groupBy("ah").count().where("count > 1").select("ah")
+    # written first, so that the join has exchanges of its own, whose skewed partitions Spark can split
+    twice = C.materialize(a.groupBy("ah").count().where("count > 1").select("ah"), "twice")
     r = C.materialize(a.join(twice, "ah"), "repeated")
     piece = F.struct("doc_id", "th", "pos", "lo", "hi")
     p = C.materialize(r.groupBy("ah", "ph").agg(F.count("*").alias("n"), F.min(piece).alias("at")), "pieces")
