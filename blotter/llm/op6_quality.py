@@ -234,6 +234,7 @@ def keep_documents(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_
     rules = learn_from(C.materialize(stats.join(known, "doc_id", "left_semi"), "labelled-stats"), labels, **params)
     names = docs.columns
     inner = with_stats(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.col("text").alias("__text")), "__text")
-    # a column that is not deterministic keeps the filter (and a copy of every expression) from being pushed down
-    judged = inner.select("__row", "q", F.monotonically_increasing_id().alias("__order")).select("__row", "q.*")
-    return judged.where(~base_failed(min_words, max_repeat_pct) & rules.keeps()).select("__row.*")
+    # the filter uses a column that is not deterministic (and never negative): else it would be pushed down,
+    # with a copy of every expression for each of its uses
+    judged = inner.select("__row", "q", F.monotonically_increasing_id().alias("__order")).select("__row", "q.*", "__order")
+    return judged.where((F.col("__order") >= 0) & ~base_failed(min_words, max_repeat_pct) & rules.keeps()).select("__row.*")

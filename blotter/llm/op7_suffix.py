@@ -263,9 +263,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     return every.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("ranges"))
 
 
-def merge(ranges: list | None) -> list[tuple[int, int]]:
+def merge(ranges) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
-    for r in ranges or ():
+    for r in ranges if ranges is not None else ():
         s, e = r["s"], r["e"]
         if out and s <= out[-1][1]:
             if e > out[-1][1]:
@@ -310,15 +310,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **params) -> DataFrame
         import pandas as pd
 
         def one(t, rs):
-            spans = merge(rs if rs is not None else [])
             raw, out, at = (t or "").encode(), [], 0
-            for s, e in spans:
+            for s, e in merge(rs):
                 while s < len(raw) and raw[s] & 0xC0 == 0x80:
                     s += 1
                 while e > s and e < len(raw) and raw[e] & 0xC0 == 0x80:
                     e -= 1
-                out.append(raw[at:s])
-                at = max(at, e)
+                if s < e:
+                    out.append(raw[at:s])
+                    at = e
             return b"".join([*out, raw[at:]]).decode()
         return pd.Series([one(t, r) for t, r in zip(text, ranges)], dtype=object)
 
