@@ -3,6 +3,7 @@
     python -m blotter --warehouse W load-types crime_types.csv
     python -m blotter --warehouse W load-codes
     python -m blotter --warehouse W load-feed vancouver landed/van/ --load-id van-2020-01
+    python -m blotter --warehouse W load-feed calgary snapshot/cal/ --load-id cal-2020-02 --mode replace
     python -m blotter --warehouse W load-feed edmonton landed/edm/ --places places.csv --load-id edm-1
     python -m blotter --warehouse W summaries            # incremental; --full rebuilds
     python -m blotter --warehouse W training
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .lookups import code_table_df, type_map_df
 from .operators import feeds as FD
 from .operators import locate as L
+from .operators.joins import unique_lookup
 from .plans import jobs as J
 from .schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, GAZETTEER_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
                       VANCOUVER_SCHEMA)
@@ -38,8 +40,7 @@ FEEDS = ("vancouver", "calgary", "toronto", "edmonton") + SOCRATA_CITIES
 
 
 def _type_map(cat: Catalog) -> DataFrame:
-    """The loaded sub-type map, or the built-in one (the adapters broadcast
-    it after a row-count check)."""
+    """The loaded sub-type map, or the built-in one."""
     return cat.read("crime_type") if cat.exists("crime_type") else type_map_df(cat.spark)
 
 
@@ -56,32 +57,36 @@ def _gazetteer(cat: Catalog) -> DataFrame:
 
 
 def load_feed(cat: Catalog, feed: str, path: str, load_id: str, json_layout: str | None,
-              places: str | None, on_unmapped: str | None) -> dict[str, str]:
+              places: str | None, on_unmapped: str | None, mode: str = "merge") -> dict[str, str]:
     """``json_layout``: 'lines' (one record per line, splittable), 'document'
     (one JSON document per file) or None for the feed's usual layout."""
+    if feed == "toronto" and on_unmapped:
+        raise SystemExit("toronto brings its own types: --on-unmapped does not apply")
     spark, tm = cat.spark, _type_map(cat)
     kw = {"on_unmapped": on_unmapped} if on_unmapped else {}
+    # a snapshot's rows are told apart by content; landed increments also by their file
+    src = mode == "merge"
 
     def lines(default: bool) -> bool:
         return default if json_layout is None else json_layout == "lines"
 
     if feed == "vancouver":
-        res = FD.adapt_vancouver(S.read_csv_with_header(spark, path, VANCOUVER_SCHEMA), tm, **kw)
+        res = FD.adapt_vancouver(S.read_csv_with_header(spark, path, VANCOUVER_SCHEMA, source=src), tm, **kw)
     elif feed == "calgary":
-        res = FD.adapt_calgary(S.read_records_json(spark, path, CALGARY_SCHEMA, lines(True)), tm, **kw)
+        res = FD.adapt_calgary(S.read_records_json(spark, path, CALGARY_SCHEMA, lines(True), source=src), tm, **kw)
     elif feed == "toronto":
-        res = FD.adapt_toronto(S.read_geojson_features(spark, path, lines(False)))
+        res = FD.adapt_toronto(S.read_geojson_features(spark, path, lines(False), source=src))
     elif feed in SOCRATA_CITIES:
-        res = FD.adapt_socrata(S.read_json_array(spark, path, SOCRATA_INCIDENT_SCHEMA, lines(False)), tm, **kw)
+        res = FD.adapt_socrata(S.read_json_array(spark, path, SOCRATA_INCIDENT_SCHEMA, lines(False), source=src), tm, **kw)
     elif feed == "edmonton":
         if not places:
             raise SystemExit("edmonton needs --places (locality, lat, long)")
         pl = _read_table_file(spark, places, GAZETTEER_SCHEMA)
-        res = FD.adapt_edmonton(S.read_all_string_records(spark, path, EDMONTON_SCHEMA, lines(True)),
+        res = FD.adapt_edmonton(S.read_all_string_records(spark, path, EDMONTON_SCHEMA, lines(True), source=src),
                                 tm, _gazetteer(cat), pl, **kw)
     else:
         raise SystemExit(f"unknown feed {feed!r}; one of {', '.join(FEEDS)}")
-    out = J.load_feed(cat, res, load_id)
+    out = J.load_feed(cat, res, load_id, mode=mode)
     if res.gazetteer is not None:
         out["gazetteer"] = cat.write("gazetteer", res.gazetteer)
     return out
@@ -102,6 +107,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--json-layout", choices=["lines", "document"], default=None)
     p.add_argument("--places", default=None)
     p.add_argument("--on-unmapped", choices=["keep", "drop", "reject"], default=None)
+    p.add_argument("--mode", choices=["merge", "replace"], default="merge",
+                   help="replace: the files are a whole snapshot of their cities")
     p = sub.add_parser("gazetteer")
     p.add_argument("records")
     p.add_argument("--places", required=True)
@@ -125,12 +132,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or get_spark(args.master)
     cat = Catalog(spark, args.warehouse)
     if args.cmd == "load-types":
-        print(cat.write("crime_type", S.read_type_map_csv(spark, args.csv)))
+        print(cat.write("crime_type", unique_lookup(S.read_type_map_csv(spark, args.csv), "sub_type")))
     elif args.cmd == "load-codes":
         print(cat.write("crime_code", code_table_df(spark)))
     elif args.cmd == "load-feed":
         print(load_feed(cat, args.feed, args.path, args.load_id, args.json_layout, args.places,
-                        args.on_unmapped))
+                        args.on_unmapped, args.mode))
     elif args.cmd == "gazetteer":
         recs = S.read_all_string_records(spark, args.records)
         places = _read_table_file(spark, args.places, GAZETTEER_SCHEMA)

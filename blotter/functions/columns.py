@@ -64,9 +64,10 @@ def round_half_up(c: ColumnOrName, digits: int, work_scale: int = 8) -> Column:
     """Round via DECIMAL so the result does not hang on binary noise.
 
     ``round(double)`` tie handling differs between engines; going through
-    DECIMAL(18, work_scale) first gives one exact half-up answer.
+    DECIMAL(18, work_scale) first gives one exact half-up answer. A value
+    that does not fit (or NaN) gives null instead of failing the job.
     """
-    return F.round(_c(c).cast(f"decimal(18,{work_scale})"), digits).cast("double")
+    return F.round(_c(c).try_cast(f"decimal(18,{work_scale})"), digits).cast("double")
 
 
 # ---- X7 / X8: daylight and season -----------------------------------------

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import lookup_side
+from .joins import lookup_side, unique_lookup
 
 # What to do with rows whose sub-type is not in the map.
 KEEP = "keep"        # left join, null crime_type stays in the output (J1)
@@ -23,16 +23,16 @@ class Classified:
 
 def classify(df: DataFrame, type_map: DataFrame, sub_col: str = "crimesub_type",
              type_col: str = "crime_type", on_unmapped: str = REJECT,
-             broadcast: str = "check") -> Classified:
+             broadcast: str = "planner") -> Classified:
     """Attach ``type_col`` from ``type_map`` (sub_type, type) on ``sub_col``.
 
     The match is exact: case-sensitive, no trimming. The map is broadcast
     under ``broadcast`` (see :func:`joins.lookup_side`: ``fixed`` for an
-    inline map, ``check`` -- the default -- for a loaded one), so the fact
-    side is not shuffled for this join and a hot sub-type cannot skew it.
+    inline map, ``planner`` -- the default -- for a loaded one, which is first
+    reduced to one row per sub-type).
     """
-    tm = lookup_side(type_map.select(F.col("sub_type").alias("__sub"), F.col("type").alias(type_col)),
-                     broadcast)
+    tm = type_map.select(F.col("sub_type").alias("__sub"), F.col("type").alias(type_col))
+    tm = lookup_side(tm if broadcast == "fixed" else unique_lookup(tm, "__sub"), broadcast)
     base = df.drop(type_col) if type_col in df.columns else df
     if on_unmapped == DROP:
         joined = base.join(tm, base[sub_col] == tm["__sub"], "inner").drop("__sub")

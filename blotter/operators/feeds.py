@@ -7,7 +7,7 @@ frame, so no row disappears without trace:
 
 * ``kept``      -- canonical rows, keyed;
 * ``rejected``  -- raw-but-canonicalised rows that were not kept, with a
-  ``reason`` column ('unmapped_type' or 'no_location').
+  ``reason`` column ('unmapped_type', 'no_location' or 'bad_coordinates').
 
 The unmapped-type rule is a parameter of each adapter (``on_unmapped``):
 ``drop`` (inner join), ``reject`` (left join, nulls to the reject frame) or
@@ -23,7 +23,7 @@ from ..functions import (hour_of, month_number, month_of, safe_cast,
                          with_utm_latlon, year_of)
 from ..schemas import INCIDENT_COLUMNS, INCIDENT_FIELDS
 from .classify import DROP, KEEP, REJECT, classify
-from .keys import with_content_key, with_random_key
+from .keys import ID1, ID2, with_content_key, with_identity, with_identity_key, with_random_key
 from .locate import EDMONTON_SUFFIX, refresh_and_enrich
 
 CANON_TYPES = dict(INCIDENT_FIELDS)
@@ -52,7 +52,7 @@ class FeedResult:
 
     @property
     def rejected(self) -> DataFrame:
-        return self.rows.filter(F.col("reason").isNotNull())
+        return self.rows.filter(F.col("reason").isNotNull()).drop(ID1, ID2)
 
 
 def canonical(df: DataFrame, extra: list | None = None) -> DataFrame:
@@ -68,6 +68,9 @@ def canonical(df: DataFrame, extra: list | None = None) -> DataFrame:
 
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
+    if key == "content" and ID1 in df.columns:
+        return with_identity_key(df)
+    df = df.drop(ID1, ID2)
     if key == "content":
         return with_content_key(df, [c for c in INCIDENT_COLUMNS if c != "uuid"])
     if key == "random":
@@ -78,15 +81,19 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
 
 
 def _finish(located: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
-            unlocated: DataFrame | None = None, broadcast: str = "check") -> FeedResult:
+            unlocated: DataFrame | None = None, broadcast: str = "planner") -> FeedResult:
     c = classify(located, type_map, on_unmapped=DROP if on_unmapped == DROP else KEEP, broadcast=broadcast)
     if on_unmapped == REJECT:
         reason = F.when(F.col("crime_type").isNull(), F.lit("unmapped_type"))
     else:
         reason = F.lit(None).cast("string")
-    rows = canonical(c.kept, extra=[reason.alias("reason")])
+    lat, long = F.col("lat"), F.col("long")
+    impossible = ~(lat.isNull() | lat.between(-90, 90)) | ~(long.isNull() | long.between(-180, 180)) | F.isnan("lat") | F.isnan("long")
+    reason = F.when(impossible, F.lit("bad_coordinates")).otherwise(reason)
+    ids = [F.col(ID1), F.col(ID2)]
+    rows = canonical(c.kept, extra=[reason.alias("reason"), *ids])
     if unlocated is not None:
-        rows = rows.unionByName(canonical(unlocated, extra=[F.lit("no_location").alias("reason")]))
+        rows = rows.unionByName(canonical(unlocated, extra=[F.lit("no_location").alias("reason"), *ids]))
     return FeedResult(rows, key)
 
 
@@ -94,29 +101,29 @@ def _finish(located: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
 
 def adapt_vancouver(raw: DataFrame, type_map: DataFrame, on_unmapped: str = REJECT,
                     key: str = "content", fill_missing_hour: bool = False,
-                    zone: int = 10, broadcast: str = "check") -> FeedResult:
+                    zone: int = 10, broadcast: str = "planner") -> FeedResult:
     """Metres -> degrees where both X and Y are positive, else no coordinates.
 
     Every input row appears exactly once (the X == 0 rows are not doubled and
     negative-X rows are not lost). A missing hour stays null unless
     ``fill_missing_hour`` asks for the old fill-with-0.
     """
-    df = raw.na.fill(0, subset=["X", "Y"])
+    df = with_identity(raw).na.fill(0, subset=["X", "Y"])
     if fill_missing_hour:
         df = df.na.fill(0, subset=["hour"])
     df = with_utm_latlon(df.drop("lat", "long"), "X", "Y", "lat", "long", zone=zone)
     df = df.select(F.lit("Vancouver").alias("city"), F.col("subtype").alias("crimesub_type"),
-                   "year", "month", "hour", "neighbourhood", "lat", "long", F.lit(1).alias("count"))
+                   "year", "month", "hour", "neighbourhood", "lat", "long", F.lit(1).alias("count"), ID1, ID2)
     return _finish(df, type_map, on_unmapped, key, broadcast=broadcast)
 
 
 # ---- C2: Calgary (JSON records, nested geocode) ----------------------------
 
 def adapt_calgary(raw: DataFrame, type_map: DataFrame, on_unmapped: str = REJECT,
-                  key: str = "content", broadcast: str = "check") -> FeedResult:
+                  key: str = "content", broadcast: str = "planner") -> FeedResult:
     g = F.col("geocoded_column")
-    df = raw.select(
-        F.lit("Calgary").alias("city"), F.col("community_name").alias("neighbourhood"),
+    df = with_identity(raw).select(
+        ID1, ID2, F.lit("Calgary").alias("city"), F.col("community_name").alias("neighbourhood"),
         F.col("category").alias("crimesub_type"), safe_cast("count", "int").alias("count"),
         safe_cast("year", "int").alias("year"), month_of("date").alias("month"), hour_of("date").alias("hour"),
         safe_cast(g["longitude"], "double").alias("long"), safe_cast(g["latitude"], "double").alias("lat"))
@@ -131,23 +138,24 @@ def adapt_toronto(features: DataFrame, key: str = "content", count_per_incident:
     The feed has no count column: each feature is one incident, so count is
     1 (otherwise its sums come out null).
     """
-    p = features.select("properties.*")
+    p = with_identity(features).select("properties.*", ID1, ID2)
     df = p.select(
+        ID1, ID2,
         F.lit("Toronto").alias("city"), F.col("MCI").alias("crime_type"),
         F.col("offence").alias("crimesub_type"), F.col("reportedhour").cast("int").alias("hour"),
         F.col("Lat").alias("lat"), F.col("Long").alias("long"),
         month_number("reportedmonth").alias("month"), F.col("Neighbourhood").alias("neighbourhood"),
         F.col("reportedyear").cast("int").alias("year"), F.lit(count_per_incident).alias("count"))
-    return FeedResult(canonical(df, extra=[F.lit(None).cast("string").alias("reason")]), key)
+    return FeedResult(canonical(df, extra=[F.lit(None).cast("string").alias("reason"), F.col(ID1), F.col(ID2)]), key)
 
 
 # ---- C4-C6: Ottawa / Victoria / Lethbridge (one adapter) -------------------
 
-def adapt_socrata(raw: DataFrame, type_map: DataFrame, on_unmapped: str = DROP,
-                  key: str = "content", broadcast: str = "check") -> FeedResult:
-    """City comes from the record; unmapped sub-types are dropped (inner)."""
-    df = raw.select(
-        "city", F.col("parent_incident_type").alias("crimesub_type"),
+def adapt_socrata(raw: DataFrame, type_map: DataFrame, on_unmapped: str = REJECT,
+                  key: str = "content", broadcast: str = "planner") -> FeedResult:
+    """City comes from the record; unmapped sub-types go to the reject frame."""
+    df = with_identity(raw).select(
+        ID1, ID2, "city", F.col("parent_incident_type").alias("crimesub_type"),
         safe_cast("latitude", "double").alias("lat"), safe_cast("longitude", "double").alias("long"),
         safe_cast("hour_of_day", "int").alias("hour"),
         year_of("incident_datetime").alias("year"), month_of("incident_datetime").alias("month"),
@@ -159,15 +167,15 @@ def adapt_socrata(raw: DataFrame, type_map: DataFrame, on_unmapped: str = DROP,
 
 def adapt_edmonton(raw: DataFrame, type_map: DataFrame, gazetteer: DataFrame, places: DataFrame,
                    on_unmapped: str = REJECT, key: str = "content",
-                   suffix: str = EDMONTON_SUFFIX, broadcast: str = "check") -> FeedResult:
+                   suffix: str = EDMONTON_SUFFIX, broadcast: str = "planner") -> FeedResult:
     """Monthly counts per neighbourhood; coordinates from the gazetteer.
 
     Localities missing from the gazetteer are resolved against ``places``
     and added (the returned ``gazetteer``) *before* the neither-zero rule
     drops unlocated rows, which go to the reject frame.
     """
-    df = raw.select(
-        "neighbourhood", "crimesub_type", safe_cast("year", "int").alias("year"),
+    df = with_identity(raw).select(
+        ID1, ID2, "neighbourhood", "crimesub_type", safe_cast("year", "int").alias("year"),
         safe_cast("month", "int").alias("month"), safe_cast("count", "int").alias("count"),
         F.lit("Edmonton").alias("city"), F.lit(0).alias("hour"))
     r = refresh_and_enrich(df, gazetteer, places, "neighbourhood", suffix)

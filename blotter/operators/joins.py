@@ -10,10 +10,9 @@ Policy used throughout blotter:
   re-checks with the real shuffle sizes at runtime
   (``spark.sql.adaptive.autoBroadcastJoinThreshold``); above the threshold
   the join stays a sort-merge / shuffle-hash join, with AQE skew splitting.
-* lookup tables of the incident taxonomy (sub-type map, code table) go
-  through :func:`lookup_side`: hinted when fixed by code, otherwise after
-  :func:`bounded_broadcast` has checked a hard row bound with one cheap,
-  LIMIT-ed job -- so a feed is never shuffled for its type lookup.
+* lookup tables of the incident taxonomy (sub-type map, code table) are
+  hinted when fixed by code and left to the planner when loaded;
+  :func:`unique_lookup` gives a loaded one a single row per key first.
 """
 
 from __future__ import annotations
@@ -21,40 +20,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is shipped to every task. A dimension of
-# 1M narrow rows is a few tens of MB; above it the join falls back to a
-# shuffle join (and AQE may still switch to broadcast from runtime sizes).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-# Lookup tables (sub-type map, code table) hold one row per type: they are
-# broadcast after a LIMIT-ed count shows at most this many rows.
-LOOKUP_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``dim`` only if it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job), so it is
-    cheap even when the answer is "too big"; in that case the join is left to
-    the planner (sort-merge / shuffle-hash, with AQE re-planning).
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
+from .upsert import latest_per_key
 
 def fixed_broadcast(dim: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size is fixed by code (an inline table)."""
     return F.broadcast(dim)
 
 
-def lookup_side(dim: DataFrame, broadcast: str = "check") -> DataFrame:
+def lookup_side(dim: DataFrame, broadcast: str = "planner") -> DataFrame:
     """The small side of a lookup join under a broadcast policy:
-    ``fixed`` (size fixed by code: hint), ``check`` (hint after a row-count
-    check, else leave to the planner) or ``planner`` (no hint)."""
+    ``fixed`` (size fixed by code: hint) or ``planner`` (no hint)."""
     if broadcast == "fixed":
         return fixed_broadcast(dim)
-    if broadcast == "check":
-        return bounded_broadcast(dim, LOOKUP_MAX_ROWS)
     if broadcast == "planner":
         return dim
     raise ValueError(f"unknown broadcast policy {broadcast!r}")
+
+
+def unique_lookup(dim: DataFrame, key: str) -> DataFrame:
+    """One row per key, so that a doubled lookup row cannot multiply facts.
+
+    Among several the greatest wins (as in :func:`upsert.latest_per_key`).
+    """
+    return latest_per_key(dim, [key])

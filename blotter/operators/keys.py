@@ -1,23 +1,25 @@
 """Row keys (X9): random UUIDs for parity, content keys for idempotent loads.
 
-A content key is ``hash128(row content) || '-' || occurrence`` where the
+A content key is ``hash128(identity) || '-' || occurrence`` where the
 occurrence number tells identical rows apart (identical incidents are
-legal, e.g. two thefts on one block in one hour). Re-running a load gives
-the same keys, so an upsert by key replaces instead of duplicating.
-
-Numbering identical rows needs them side by side, and one content value may
-hold a large share of a table. The numbering is therefore salted: each row
-draws one of ``buckets`` salts, rows are numbered inside (hash, salt), and a
-per-(hash, salt) count table -- at most ``buckets`` rows per hash -- turns
-bucket-local numbers into 0..n-1 for the whole group. No window group holds
-more than about 1/buckets of a hot content. Identical rows are interchangeable, so
-the set of keys is the same on every run whatever salt each row drew.
+legal, e.g. two thefts on one block in one hour). The identity of a feed row
+is its raw fields and its source (:func:`with_identity`), never a derived
+column: a corrected lookup changes an incident, not its key, and a source's
+rows have the same keys however sources are cut into batches. Re-running a load
+gives the same keys, so an upsert by key replaces instead of duplicating.
+
+Rows equal in every column are interchangeable, so they are not numbered but
+counted and expanded again: one map-side-combined shuffle, lazy, and a content
+that holds a large share of a table is one row until it is expanded in chunks.
+Only where further columns differ are the rows themselves numbered, salted so
+that no window group holds more than about 1/buckets of a hot content.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import content_hash128
 from ..session import ensure_checkpoint_dir
@@ -28,6 +30,41 @@ def with_random_key(df: DataFrame, out: str = "uuid") -> DataFrame:
     return df.withColumn(out, F.expr("uuid()"))
 
 
+ID1, ID2 = "__id1", "__id2"
+SOURCE = "_source"          # optional raw column: snapshot id or landed file path
+
+# Copies of one row that one task expands.
+EXPAND_CHUNK = 1 << 16
+
+
+def with_identity(raw: DataFrame) -> DataFrame:
+    """``raw`` plus the two hashes of its fields and its source (``_source``, if present, is used up)."""
+    fields = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+              for f in raw.schema.fields]  # maps have no order, so they hash by sorted entries
+    a, b = content_hash128(*fields)
+    return raw.withColumns({ID1: a, ID2: b}).drop(SOURCE)
+
+
+def numbered_rows(df: DataFrame, out: str) -> DataFrame:
+    """Rows equal in all columns, numbered 0..n-1 in ``out``: counted, then expanded."""
+    cols = [f"`{c}`" for c in df.columns]
+    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    few = counts.where(F.col("__n") <= EXPAND_CHUNK).select(
+        *cols, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(out))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / EXPAND_CHUNK)))
+    many = counts.where(F.col("__n") > EXPAND_CHUNK).withColumn("__c", chunk)
+    many = many.repartition("__c", *cols).select(
+        *cols, F.explode(F.sequence(F.col("__c") * EXPAND_CHUNK, F.least((F.col("__c") + 1) * EXPAND_CHUNK, F.col("__n")) - 1)).alias(out))
+    return few.unionByName(many)
+
+
+def with_identity_key(df: DataFrame, out: str = "uuid") -> DataFrame:
+    """Key rows that carry the identity hashes of :func:`with_identity`; the hashes are dropped."""
+    rows = numbered_rows(df.drop(out), "__occ")
+    key = F.format_string("%016x%016x-%d", F.col(ID1), F.col(ID2), F.col("__occ"))
+    return rows.withColumn(out, key).drop(ID1, ID2, "__occ")
+
+
 # Salt buckets per content hash. A content with n copies occupies at most
 # min(n, SALT_BUCKETS) buckets, so a large value costs nothing for ordinary
 # data, while a content holding a third of 10^12 rows is cut into window
@@ -39,6 +76,9 @@ def with_content_key(df: DataFrame, cols: list[str] | None = None, out: str = "u
                      buckets: int = SALT_BUCKETS, seed: int = 17, materialize: bool = True) -> DataFrame:
     """Add ``out`` = ``<32 hex digits of a 128-bit content hash>-<occurrence>``.
 
+    If ``cols`` are all columns, equal rows are counted and expanded
+    (:func:`numbered_rows`); what follows is for further, differing columns.
+
     Plan: one shuffle of the rows by (hash, salt) numbers them inside each
     bucket. That numbered frame is checkpointed to the shared
     ``spark.checkpoint.dir`` (eager, reliable -- never a local checkpoint), so
@@ -57,6 +97,8 @@ def with_content_key(df: DataFrame, cols: list[str] | None = None, out: str = "u
     h1, h2, s, i, off = "__key_h1", "__key_h2", "__key_s", "__key_i", "__key_off"
     base = df.drop(out) if out in df.columns else df
     a, b = content_hash128(*cols)
+    if set(cols) == set(base.columns):
+        return with_identity_key(base.withColumns({ID1: a, ID2: b}), out)
     hk = [h1, h2]
     x = (base.withColumn(h1, a).withColumn(h2, b)
              .withColumn(s, F.floor(F.rand(seed) * buckets).cast("int")))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import default_zero, locality, neither_zero
+from .joins import unique_lookup
 from .upsert import upsert_by_key
 
 EDMONTON_SUFFIX = ", Edmonton, Canada"
@@ -30,7 +31,7 @@ def localities(df: DataFrame, neighbourhood_col: str = "neighbourhood",
 
 def resolve(locs: DataFrame, places: DataFrame) -> DataFrame:
     """Coordinates for each locality from ``places``; unknown -> (0.0, 0.0)."""
-    p = places.select("locality", F.col("lat").alias("__lat"), F.col("long").alias("__long"))
+    p = unique_lookup(places.select("locality", F.col("lat").alias("__lat"), F.col("long").alias("__long")), "locality")
     return (locs.join(p, "locality", "left")
                 .select("locality", default_zero("__lat").alias("lat"),
                         default_zero("__long").alias("long")))
@@ -50,9 +51,8 @@ def missing_localities(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: s
     (the zero filter would otherwise have dropped them unseen).
     """
     loc = df.select(locality(neighbourhood_col, suffix).alias("locality")).filter(F.col("locality").isNotNull())
-    g = gazetteer.select("locality")
-    return (loc.join(g, "locality", "left_anti")
-               .groupBy("locality").agg(F.count(F.lit(1)).alias("n_incidents")))
+    counts = loc.groupBy("locality").agg(F.count(F.lit(1)).alias("n_incidents"))  # rows combine before they move
+    return counts.join(gazetteer.select("locality"), "locality", "left_anti")
 
 
 def enrich(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: str = "neighbourhood",
@@ -63,7 +63,7 @@ def enrich(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: str = "neighb
     gazetteer entry at all (null), drops the row.
     """
     base = df.drop("lat", "long")
-    g = gazetteer.select("locality", "lat", "long")
+    g = unique_lookup(gazetteer.select("locality", "lat", "long"), "locality")
     out = (base.withColumn("locality", locality(neighbourhood_col, suffix))
                .join(g, "locality", "left"))
     if drop_unlocated:
@@ -107,26 +107,28 @@ def refresh_and_enrich(df: DataFrame, gazetteer: DataFrame, places: DataFrame,
     """Rows located with the gazetteer, falling back to ``places`` for
     localities the gazetteer lacks, plus the refreshed gazetteer.
 
-    The located rows come from one pass over ``df`` (two lookup joins); they
+    The located rows come from one pass over ``df`` (one lookup join); they
     equal "resolve the missing localities, upsert them, then enrich", without
     materialising the upsert first. The refreshed gazetteer is a separate
     lazy output, computed only if the caller writes it. No branch on a count.
     """
-    g = gazetteer.select("locality", F.col("lat").alias("__g_lat"), F.col("long").alias("__g_long"),
-                         F.lit(True).alias("__in_g"))
-    p = places.select("locality", F.col("lat").alias("__p_lat"), F.col("long").alias("__p_long"))
+    g = unique_lookup(gazetteer.select("locality", F.col("lat").alias("__g_lat"), F.col("long").alias("__g_long")),
+                      "locality").withColumn("__in_g", F.lit(True))
+    p = unique_lookup(places.select("locality", F.col("lat").alias("__p_lat"), F.col("long").alias("__p_long")), "locality")
     use_g = F.col("__in_g").isNotNull()
     if retry_not_found:
         use_g = use_g & ~((F.col("__g_lat") == 0) & (F.col("__g_long") == 0))
+    # one row per locality known to either table, so the facts meet a single lookup
+    known = g.join(p, "locality", "full").select(
+        "locality", F.when(use_g, F.col("__g_lat")).otherwise(default_zero("__p_lat")).alias("__lat"),
+        F.when(use_g, F.col("__g_long")).otherwise(default_zero("__p_long")).alias("__long"), F.lit(True).alias("__known"))
+    unknown = F.col("locality").isNotNull() & F.col("__known").isNull()
     all_rows = (df.drop("lat", "long")
                   .withColumn("locality", locality(neighbourhood_col, suffix))
-                  .join(g, "locality", "left")
-                  .join(p, "locality", "left")
-                  .withColumn("lat", F.when(use_g, F.col("__g_lat"))
-                                      .when(F.col("locality").isNotNull(), default_zero("__p_lat")))
-                  .withColumn("long", F.when(use_g, F.col("__g_long"))
-                                       .when(F.col("locality").isNotNull(), default_zero("__p_long")))
-                  .drop("locality", "__g_lat", "__g_long", "__in_g", "__p_lat", "__p_long"))
+                  .join(known, "locality", "left")
+                  .withColumn("lat", F.when(unknown, F.lit(0.0)).otherwise(F.col("__lat")))
+                  .withColumn("long", F.when(unknown, F.lit(0.0)).otherwise(F.col("__long")))
+                  .drop("locality", "__lat", "__long", "__known"))
     located = all_rows.filter(neither_zero("lat", "long"))
     unlocated = all_rows.filter(~F.coalesce(neither_zero("lat", "long"), F.lit(False)))
     g2, resolved = refresh_gazetteer(df, gazetteer, places, neighbourhood_col, suffix, retry_not_found)

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import contains_any, has_lat, not_both_zero, round_half_up
 from ..lookups import SCORE_YEAR, SUPPORTED_CITIES
-from .joins import lookup_side
-from .keys import with_content_key, with_random_key
+from .joins import lookup_side, unique_lookup
+from .keys import numbered_rows, with_content_key, with_random_key
 
 FEATURES = ["lat", "long", "year", "code"]
 
@@ -27,7 +27,7 @@ FEATURES = ["lat", "long", "year", "code"]
 # ---- M1: feature table -------------------------------------------------------
 
 def training_features(incidents: DataFrame, codes: DataFrame, digits: int = 4,
-                      key: str = "random", broadcast: str = "check") -> DataFrame:
+                      key: str = "random", broadcast: str = "planner") -> DataFrame:
     """(uuid, lat, long, year, code, count) from located, coded incidents.
 
     ``uuid`` is a row key for a table that is rebuilt whole, so the default
@@ -45,7 +45,8 @@ def training_features(incidents: DataFrame, codes: DataFrame, digits: int = 4,
           .filter(has_lat("lat"))
           .filter(not_both_zero("lat", "long"))
           .select("lat", "long", "year", "crime_type", "count"))
-    c = lookup_side(codes.select("code", "type_crime"), broadcast)
+    c = codes.select("code", "type_crime")
+    c = lookup_side(c if broadcast == "fixed" else unique_lookup(c, "type_crime"), broadcast)
     out = df.join(c, df["crime_type"] == c["type_crime"], "inner").select("lat", "long", "year", "code", "count")
     if key == "content":
         out = with_content_key(out)
@@ -113,7 +114,7 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     """Fit on rows with a label and complete features (GBT rejects null labels).
 
     With ``deterministic`` the rows get a fixed layout before the fit --
-    hash-partitioned by their values into a fixed number of partitions and
+    hash-partitioned by their values and their number among equal rows into a fixed number of partitions and
     sorted within them (identical rows are interchangeable) -- so the seeded
     split finding and boosting see the same data order on every run, whatever
     the upstream partitioning or row keys were.
@@ -134,8 +135,10 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     if deterministic:
         order = FEATURES + [label]
         n = partitions or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        clean = (clean.withColumn("__h", content_hash_col(order))
-                      .repartition(n, "__h").sortWithinPartitions("__h", *order).drop("__h"))
+        rest = ["__weight"] if weighted else []
+        clean = numbered_rows(clean.select(*order, *rest), "__occ")  # equal rows spread by their number
+        clean = (clean.withColumn("__h", F.xxhash64(content_hash_col(order), "__occ"))
+                      .repartition(n, "__h").sortWithinPartitions("__h", *order).drop("__h", "__occ"))
     return build_pipeline(label=label, **params).fit(clean)
 
 

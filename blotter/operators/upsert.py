@@ -21,15 +21,16 @@ def latest_per_key(new: DataFrame, keys: list[str]) -> DataFrame:
                .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
-def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str] | str) -> DataFrame:
+def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str] | str, unique: bool = False) -> DataFrame:
     """Rows of ``old`` whose key is absent from ``new``, plus ``new``.
 
     Same result as appending into a keyed store: a key present in both ends
     with the new row. Running it twice with the same ``new`` is the same as
-    running it once.
+    running it once. ``unique`` says that the keys of ``new`` are unique by
+    construction (content keys are), so it need not be aggregated first.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    fresh = latest_per_key(new.select(*old.columns), keys)
+    fresh = new.select(*old.columns) if unique else latest_per_key(new.select(*old.columns), keys)
     kept = old.join(fresh.select(*keys), keys, "left_anti")
     return kept.unionByName(fresh)
 

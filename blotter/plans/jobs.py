@@ -33,20 +33,40 @@ from ..sources.catalog import Catalog
 SUMMARY_TABLES = ["crimes_yoy", "crimes_typ", "crimes_hr", "crimes_dl", "crimes_ss"]
 DIRTY_LOG = "dirty_partitions"
 CUBE_TABLE = "summary_cube"
+OPEN = ".open"      # suffix of the dirty-log entry of a load that has not finished
 
 
 def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
-              table: str = "incidents", reject_table: str = "incident_rejects") -> dict[str, str]:
+              table: str = "incidents", reject_table: str = "incident_rejects", mode: str = "merge") -> dict[str, str]:
     """Write one feed load. Kept rows merge into their (city, year)
     partitions by key (a re-run of the same load changes nothing); rejects go
     to the log under ``load_id`` (a re-run rewrites that entry); the touched
     (city, year) pairs go to the dirty-partition log that
-    :func:`refresh_summaries` consumes -- written first, so a crash after it
-    can only over-report partitions (recomputed identically), never miss one."""
+    :func:`refresh_summaries` consumes: as *open* before the rows change, and as
+    finished after. A refresh recomputes both kinds but clears only finished
+    ones, so neither a crash nor a refresh in between can lose a load.
+
+    ``mode``: ``merge`` (insert or replace by key) or ``replace`` (the feed is
+    a whole snapshot: its cities are replaced, corrected and withdrawn records
+    included)."""
     rows = result.rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        out = {"dirty": catalog.write_epoch(DIRTY_LOG, result.kept.select("city", "year").distinct(), load_id)}
-        out["incidents"] = catalog.merge_partitions(table, result.kept, ["uuid"])
+        pairs = result.kept.select("city", "year").distinct()
+        if mode == "replace" and catalog.exists(table):  # years the snapshot no longer has change as well
+            known = catalog.read(table).select("city", "year").distinct()
+            cities = pairs.select(F.col("city").alias("c")).distinct()
+            pairs = pairs.union(known.join(cities, F.col("city").eqNullSafe(F.col("c")), "left_semi")).distinct()
+        ensure_checkpoint_dir(catalog.spark)
+        pairs = pairs.checkpoint(eager=True)  # the table they are read from changes below
+        open_entry = catalog.write_epoch(DIRTY_LOG, pairs, f"{load_id}{OPEN}")
+        if mode == "replace":
+            out = {"incidents": catalog.replace_partitions(table, result.kept)}
+        elif mode == "merge":
+            out = {"incidents": catalog.merge_partitions(table, result.kept, ["uuid"], unique=result.key == "content")}
+        else:
+            raise ValueError(f"unknown load mode {mode!r}")
+        out["dirty"] = catalog.write_epoch(DIRTY_LOG, pairs, load_id)
+        catalog.delete_paths([open_entry])
         out["rejects"] = catalog.write_epoch(reject_table, result.rejected, load_id)
     finally:
         rows.unpersist()
@@ -79,8 +99,9 @@ def refresh_summaries(catalog: Catalog, years=SUMMARY_YEARS, hour_exclude=HOUR_E
     the last refresh are recomputed -- from those partitions alone (pruned
     reads) -- and spliced into the stored cube; the five summaries are then
     rebuilt whole from the small cube. The first call builds the cube from
-    the whole table. Dirty-log entries are listed before reading and only
-    those are cleared, so a load racing the refresh is picked up next time.
+    the whole table. Dirty-log entries are listed before reading; of those, the
+    ones of finished loads are cleared. A load racing the refresh leaves its
+    finished entry for the next one.
     """
     spark = catalog.spark
     entries = catalog.log_entries(DIRTY_LOG)
@@ -90,18 +111,14 @@ def refresh_summaries(catalog: Catalog, years=SUMMARY_YEARS, hour_exclude=HOUR_E
     elif not entries:
         cube = catalog.read(CUBE_TABLE)
     else:
-        # bounded: one row per (city, year) loaded since the last refresh
-        dirty = [tuple(r) for r in catalog.read_log_entries(DIRTY_LOG, entries)
-                 .select("city", "year").distinct().collect()]
-        cond = None
-        for city, year in dirty:
-            c = (F.col("city").eqNullSafe(F.lit(city)) & F.col("year").eqNullSafe(F.lit(year)))
-            cond = c if cond is None else (cond | c)
+        dirty = (catalog.read_log_entries(DIRTY_LOG, entries).select("city", "year").distinct()
+                 .select(F.col("city").alias("c"), F.col("year").alias("y")))
         old = catalog.read(CUBE_TABLE)
-        fresh = S.summary_cube(inc.filter(cond))
-        cube = old.filter(~cond).unionByName(fresh.select(*old.columns))
+        fresh = S.summary_cube(catalog.read_partitions(table, dirty.select(F.col("c").alias("city"), F.col("y").alias("year"))))
+        same = F.col("city").eqNullSafe(F.col("c")) & F.col("year").eqNullSafe(F.col("y"))
+        cube = old.join(dirty, same, "left_anti").unionByName(fresh.select(*old.columns))
     path = catalog.write(CUBE_TABLE, cube)
-    catalog.delete_paths(entries)
+    catalog.delete_paths([e for e in entries if not e.endswith(OPEN)])
     ensure_checkpoint_dir(spark)
     outs = S.all_summaries(None, years, hour_exclude, daylight_exclude, cube=spark.read.parquet(path))
     written = {name: catalog.write(name, outs[name]) for name in SUMMARY_TABLES}
@@ -116,7 +133,7 @@ def build_training(catalog: Catalog, codes: DataFrame | None = None, table: str
     if codes is None:
         feats = M.training_features(catalog.read(table), code_table_df(catalog.spark), broadcast="fixed")
     else:
-        feats = M.training_features(catalog.read(table), codes, broadcast="check")
+        feats = M.training_features(catalog.read(table), codes, broadcast="planner")
     return catalog.write(out, feats)
 
 

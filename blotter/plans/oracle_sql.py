@@ -184,6 +184,14 @@ def _feed_socrata():
     return ["v2", "loc", "tm_ev"], [], sel
 
 
+def _socrata_cities(tail: str) -> str:
+    """The Socrata incidents with the awkward cities of the catalogue queries, under ``inc``."""
+    names, extra, sel = _feed_socrata()
+    cols = ("crime_type, crimesub_type, CASE month % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '007' ELSE city END AS city, "
+            "year, month, hour, neighbourhood, lat, long, count")
+    return W(names, tail, [*extra, ("plain", sel), ("inc", f"SELECT {cols} FROM plain")])
+
+
 def _edmonton_ctes():
     return [
         ("edm_raw", """SELECT p_name AS neighbourhood, CAST(month(l_shipdate) AS INTEGER) AS month,
@@ -348,6 +356,14 @@ SQL: dict[str, str] = {
                               "GROUP BY crimesub_type", _calgary_raw()),
     "feed_toronto": _feed(_feed_toronto),
     "feed_socrata": _feed(_feed_socrata),
+    "feed_socrata_rejects": W(["v2", "loc", "tm_ev"],
+                              "SELECT 'unmapped_type' AS reason, crimesub_type, CAST(COUNT(*) AS BIGINT) AS count FROM v2 "
+                              "JOIN loc ON c_custkey = loc_id LEFT JOIN tm_ev t ON crimesub_type = t.sub_type "
+                              "WHERE t.type IS NULL GROUP BY crimesub_type"),
+    "catalog_merge": _socrata_cities("SELECT * FROM inc"),
+    "catalog_city_reload": _socrata_cities("SELECT * FROM inc WHERE city IS DISTINCT FROM '007' OR month <= 6"),
+    "summaries_incremental": _socrata_cities(f"SELECT city, crime_type, year, {SUM_COUNT} FROM inc "
+                                             f"GROUP BY city, crime_type, year"),
     "feed_edmonton": _feed(_feed_edmonton),
     "feed_edmonton_rejects": W(
         ["g", "r", "tm_pa"],

@@ -28,6 +28,9 @@ from ..schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
                        VANCOUVER_SCHEMA)
 from ..session import ensure_checkpoint_dir
 from ..sources import files as SRC
+from ..sources.catalog import Catalog
+from ..streaming.ingest import start_feed_stream
+from . import jobs as J
 from . import standins as V
 from .oracle_sql import SQL
 
@@ -343,6 +346,11 @@ def q_feed_socrata(spark, sf):
     return _feed_out(_socrata(spark, sf).kept)
 
 
+def q_feed_socrata_rejects(spark, sf):
+    r = FD.adapt_socrata(V.raw_socrata(spark, sf), _tm_events(spark), key="none", broadcast="fixed").rejected
+    return r.groupBy("reason", "crimesub_type").agg(F.sum("count").cast("bigint").alias("count"))
+
+
 def q_feed_edmonton(spark, sf):
     return _feed_out(_edmonton(spark, sf).kept)
 
@@ -402,6 +410,57 @@ def q_landed_edmonton_json(spark, sf):
                                        V.part_places(spark, sf, resolver=True), key="none", broadcast="fixed").kept)
 
 
+# ---- tables kept over time: each query writes a catalogue of its own in the shared folder ----
+
+def _catalog(spark) -> Catalog:
+    return Catalog(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-catalog-{uuid.uuid4().hex}")
+
+
+def _keyed_socrata(spark, sf):
+    """The Socrata incidents, keyed, with awkward cities: null, empty, and one of digits."""
+    inc = FD.adapt_socrata(V.raw_socrata(spark, sf), _tm_events(spark), broadcast="fixed").kept
+    n = F.pmod(F.col("month"), F.lit(5))
+    return inc.withColumn("city", F.when(n == 0, F.lit(None).cast("string")).when(n == 1, "").when(n == 2, "007").otherwise(F.col("city")))
+
+
+def q_catalog_merge(spark, sf):
+    """Half the rows loaded, then all of them merged by key."""
+    cat, inc = _catalog(spark), _keyed_socrata(spark, sf)
+    cat.merge_partitions("incidents", inc.filter("month <= 6").withColumn("count", F.lit(99)), ["uuid"])
+    cat.merge_partitions("incidents", inc, ["uuid"], unique=True)
+    return _feed_out(cat.read("incidents"))
+
+
+def q_catalog_city_reload(spark, sf):
+    """K3: the digit city replaced by a snapshot derived from the table itself."""
+    cat = _catalog(spark)
+    cat.write("incidents", _keyed_socrata(spark, sf))
+    cat.replace_partitions("incidents", cat.read("incidents").filter("city = '007' and month <= 6"))
+    return _feed_out(cat.read("incidents"))
+
+
+def q_summaries_incremental(spark, sf):
+    """K2, A1: two loads with a refresh after each; the stored year-on-year table."""
+    cat, inc = _catalog(spark), _keyed_socrata(spark, sf)
+    for load, part in (("a", "month <= 6"), ("b", "month > 6")):
+        rows = inc.filter(part).withColumn("reason", F.lit(None).cast("string"))
+        J.load_feed(cat, FD.FeedResult(rows, key="none"), load)
+        out = J.refresh_summaries(cat)
+    assert out
+    return cat.read("crimes_yoy")
+
+
+def q_stream_cut_invariant(spark, sf):
+    """The feed landed as several files and streamed one file at a time."""
+    cat = _catalog(spark)
+    path = f"{cat.root}/landing"
+    V.raw_socrata(spark, sf).repartition(3).write.json(path)
+    tm = _tm_events(spark)
+    start_feed_stream(spark, path, SOCRATA_INCIDENT_SCHEMA, lambda df: FD.adapt_socrata(df, tm, broadcast="fixed"), cat,
+                      name=uuid.uuid4().hex, checkpoint=f"{cat.root}/progress", max_files_per_trigger=1).awaitTermination()
+    return _feed_out(cat.read("incidents"))
+
+
 def q_incidents_summary_yoy(spark, sf):
     """A1 over the union of all adapted feeds (the canonical table)."""
     feeds = [_vancouver, _calgary, _toronto, _socrata, _edmonton]
@@ -450,6 +509,11 @@ QUERIES: list[Query] = [
     Query("feed_calgary_rejects", q_feed_calgary_rejects, SQL["feed_calgary_rejects"]),
     Query("feed_toronto", q_feed_toronto, SQL["feed_toronto"]),
     Query("feed_socrata", q_feed_socrata, SQL["feed_socrata"]),
+    Query("feed_socrata_rejects", q_feed_socrata_rejects, SQL["feed_socrata_rejects"]),
+    Query("catalog_merge", q_catalog_merge, SQL["catalog_merge"]),
+    Query("catalog_city_reload", q_catalog_city_reload, SQL["catalog_city_reload"]),
+    Query("summaries_incremental", q_summaries_incremental, SQL["summaries_incremental"]),
+    Query("stream_cut_invariant", q_stream_cut_invariant, SQL["feed_socrata"]),
     Query("feed_edmonton", q_feed_edmonton, SQL["feed_edmonton"]),
     Query("feed_edmonton_rejects", q_feed_edmonton_rejects, SQL["feed_edmonton_rejects"]),
     Query("union_feeds", q_union_feeds, SQL["union_feeds"]),

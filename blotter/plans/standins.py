@@ -41,18 +41,9 @@ V2_YEARS = (2023, 2024)
 GATE_CITIES = ["NATION_1", "NATION_3", "NATION_5", "NATION_7", "NATION_11", "NATION_13", "NATION_17"]
 
 
-_TABLES: dict[tuple[int, str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's table ``name`` (one handle per session and path, so the
-    file listing and footer read happen once, not once per use)."""
-    key = (id(spark), sf_dir, name)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        _TABLES[key] = df
-    return df
+    """The driver's table ``name``."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def nation(spark, sf_dir) -> DataFrame:

@@ -9,28 +9,54 @@ its own plan reads.
 
 The incident table is partitioned by ``(city, year)``: a feed load merges
 into only the (city, year) partitions its rows touch, and a reload replaces
-only its cities. Those rows are staged in the shared checkpoint folder and
-swapped in by dynamic partition overwrite, so the cost follows the data
-loaded, not the table (the swap is per partition, not atomic across
-partitions). City and year filters prune folders at planning time.
+only its cities. The new partition folders are staged complete under the table
+root, a marker names them, and each is then moved into place; a job that dies
+in between is finished from the marker by the next write (or ``recover``).
+Which partitions a load touches is read from the staged folder names, so no
+rows and no value lists are collected, and old rows are read by folder.
+
+Every table is read with the schema it was written with (``_schemas/``), never
+one inferred from folder names: a city ``007`` stays text. The empty text, which
+a partition folder cannot hold apart from null, is stored escaped.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import upsert_by_key
-from ..session import ensure_checkpoint_dir
+from pyspark.sql import types as T
+
+from ..operators.upsert import latest_per_key, upsert_by_key
 
 # Tables and their partition columns. Incidents are partitioned by city and
 # year: a load touches only the (city, year) partitions of its rows, and year
 # ranges prune files like city lists do.
 PARTITIONS = {"incidents": ["city", "year"]}
-_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPE = "="       # first character of an escaped partition text: '' -> '=', '=x' -> '==x'
+
+
+def _escaped(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Partition texts as folder names can hold them."""
+    for c in parts:
+        if isinstance(df.schema[c].dataType, T.StringType):
+            v = F.col(f"`{c}`")
+            df = df.withColumn(c, F.when((v == "") | v.startswith(_ESCAPE), F.concat(F.lit(_ESCAPE), v)).otherwise(v))
+    return df
+
+
+def _plain(df: DataFrame, schema: T.StructType, parts: list[str]) -> DataFrame:
+    """Inverse of :func:`_escaped`, with the columns in the table's order."""
+    out = []
+    for f in schema.fields:
+        v = F.col(f"`{f.name}`")
+        if f.name in parts and isinstance(f.dataType, T.StringType):
+            v = F.when(v.startswith(_ESCAPE), F.substring(v, 2, 1 << 30)).otherwise(v).alias(f.name)
+        out.append(v)
+    return df.select(*out)
 
 
 class Catalog:
@@ -97,22 +123,58 @@ class Catalog:
         p = self.current_path(name)
         if p is None:
             raise FileNotFoundError(f"table {name!r} has no committed version under {self.root}")
-        return self.spark.read.parquet(p)
+        return self._scan(name, p, [p])
+
+    def schema(self, name: str, path: str) -> T.StructType:
+        """The schema the version at ``path`` was written with."""
+        f = self._Path(self._schema_path(name, path))
+        if not self._fs.exists(f):
+            return self.spark.read.parquet(path).schema
+        src = self._fs.open(f)
+        try:
+            return T.StructType.fromJson(json.loads(bytes(src.readAllBytes()).decode()))
+        finally:
+            src.close()
+
+    def _scan(self, name: str, base: str, paths: list[str]) -> DataFrame:
+        schema, parts = self.schema(name, base), PARTITIONS.get(name, [])
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return _plain(self.spark.read.schema(schema).option("basePath", base).parquet(*paths), schema, parts)
+
+    def _schema_path(self, name: str, path: str) -> str:
+        return f"{self._table_dir(name)}/_schemas/{path.rstrip('/').rpartition('/')[2]}.json"
+
+    def _write_text(self, path: str, text: str) -> None:
+        out = self._fs.create(self._Path(path), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def _leaves(self, base: str, depth: int) -> list[str]:
+        """Partition folders (relative paths) ``depth`` levels below ``base``."""
+        level = [""]
+        for _ in range(depth):
+            level = [f"{rel}/{st.getPath().getName()}" for rel in level for st in self._fs.listStatus(self._Path(base + rel))
+                     if st.isDirectory() and "=" in st.getPath().getName()]
+        return level
 
     # ---- K2: whole-table rewrite (aggregates are rebuilt whole) -----------------
     def write(self, name: str, df: DataFrame) -> str:
         p = self._next_path(name)
-        w = df.write.mode("errorifexists")
+        self._write_text(self._schema_path(name, p), df.schema.json())
         parts = PARTITIONS.get(name)
         if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(p)
+            _escaped(df, parts).write.mode("errorifexists").partitionBy(*parts).parquet(p)
+        else:
+            df.write.mode("errorifexists").parquet(p)
         return p
 
     # ---- K1: insert-or-replace by key ------------------------------------------
     def upsert(self, name: str, new: DataFrame, keys: list[str]) -> str:
         if not self.exists(name):
-            return self.write(name, new)
+            return self.write(name, latest_per_key(new, keys))
         merged = upsert_by_key(self.read(name), new, keys)
         return self.write(name, merged)
 
@@ -121,93 +183,105 @@ class Catalog:
         """Replace every partition of the top-level values in ``df`` (for
         incidents: each city in ``df``) with ``df``; other cities untouched.
 
-        Cost is proportional to the reloaded cities, not the table: the new
-        rows are staged in the shared checkpoint folder (so ``df`` may even be
-        derived from this table), swapped in by dynamic partition overwrite,
-        and then the reloaded cities' sub-partitions that ``df`` no longer has
-        (e.g. a year dropped from the feed) are removed.
+        Cost is proportional to the reloaded cities, not the table. The new
+        rows are staged first and everything later works on the staged copy,
+        so ``df`` may be derived from this table. Sub-partitions of the
+        reloaded cities that ``df`` no longer has (a year dropped from the
+        feed) are removed.
         """
-        parts = PARTITIONS.get(name)
-        if not parts:
-            raise ValueError(f"table {name!r} is not partitioned")
+        parts = self._parts(name)
+        self.recover(name)
         if not self.exists(name):
             return self.write(name, df)
         cur = self.current_path(name)
-        cols = self.spark.read.parquet(cur).columns
-        rows = df.select(*cols)
-        self._swap_in(cur, rows, parts)
-        if len(parts) > 1:
-            # bounded: one row per (city, year) present in the reload
-            present = {tuple(r) for r in rows.select(*parts).distinct().collect()}
-            self._drop_stale(cur, parts, present)
+        stage = self._stage(name, df.select(*self.schema(name, cur).names), parts)
+        self._swap(name, cur, stage, parts, whole_tops=True)
         return cur
 
-    def _drop_stale(self, cur: str, parts: list[str], present: set[tuple]) -> None:
-        """Delete sub-partition folders of the reloaded top-level values that
-        are not in ``present``. Folder names are decoded, never built, so no
-        path-escaping rule has to be reproduced here."""
-        def decode(name: str, col: str):
-            v = unquote(name[len(col) + 1:])
-            return None if v == _NULL_PART else v
-
-        def walk(path, depth: int, prefix: tuple):
-            for st in self._fs.listStatus(path):
-                nm = st.getPath().getName()
-                col = parts[depth]
-                if not st.isDirectory() or not nm.startswith(col + "="):
-                    continue
-                key = prefix + (decode(nm, col),)
-                if depth == 0 and key[0] not in tops:
-                    continue
-                if depth == len(parts) - 1:
-                    if tuple(str(x) if x is not None else None for x in key) not in present_str:
-                        self._fs.delete(st.getPath(), True)
-                else:
-                    walk(st.getPath(), depth + 1, key)
-
-        present_str = {tuple(str(x) if x is not None else None for x in p) for p in present}
-        tops = {str(p[0]) if p[0] is not None else None for p in present}
-        walk(self._Path(cur), 0, ())
-
-    def _swap_in(self, cur: str, rows: DataFrame, parts: list[str]) -> None:
-        stage = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/blotter-stage-{uuid.uuid4().hex}"
-        rows.write.mode("errorifexists").partitionBy(*parts).parquet(stage)
-        staged = self.spark.read.parquet(stage).select(*rows.columns)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*parts).parquet(cur))
-        self._fs.delete(self._Path(stage), True)
+    def _parts(self, name: str) -> list[str]:
+        parts = PARTITIONS.get(name)
+        if not parts:
+            raise ValueError(f"table {name!r} is not partitioned")
+        return parts
+
+    def _stage(self, name: str, rows: DataFrame, parts: list[str]) -> str:
+        stage = f"{self._table_dir(name)}/_stage-{uuid.uuid4().hex}"
+        _escaped(rows, parts).write.mode("errorifexists").partitionBy(*parts).parquet(stage)
+        return stage
+
+    # ---- the swap, and its recovery --------------------------------------------
+    def _marker(self, name: str) -> str:
+        return f"{self._table_dir(name)}/_pending.json"
+
+    def _swap(self, name: str, cur: str, stage: str, parts: list[str], whole_tops: bool) -> None:
+        """Move the staged partition folders into ``cur``; the marker makes it repeatable."""
+        moves = self._leaves(stage, len(parts))
+        stale = []
+        if whole_tops:
+            tops = {m.split("/")[1] for m in moves}
+            stale = [x for t in sorted(tops) if self._fs.exists(self._Path(f"{cur}/{t}"))
+                     for x in (f"/{t}{y}" for y in self._leaves(f"{cur}/{t}", len(parts) - 1)) if x not in set(moves)]
+        self._write_text(self._marker(name), json.dumps({"version": cur, "stage": stage, "moves": moves, "stale": stale}))
+        self.recover(name)
+
+    def recover(self, name: str) -> bool:
+        """Finish a swap that was interrupted; true if there was one."""
+        marker = self._Path(self._marker(name))
+        if not self._fs.exists(marker):
+            return False
+        src = self._fs.open(marker)
+        try:
+            todo = json.loads(bytes(src.readAllBytes()).decode())
+        finally:
+            src.close()
+        for rel in todo["moves"]:
+            staged, place = self._Path(todo["stage"] + rel), self._Path(todo["version"] + rel)
+            if not self._fs.exists(staged):
+                continue  # moved before the interruption
+            self._fs.delete(place, True)
+            self._fs.mkdirs(place.getParent())
+            if not self._fs.rename(staged, place):
+                raise OSError(f"cannot move {staged} to {place}")
+        for rel in todo["stale"]:
+            self._fs.delete(self._Path(todo["version"] + rel), True)
+        self._fs.delete(marker, False)
+        self._fs.delete(self._Path(todo["stage"]), True)
+        return True
 
     # ---- K1 on a partitioned table: merge only the touched partitions ---------
-    def merge_partitions(self, name: str, new: DataFrame, keys: list[str]) -> str:
+    def merge_partitions(self, name: str, new: DataFrame, keys: list[str], unique: bool = False) -> str:
         """Upsert ``new`` into the partitions it touches; others are not rewritten.
 
-        The merged rows of the touched partitions are staged in the shared
-        checkpoint folder first (a plan may not overwrite the path it reads),
-        then swapped in with a dynamic partition overwrite. The list of
-        touched partition values is small (cities), so it is fetched to plan
-        a pruned read of the old rows.
+        ``new`` is staged, its folder names say which partitions it touches,
+        and only those folders of the table are read. ``unique``: the keys of
+        ``new`` are unique by construction.
         """
-        parts = PARTITIONS.get(name)
-        if not parts:
-            raise ValueError(f"table {name!r} is not partitioned")
+        parts = self._parts(name)
+        self.recover(name)
         if not self.exists(name):
             return self.write(name, new)
         cur = self.current_path(name)
-        old = self.spark.read.parquet(cur)
-        touched = [tuple(r) for r in new.select(*parts).distinct().collect()]
-        if not touched:
-            return cur
-        cond = None
-        for vals in touched:
-            c = None
-            for col, v in zip(parts, vals):
-                e = F.col(col).isNull() if v is None else (F.col(col) == F.lit(v))
-                c = e if c is None else (c & e)
-            cond = c if cond is None else (cond | c)
-        merged = upsert_by_key(old.filter(cond), new.select(*old.columns), keys)
-        self._swap_in(cur, merged, parts)
+        schema = self.schema(name, cur)
+        landed = self._stage(name, new.select(*schema.names), parts)
+        touched = self._leaves(landed, len(parts))
+        if touched:
+            rows = _plain(self.spark.read.schema(schema).option("basePath", landed).parquet(landed), schema, parts)
+            merged = upsert_by_key(self._read_folders(name, cur, touched), rows, keys, unique=unique)
+            self._swap(name, cur, self._stage(name, merged, parts), parts, whole_tops=False)
+        self._fs.delete(self._Path(landed), True)
         return cur
 
+    def _read_folders(self, name: str, cur: str, leaves: list[str]) -> DataFrame:
+        return self._scan(name, cur, [cur + x for x in leaves if self._fs.exists(self._Path(cur + x))])
+
+    def read_partitions(self, name: str, pairs: DataFrame) -> DataFrame:
+        """Rows of the partitions whose values are in ``pairs``; only their folders are read."""
+        parts, cur = self._parts(name), self.current_path(name)
+        names = self._stage(name, pairs.select(*parts, F.lit(1).alias("__one")).distinct(), parts)
+        out = self._read_folders(name, cur, self._leaves(names, len(parts)))
+        self._fs.delete(self._Path(names), True)
+        return out
+
     # ---- append log keyed by batch id (idempotent on replay) -------------------
     def write_epoch(self, name: str, df: DataFrame, epoch: int | str) -> str:
         """Write one batch's rows to ``<name>/epoch=<id>``; a replay of the

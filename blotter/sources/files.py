@@ -18,6 +18,11 @@ from ..schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
                        TORONTO_SCHEMA, TYPE_MAP_SCHEMA, VANCOUVER_SCHEMA)
 
 
+def sourced(df: DataFrame, on: bool) -> DataFrame:
+    """Add the landed file's path as ``_source`` (part of the rows' identity, see operators.keys)."""
+    return df.withColumn("_source", F.col("_metadata.file_path")) if on else df
+
+
 def read_type_map_csv(spark: SparkSession, path: str, schema: T.StructType = TYPE_MAP_SCHEMA) -> DataFrame:
     """Headerless two-column CSV with a fixed schema (values kept as is)."""
     return (spark.read.schema(schema)
@@ -28,7 +33,8 @@ def read_type_map_csv(spark: SparkSession, path: str, schema: T.StructType = TYP
             .csv(path))
 
 
-def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType = VANCOUVER_SCHEMA) -> DataFrame:
+def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType = VANCOUVER_SCHEMA,
+                         source: bool = False) -> DataFrame:
     """Header CSV whose columns are bound to ``schema`` by *name*.
 
     The file is read as text columns named by its header (no inference
@@ -37,21 +43,21 @@ def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType =
     and a bad value becomes null instead of failing the job. A declared
     field missing from the header is an error.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = sourced(spark.read.option("header", True).option("inferSchema", False).csv(path), source)
     have = set(raw.columns)
     missing = [f.name for f in schema.fields if f.name not in have]
     if missing:
         raise ValueError(f"CSV header lacks declared columns {missing}")
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *["_source"] * source)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType = SOCRATA_INCIDENT_SCHEMA,
-                    line_delimited: bool = False) -> DataFrame:
+                    line_delimited: bool = False, source: bool = False) -> DataFrame:
     """S3: a file holding one JSON array of flat records (or JSON lines)."""
-    return spark.read.schema(schema).json(path, multiLine=not line_delimited)
+    return sourced(spark.read.schema(schema).json(path, multiLine=not line_delimited), source)
 
 
-def read_geojson_features(spark: SparkSession, path: str, line_delimited: bool = False) -> DataFrame:
+def read_geojson_features(spark: SparkSession, path: str, line_delimited: bool = False, source: bool = False) -> DataFrame:
     """GeoJSON -> one row per feature with a ``properties`` struct.
 
     A FeatureCollection document is exploded with ``inline(features)``; with
@@ -60,18 +66,18 @@ def read_geojson_features(spark: SparkSession, path: str, line_delimited: bool =
     if line_delimited:
         feat = T.StructType([T.StructField("type", T.StringType()),
                              T.StructField("properties", TORONTO_PROPERTIES)])
-        return spark.read.schema(feat).json(path)
-    doc = spark.read.schema(TORONTO_SCHEMA).json(path, multiLine=True)
-    return doc.select(F.inline("features"))
+        return sourced(spark.read.schema(feat).json(path), source)
+    doc = sourced(spark.read.schema(TORONTO_SCHEMA).json(path, multiLine=True), source)
+    return doc.select(F.inline("features"), *["_source"] * source)
 
 
 def read_records_json(spark: SparkSession, path: str, schema: T.StructType = CALGARY_SCHEMA,
-                      line_delimited: bool = True) -> DataFrame:
+                      line_delimited: bool = True, source: bool = False) -> DataFrame:
     """API records landed as JSON (one record per line by default)."""
-    return spark.read.schema(schema).json(path, multiLine=not line_delimited)
+    return sourced(spark.read.schema(schema).json(path, multiLine=not line_delimited), source)
 
 
 def read_all_string_records(spark: SparkSession, path: str, schema: T.StructType = EDMONTON_SCHEMA,
-                            line_delimited: bool = True) -> DataFrame:
+                            line_delimited: bool = True, source: bool = False) -> DataFrame:
     """Records whose every field is a string, bound by name."""
-    return spark.read.schema(schema).json(path, multiLine=not line_delimited)
+    return sourced(spark.read.schema(schema).json(path, multiLine=not line_delimited), source)

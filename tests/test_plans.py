@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from blotter.operators import summaries as S
+from blotter.plans import registry
 from blotter.plans import standins as V
 from blotter.sources.catalog import Catalog
 
@@ -17,7 +18,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if n != "gbt_score"])
+@pytest.mark.parametrize("name", [n for n in registry.queries() if n != "gbt_score"])
 def test_no_python_udf_no_cross_join(spark, sf_dir, name):
     plan = _plan(E.queries()[name](spark, sf_dir))
     for bad in FORBIDDEN:
@@ -48,13 +49,11 @@ def test_partition_pruning_and_pushdown_on_incident_table(spark, sf_dir, tmp_pat
 
 def test_lookup_side_policies(spark):
     from blotter.lookups import type_map_df
-    from blotter.operators.joins import bounded_broadcast, lookup_side
+    from blotter.operators.joins import lookup_side
     fact = spark.range(1000).selectExpr("CAST(id % 3 AS STRING) AS sub_type")
     tm = type_map_df(spark, [("0", "A"), ("1", "B")])
-    for policy, expect_hint in (("fixed", True), ("check", True)):
+    for policy, expect_hint in (("fixed", True),):
         plan = _plan(fact.join(lookup_side(tm, policy), "sub_type", "left"))
         assert ("BroadcastHashJoin" in plan) == expect_hint, policy
-    big = spark.range(50).selectExpr("CAST(id AS STRING) AS sub_type", "'x' AS type")
-    assert bounded_broadcast(big, max_rows=10) is big          # over the bound: no hint
     with pytest.raises(ValueError):
         lookup_side(tm, "always")

@@ -30,11 +30,32 @@ def test_stream_ingest_is_idempotent(spark, tmp_path):
     inc = cat.read("incidents").collect()
     assert len(inc) == 2 and len({r["uuid"] for r in inc}) == 2          # identical rows kept apart
     assert cat.read_log("incident_rejects").count() == 1
-    # second landing: only the new file is processed; same content keys merge
+    # second landing: only the new file is processed; its rows are new incidents, though equal
     _land(land, "b.json", [rec, rec])
     q = start_feed_stream(spark, str(land), SOCRATA_INCIDENT_SCHEMA, adapt, cat, name="t", checkpoint=ck)
     q.awaitTermination(120)
-    assert cat.read("incidents").count() == 2
+    assert cat.read("incidents").count() == 4
+    # the same files replayed from the start: no change
+    q = start_feed_stream(spark, str(land), SOCRATA_INCIDENT_SCHEMA, adapt, cat, name="t", checkpoint=str(tmp_path / "ckpt2"))
+    q.awaitTermination(120)
+    assert cat.read("incidents").count() == 4
+
+
+def test_stream_does_not_depend_on_the_batch_cut(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    rec = {"incident_datetime": "2017-12-31T23:10:00.000", "address_1": "1 Elgin", "city": "Ottawa",
+           "latitude": "45.42", "longitude": "-75.69", "hour_of_day": "23", "parent_incident_type": "Traffic"}
+    for i in range(3):
+        _land(land, f"{i}.json", [rec, rec, dict(rec, hour_of_day=str(i))])
+    tm = type_map_df(spark)
+    keys = []
+    for n in (1, 64):
+        cat = Catalog(spark, str(tmp_path / f"wh{n}"))
+        start_feed_stream(spark, str(land), SOCRATA_INCIDENT_SCHEMA, lambda df: adapt_socrata(df, tm), cat, name=f"cut{n}",
+                          checkpoint=str(tmp_path / f"ck{n}"), max_files_per_trigger=n).awaitTermination(120)
+        keys.append(sorted(r["uuid"] for r in cat.read("incidents").collect()))
+    assert len(keys[0]) == 9 and keys[0] == keys[1]
 
 
 def test_stream_replay_after_crash_is_idempotent(spark, tmp_path):
