@@ -48,6 +48,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL_ROWS = 500_000       # narrow rows that may be broadcast
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` (a written table of narrow rows) with a broadcast hint if it has few rows, else left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

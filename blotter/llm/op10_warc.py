@@ -49,8 +49,6 @@ FILE_BYTES = 64 << 20
 PARTITION_BYTES = 64 << 20
 HEAD_BYTES = 1024
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-SMALL_ROWS = 500_000
-
 
 # --- records ---------------------------------------------------------------
 
@@ -332,8 +330,7 @@ def with_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     same = (rows.where(F.octet_length("payload") >= min_bytes).select("payload_digest", rank.alias("rank"))
             .groupBy("payload_digest").agg(F.count("*").alias("n"), F.max("rank").alias("first")).where("n > 1"))
     same = C.materialize(same.select(F.col("payload_digest").alias("digest"), "first"), "copies")
-    same = F.broadcast(same) if same.count() <= SMALL_ROWS else same
-    joined = rows.join(same, F.col("payload_digest") == F.col("digest"), "left")
+    joined = rows.join(C.small_side(same), F.col("payload_digest") == F.col("digest"), "left")
     lead = F.col("first").isNull() | rank.eqNullSafe(F.col("first"))
     # rows equal in page_id, url and payload: only one of them leads
     ties = C.materialize(joined.where(F.col("first").isNotNull() & lead).select("digest", F.monotonically_increasing_id().alias("row")), "leads")

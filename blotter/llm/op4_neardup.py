@@ -40,7 +40,6 @@ BANDS, ROWS = 24, 4
 SHINGLE_WORDS = 5
 ROUND_ELEMENTS = 400_000   # shingles whose permutations are held at once
 BLOCK = 600                # members of a block; a task compares two blocks
-SMALL_ROWS = 500_000       # rows of (id, hash) that may be broadcast
 
 
 def superminhash(sets: np.ndarray, offs: np.ndarray, slots: int) -> np.ndarray:
@@ -237,11 +236,6 @@ def block_links(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return tasks.join(sets, "id").groupBy("key", "lo", "hi").applyInPandas(compare, "a long, b long").distinct()
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it has few rows (counted), else left to a shuffle join."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
-
-
 def find_links(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Links (a, b) that connect all components among class representatives (id, doc, th, bands)."""
     long = reps.select("id", F.explode("bands").alias("key"))
@@ -249,7 +243,7 @@ def find_links(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
     buckets = C.materialize(long.join(full, "key"), "buckets")
     wanted = C.materialize(reps.select("id", "doc", "th").join(buckets.select("id").distinct(), "id", "left_semi"), "wanted")
     texts = docs.select(F.col("doc_id").alias("d"), "text", F.xxhash64("text").alias("h"))
-    picked = texts.join(small(wanted), F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
+    picked = texts.join(C.small_side(wanted), F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
     # repeated rows give the same set twice: the later distinct keeps one
     sets = C.materialize(full_sets(picked.select("id", "text"), size).dropDuplicates(["id"]), "sets")
     first = C.materialize(hub_links(buckets, sets, percent), "hub-links")
@@ -297,8 +291,8 @@ def keep_one(docs: DataFrame, percent: int = 80, size: int = SHINGLE_WORDS, band
              .select(F.col("doc_id").alias("__d"), F.col("th").alias("__h")))
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(docs["text"]) == F.col("__h"))
     gone, twice = C.materialize(gone, "gone"), C.materialize(twice, "twice")
-    stay = docs.join(small(gone), same, "left_anti")
+    stay = docs.join(C.small_side(gone), same, "left_anti")
     if twice.isEmpty():
         return stay
-    return stay.join(small(twice), same, "left_anti").unionByName(
-        stay.join(small(twice), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return stay.join(C.small_side(twice), same, "left_anti").unionByName(
+        stay.join(C.small_side(twice), same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -60,14 +60,14 @@ def test_html_host_repeats(spark, monkeypatch, array_pages):
     """Unmarked pages lose what stands on three pages of the host, whichever arrays the pages are dealt to."""
     monkeypatch.setattr(op9_html, "ARRAY_PAGES", array_pages)
     common_part = "<div>all of our pages carry these nine plain words</div>"
-    rows = [(i, f"http://h.org/{i}", f"<body>{common_part}<p>own words number {i} stay here</p></body>") for i in range(6)]
+    rows = [(i, f"http://h.org/{i}", f"<body>{common_part}<p>u{i} v{i} w{i} stay here</p></body>") for i in range(6)]
     rows += [(10, "http://other.org/", f"<body>{common_part}</body>"), (11, None, None), (12, "http://h.org/x", ""),
              (13, "http://h.org/y", f"<article>{common_part}</article>"), (0, "http://h.org/0", rows[0][2])]
     df = spark.createDataFrame([(*r, 7) for r in rows], "page_id long, url string, html string, host int")
     got = collections.Counter((r.page_id, r.text, r.n_chars) for r in op9_html.extract(df).collect())
     plain = "all of our pages carry these nine plain words"
     want = collections.Counter((i, t, len(t)) for i, t in
-                               [(i, f"own words number {i} stay here") for i in range(6)] + [(0, "own words number 0 stay here"), (10, plain), (11, ""), (12, ""), (13, plain)])
+                               [(i, f"u{i} v{i} w{i} stay here") for i in range(6)] + [(0, "u0 v0 w0 stay here"), (10, plain), (11, ""), (12, ""), (13, plain)])
     assert got == want
     assert op9_html.extract(df.where("false")).count() == 0
 
