@@ -161,7 +161,8 @@ def components(links: DataFrame, name: str = "cc") -> DataFrame:
 def hub_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between bucket members and their bucket's hub, on full sets."""
     hubs = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), F.col("id").alias("id"))).alias("hub"))
-    pairs = (buckets.join(hubs.select("key", F.col("hub.id").alias("b")), "key").where("id <> b")
+    hubs = C.materialize(hubs.select("key", F.col("hub.id").alias("b")), "hubs")
+    pairs = (buckets.join(hubs, "key").where("id <> b")
              .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct())
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
@@ -239,7 +240,8 @@ def block_links(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def find_links(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Links (a, b) that connect all components among class representatives (id, doc, th, bands)."""
     long = reps.select("id", F.explode("bands").alias("key"))
-    full = long.groupBy("key").count().where("count > 1").select("key")
+    # written first, so that the join has exchanges of its own, whose skewed partitions Spark can split
+    full = C.materialize(long.groupBy("key").count().where("count > 1").select("key"), "full-buckets")
     buckets = C.materialize(long.join(full, "key"), "buckets")
     wanted = C.materialize(reps.select("id", "doc", "th").join(buckets.select("id").distinct(), "id", "left_semi"), "wanted")
     texts = docs.select(F.col("doc_id").alias("d"), "text", F.xxhash64("text").alias("h"))
