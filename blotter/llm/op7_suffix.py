@@ -248,7 +248,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     piece = F.struct("doc_id", "th", "pos", "lo", "hi")
     p = C.materialize(r.groupBy("ah", "ph").agg(F.count("*").alias("n"), F.min(piece).alias("at")), "pieces")
     whole = r.join(p.where("n > 1").select("ah", "ph"), ["ah", "ph"]).select("doc_id", "th", F.col("lo").alias("s"), (F.col("hi") + window).alias("e"))
-    distinct = p.groupBy("ah").agg(F.count("*").alias("pieces")).where("pieces > 1")
+    distinct = C.materialize(p.groupBy("ah").agg(F.count("*").alias("pieces")).where("pieces > 1"), "distinct")
     mixed = p.join(distinct, "ah").select("ah", "n", "pieces", "at.*")
     wanted = mixed.groupBy("doc_id", "th").agg(F.collect_list(F.struct("ah", "n", "pieces", "pos", "lo", "hi")).alias("list"))
     wanted = wanted.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "list")
