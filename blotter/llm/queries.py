@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_token_counts, op10_warc, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix, op8_chat, op9_html
+from . import op1_token_counts, op10_warc, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix, op8_chat, op9_html, oracles
 from .common import table
 
 
@@ -69,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
