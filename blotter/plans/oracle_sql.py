@@ -360,6 +360,7 @@ SQL: dict[str, str] = {
                               "SELECT 'unmapped_type' AS reason, crimesub_type, CAST(COUNT(*) AS BIGINT) AS count FROM v2 "
                               "JOIN loc ON c_custkey = loc_id LEFT JOIN tm_ev t ON crimesub_type = t.sub_type "
                               "WHERE t.type IS NULL GROUP BY crimesub_type"),
+    "type_map_csv": "SELECT p_partkey, p_type AS crimesub_type, 'T ' || p_type AS crime_type FROM part",
     "catalog_merge": _socrata_cities("SELECT * FROM inc"),
     "catalog_city_reload": _socrata_cities("SELECT * FROM inc WHERE city IS DISTINCT FROM '007' OR month <= 6"),
     "summaries_incremental": _socrata_cities(f"SELECT city, crime_type, year, {SUM_COUNT} FROM inc "

@@ -410,6 +410,39 @@ def q_landed_edmonton_json(spark, sf):
                                        V.part_places(spark, sf, resolver=True), key="none", broadcast="fixed").kept)
 
 
+def _land_documents(spark, df, head: str, tail: str) -> str:
+    """Whole JSON documents of at most 5,000 records, one a file."""
+    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-landed-{uuid.uuid4().hex}"
+    rows = df.select(F.to_json(F.struct("*")).alias("j"), F.floor(F.monotonically_increasing_id() / 5000).alias("k"))
+    docs = rows.groupBy("k").agg(F.concat(F.lit(head), F.array_join(F.collect_list("j"), ","), F.lit(tail)).alias("value"))
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(d)
+    return d
+
+
+def q_landed_socrata_document(spark, sf):
+    """S3: files that each hold one JSON array."""
+    path = _land_documents(spark, V.raw_socrata(spark, sf), "[", "]")
+    raw = SRC.read_json_array(spark, path, SOCRATA_INCIDENT_SCHEMA)
+    return _feed_out(FD.adapt_socrata(raw, _tm_events(spark), key="none", broadcast="fixed").kept)
+
+
+def q_landed_toronto_document(spark, sf):
+    """Files that each hold one FeatureCollection."""
+    path = _land_documents(spark, V.raw_toronto_features(spark, sf), '{"type":"FeatureCollection","features":[', "]}")
+    return _feed_out(FD.adapt_toronto(SRC.read_geojson_features(spark, path), key="none").kept)
+
+
+def q_type_map_csv(spark, sf):
+    """A headerless map file with every key doubled, loaded with one row per key, joined to parts."""
+    part = V.table(spark, sf, "part")
+    types = part.select("p_type").distinct()
+    doubled = types.select("p_type", F.concat(F.lit("T "), "p_type")).union(types.select("p_type", F.concat(F.lit("A "), "p_type")))
+    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-landed-{uuid.uuid4().hex}"
+    doubled.write.csv(d)
+    out = C.classify(part.select("p_partkey", F.col("p_type").alias("crimesub_type")), SRC.read_type_map_csv(spark, d), on_unmapped=C.KEEP)
+    return out.kept.select("p_partkey", "crimesub_type", "crime_type")
+
+
 # ---- tables kept over time: each query writes a catalogue of its own in the shared folder ----
 
 def _catalog(spark) -> Catalog:
@@ -510,6 +543,9 @@ QUERIES: list[Query] = [
     Query("feed_toronto", q_feed_toronto, SQL["feed_toronto"]),
     Query("feed_socrata", q_feed_socrata, SQL["feed_socrata"]),
     Query("feed_socrata_rejects", q_feed_socrata_rejects, SQL["feed_socrata_rejects"]),
+    Query("landed_socrata_document", q_landed_socrata_document, SQL["feed_socrata"]),
+    Query("landed_toronto_document", q_landed_toronto_document, SQL["feed_toronto"]),
+    Query("type_map_csv", q_type_map_csv, SQL["type_map_csv"]),
     Query("catalog_merge", q_catalog_merge, SQL["catalog_merge"]),
     Query("catalog_city_reload", q_catalog_city_reload, SQL["catalog_city_reload"]),
     Query("summaries_incremental", q_summaries_incremental, SQL["summaries_incremental"]),
