@@ -9,6 +9,7 @@ Spark query.
 from __future__ import annotations
 
 from ..functions import columns as K
+from ..lookups import CRIME_CODE_ROWS, SCORE_CODES
 from . import standins as V
 
 
@@ -272,6 +273,13 @@ SQL: dict[str, str] = {
         "2020 AS year, CAST(code AS INTEGER) AS code FROM loc, gk, cd",
         [("gk", "SELECT unnest([" + ", ".join(str(k) for k in V.grid_offsets()) + "]) AS k"),
          ("cd", "SELECT unnest(range(1, 14)) AS code")]),
+    "score_linear": W(
+        ["loc"],
+        "SELECT loc_id, 2020 AS year, type, CAST(ROUND(AVG(code * 10 + CAST(ROUND(CAST(lat AS DECIMAL(18,8)), 3) + k * 0.001 AS DOUBLE) "
+        "+ CAST(0.0003 AS DOUBLE)), 0) AS INTEGER) AS predictions FROM loc, gk, cd WHERE lat IS NOT NULL AND long IS NOT NULL "
+        "GROUP BY loc_id, type",
+        [("gk", "SELECT unnest([" + ", ".join(str(k) for k in V.grid_offsets()) + "]) AS k"),
+         ("cd", "SELECT * FROM (VALUES " + ", ".join(f"({c}, '{t}')" for c, t in CRIME_CODE_ROWS if c in SCORE_CODES) + ") AS t(code, type)")]),
     "locality_concat": W(["v1"], f"SELECT DISTINCT neighbourhood || {SUFFIX} AS locality FROM v1 "
                                  f"WHERE neighbourhood IS NOT NULL"),
     "distinct_neighbourhoods": W(["v1"], "SELECT DISTINCT city, neighbourhood FROM v1"),

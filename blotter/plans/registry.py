@@ -11,6 +11,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -280,6 +282,19 @@ def q_gbt_score(spark, sf):
     return M.score_locations(locs, model, V.PART_CODE_ROWS)
 
 
+def q_score_linear(spark, sf):
+    """A pipeline of SQL stage (a linear formula) and assembler, saved, loaded, scored.
+
+    The added 0.0003 keeps means of three-digit points off the .5 of rounding.
+    """
+    stages = [SQLTransformer(statement="SELECT *, code * 10 + lat + CAST(0.0003 AS DOUBLE) AS prediction FROM __THIS__"),
+              VectorAssembler(inputCols=M.FEATURES, outputCol="input_features", handleInvalid="skip")]
+    locs = V.customer_locations(spark, sf).select("loc_id", "lat", "long")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-model-{uuid.uuid4().hex}"
+    M.save_model(Pipeline(stages=stages).fit(locs), path)
+    return M.score_locations(locs, M.load_model(path), [r for r in CRIME_CODE_ROWS if r[0] in SCORE_CODES])
+
+
 # ---- X9 content keys, K1 upsert ---------------------------------------------------------
 
 CONTENT = ["city", "crime_type", "crimesub_type", "neighbourhood", "year", "month", "hour", "count"]
@@ -534,6 +549,7 @@ QUERIES: list[Query] = [
     Query("any_city_gate", q_any_city_gate, SQL["any_city_gate"]),
     Query("training_features", q_training_features, SQL["training_features"]),
     Query("rmse_metric", q_rmse_metric, SQL["rmse_metric"]),
+    Query("score_linear", q_score_linear, SQL["score_linear"]),
     Query("key_split", q_key_split, SQL["key_split"]),
     Query("content_key_occurrence", q_content_key_occurrence, SQL["content_key_occurrence"]),
     Query("upsert_by_key", q_upsert_by_key, SQL["upsert_by_key"]),
