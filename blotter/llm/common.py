@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import uuid
 
 import numpy as np
@@ -21,7 +22,16 @@ BATCH_CONF = {
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches unless the session's owner chose other bounds."""
+    """Bound Arrow batches unless the session's owner chose other bounds.
+
+    Python workers also get the driver's place of this package on their path,
+    for sessions that were started without it.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     explicit = spark.sparkContext.getConf()
     for k, v in BATCH_CONF.items():
         if not explicit.contains(k):
