@@ -55,6 +55,37 @@ def test_html_blocks():
     assert [t for k, t in op9_html.blocks_of(PAGE % "<div><p>x</p><p>y</div>") if k == 0] == ["x", "y"]
 
 
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar", "with-comments", "related-work", "side-effects", "legal-history", "search-algorithms", "cookies"])
+def test_html_names_are_weak_evidence(name):
+    """Neither what holds the article nor what stands in it is out for a listed word in its name."""
+    def text(page):
+        return [t for k, t in op9_html.blocks_of(page) if k > 0]
+    assert text(f'<nav>n</nav><div class="post-content {name}"><article><p>real</p></article></div><p>rest</p>') == ["real"]
+    assert text(f'<article><p>a<section id="{name}"><h2 id="{name}">b</h2>c</section><div class="{name}">d</div>e</article>') == ["a", "b", "c", "d", "e"]
+    assert text(f'<article><p>one <em class="{name}">two</em> three</article>') == ["one two three"]
+    assert [t for k, t in op9_html.blocks_of(f'<div class="{name}">x</div><p id="{name}">y</p>') if k == 0] == ["x", "y"]
+
+
+def test_html_whole_names():
+    def text(page):
+        return [t for k, t in op9_html.blocks_of(page) if k >= 0]
+    assert text("<article>a<div class='box ad'>b</div><ol class='comment-list'><li>c</ol></article>") == ["a"]
+    assert text("<div class=sidebar><article>the article</article></div><p>foot") == ["the article"]
+    assert text("<form id=aspnet><article>a<form>b</form></article></form>") == ["a"]
+    assert text("<main>the post<div id=c class=comments><article>they said</article></div></main>") == ["the post"]
+    assert text("<p>the text of an unmarked page</p><div class=sidebar><article>teaser</article></div>") == ["the text of an unmarked page"]
+
+
+def test_html_repeats_decide_doubtful_names(spark):
+    """A block of an article goes only under a doubtful name and only if it stands as a whole on three pages of the host."""
+    line = "the same nine words on all pages of ours"
+    pages = [(i, f"http://h.org/{i}", f"<article><p>{line}</p><p>u{i}</p><div class=cookies>{line}</div>"
+              f"<div class=related-work>w{i} {line}</div></article>") for i in range(3)]
+    pages += [(9, "http://g.org/", pages[0][2])]
+    got = {r.page_id: r.text.split("\n\n") for r in op9_html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: [line, f"u{i}", f"w{i} {line}"] for i in range(3)} | {9: [line, "u0", line, f"w0 {line}"]}
+
+
 @pytest.mark.parametrize("array_pages", [1000, 2])
 def test_html_host_repeats(spark, monkeypatch, array_pages):
     """Unmarked pages lose what stands on three pages of the host, whichever arrays the pages are dealt to."""
