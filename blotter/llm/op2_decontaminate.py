@@ -10,9 +10,12 @@ alignment score (match +1, other word -1) reaches ``min(min_score, ceil(
 min_share * words of the item))``.
 
 The document side is one scan without a shuffle: positions, seeds and the join
-stay in one generated stage. Seeds are broadcast in blocks of items of at most
-``block_seeds`` seeds, so the broadcast has a bound whatever the benchmark's
-size; more blocks mean more scans.
+stay in one generated stage. What is broadcast are rows of fixed width (seed, code
+and length of the item, place; an estimated 100 bytes each when hashed), once for
+items of equal words, in blocks of about ``block_seeds`` rows cut by a hash of the
+row, so the broadcast has a bound in bytes however many, long or repetitive the
+items are; more blocks mean more scans. The hits are reduced to one row per
+document, item and diagonal, and only these meet the item's words.
 
 Defined cases: null or empty texts and items without words match nothing; an
 item shorter than the masks is found by its whole word sequence; repeated
@@ -26,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
+
 MASKS = ("110110101111", "111011001011", "101111011011")
 BLOCK_SEEDS = 400_000
 
@@ -58,44 +63,56 @@ def alignment_score(item: Column, window: Column, lead: Column) -> Column:
     return F.aggregate(same, zero, step)
 
 
-def item_seeds(items: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
-    """(item_id, item codes, seed, place) rows and the masks in use."""
+def item_words(items: DataFrame) -> DataFrame:
+    """(item_id, key, item): the items that have words, with a code of their word sequence."""
     items = items.select("item_id", word_codes(F.col("text")).alias("item")).where(F.size("item") > 0)
+    return items.select("item_id", F.xxhash64("item").alias("key"), "item")
+
+
+def item_seeds(items: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """(seed, key, n, place) rows of :func:`item_words`, n the item's number of words, and the masks in use."""
     span = max(map(len, MASKS))
     # short items: at most span - 1 distinct lengths, each with a mask of its own
     short = [r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n") < span).distinct().orderBy("n").collect()]
     masks = MASKS + tuple("1" * n for n in short)
-    seeds = items.select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - 1)).alias("place"))
-    seeds = seeds.select("item_id", "item", "place", F.posexplode(seeds_at(F.col("item"), F.col("place"), masks)).alias("mask", "seed"))
-    whole = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), F.col("mask") + 1) == F.size("item")
+    once = items.select("key", "item").distinct()
+    seeds = once.select("key", "item", F.explode(F.sequence(F.lit(0), F.size("item") - 1)).alias("place"))
+    seeds = seeds.select("key", F.size("item").alias("n"), "place", F.posexplode(seeds_at(F.col("item"), F.col("place"), masks)).alias("mask", "seed"))
+    whole = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), F.col("mask") + 1) == F.col("n")
     long_item = F.col("mask") < len(MASKS)
-    return seeds.where(F.col("seed").isNotNull() & (long_item | whole)), masks
+    return seeds.where(F.col("seed").isNotNull() & (long_item | whole)).select("seed", "key", "n", "place"), masks
+
+
+def seed_blocks(seeds: DataFrame, block_seeds: int) -> list[DataFrame]:
+    """The seeds in blocks of about ``block_seeds`` rows; those of one item, or of one seed, may stand in several."""
+    blocks = max(1, -(-seeds.count() // block_seeds))
+    if blocks == 1:
+        return [seeds]
+    seeds = C.materialize(seeds, "seeds")
+    return [seeds.where(F.pmod(F.xxhash64("seed", "key", "place"), F.lit(blocks)) == b) for b in range(blocks)]
 
 
 def overlaps(docs: DataFrame, items: DataFrame, min_score: int = 13, min_share: float = 0.8,
              block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """Verified overlaps: doc_id, text_hash, item_id, n_item_words, n_matched, score (best per pair)."""
+    items = item_words(items)
     seeds, masks = item_seeds(items)
-    n = seeds.count()
-    blocks = max(1, -(-n // block_seeds))
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_codes(F.col("text")).alias("doc"))
     at = source.select("doc_id", "text_hash", "doc", F.posexplode_outer("doc").alias("at", "code"))
     at = at.select("doc_id", "text_hash", "doc", "at", F.explode(seeds_at(F.col("doc"), F.col("at"), masks)).alias("seed"))
     need = F.least(F.lit(min_score), F.ceil(F.lit(min_share) * F.size("item")).cast("int"))
-    shift, out = F.col("at") - F.col("place"), None
-    for b in range(blocks):  # one round for any benchmark of up to ``block_seeds`` seeds
-        block = seeds if blocks == 1 else seeds.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == b)
-        hits = at.join(F.broadcast(block.select("item_id", "item", "place", "seed")), "seed")
-        # the distinct keeps one row per diagonal, and the scoring (no generated code) out of the join's stage
-        laid = hits.select("doc_id", "text_hash", "item_id", "item", shift.alias("shift"),
-                           F.slice("doc", F.greatest(shift, F.lit(0)) + 1, F.size("item")).alias("window")).distinct()
-        scored = laid.select("doc_id", "text_hash", "item_id", F.size("item").alias("n_item_words"), need.alias("need"),
-                             alignment_score(F.col("item"), F.col("window"), F.greatest(-F.col("shift"), F.lit(0))).alias("a"))
-        found = scored.groupBy("doc_id", "text_hash", "item_id", "need").agg(
-            F.max("n_item_words").alias("n_item_words"), F.max("a.same").alias("n_matched"), F.max("a.best").alias("score"))
-        found = found.where("score >= need").drop("need")
-        out = found if out is None else out.unionByName(found)
-    return out
+    shift, laid = F.col("at") - F.col("place"), None
+    for block in seed_blocks(seeds, block_seeds):  # one round for any benchmark of up to ``block_seeds`` seeds
+        hits = at.join(F.broadcast(block), "seed")
+        hits = hits.select("doc_id", "text_hash", "key", shift.alias("shift"), F.slice("doc", F.greatest(shift, F.lit(0)) + 1, F.col("n")).alias("window"))
+        laid = hits if laid is None else laid.unionByName(hits)
+    # the distinct keeps one row per diagonal, and the scoring (no generated code) out of the join's stage
+    laid = laid.distinct().join(items, "key")
+    scored = laid.select("doc_id", "text_hash", "item_id", F.size("item").alias("n_item_words"), need.alias("need"),
+                         alignment_score(F.col("item"), F.col("window"), F.greatest(-F.col("shift"), F.lit(0))).alias("a"))
+    found = scored.groupBy("doc_id", "text_hash", "item_id", "need").agg(
+        F.max("n_item_words").alias("n_item_words"), F.max("a.same").alias("n_matched"), F.max("a.best").alias("score"))
+    return found.where("score >= need").drop("need")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, **params) -> DataFrame:

@@ -327,6 +327,20 @@ def test_decontamination(spark, benchmark_items):
     assert op2_decontaminate.contaminated(df.where("false"), benchmark_items).count() == 0
 
 
+def test_decontamination_broadcast_is_bounded(spark):
+    """Seeds have a fixed width and one item's seeds, or one seed's places, are split over blocks."""
+    rows = [(1, passage(41, 3000)), (2, passage(41, 3000)), (3, " ".join(["la"] * 2000))]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    seeds, _ = op2_decontaminate.item_seeds(op2_decontaminate.item_words(items))
+    assert {t for _, t in seeds.dtypes} <= {"bigint", "int"}
+    blocks = op2_decontaminate.seed_blocks(seeds, 2000)
+    sizes = [b.count() for b in blocks]
+    assert sum(sizes) == 3 * (2989 + 1989) and max(sizes) < 2400
+    docs = spark.createDataFrame([(1, passage(42, 30) + " " + rows[0][1]), (2, " ".join(["la"] * 40)), (3, passage(43, 500))], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.score) for r in op2_decontaminate.contaminated(docs, items, block_seeds=4000).collect()}
+    assert got == {(1, 1, 3000), (1, 2, 3000), (2, 3, 40)}
+
+
 def test_decontamination_needs_no_python(spark, benchmark_items):
     df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     plan = op2_decontaminate.contaminated(df, benchmark_items)._jdf.queryExecution().executedPlan().toString()
