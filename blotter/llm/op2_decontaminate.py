@@ -3,7 +3,11 @@
 Texts are lower-cased and split into runs of letters and digits. A seed is a
 fixed mask over a span of words: the words at its 1-places are hashed, the
 others are ignored, so a substituted word spoils only the seeds that look at
-it. Seeds of all document positions meet those of the benchmark items in a
+it. Items of up to ``SHORT_WORDS`` words are sought by unbroken runs instead, as
+long as the longest run that every overlap reaching the score must have (see
+:func:`sure_run`), so none of theirs is missed; longer ones by the masks and by
+runs of ``LEAST_RUN`` words, which can miss an overlap whose mismatches are spread
+so that no run and no mask is left whole. Seeds of all document positions meet those of the benchmark items in a
 hash join; around each hit the item is laid along the document on the hit's
 diagonal and every word is compared. An overlap counts when its local
 alignment score (match +1, other word -1) reaches ``min(min_score, ceil(
@@ -17,8 +21,7 @@ row, so the broadcast has a bound in bytes however many, long or repetitive the
 items are; more blocks mean more scans. The hits are reduced to one row per
 document, item and diagonal, and only these meet the item's words.
 
-Defined cases: null or empty texts and items without words match nothing; an
-item shorter than the masks is found by its whole word sequence; repeated
+Defined cases: null or empty texts and items without words match nothing; repeated
 documents are each compared and reported once per doc_id; repeated items are
 reported for each item_id; empty tables give no rows; further columns are
 ignored (``clean_documents`` passes those of documents on).
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 MASKS = ("110110101111", "111011001011", "101111011011")
+SHORT_WORDS, LEAST_RUN = 22, 4
 BLOCK_SEEDS = 400_000
 
 
@@ -69,18 +73,37 @@ def item_words(items: DataFrame) -> DataFrame:
     return items.select("item_id", F.xxhash64("item").alias("key"), "item")
 
 
-def item_seeds(items: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+def words_needed(min_score: int, min_share: float) -> Column:
+    """Score an overlap with ``item`` must reach."""
+    return F.least(F.lit(min_score), F.ceil(F.lit(min_share) * F.size("item")).cast("int"))
+
+
+def sure_run(need: Column) -> Column:
+    """Least length of the longest run of equal words in any overlap with ``item`` that scores ``need``.
+
+    A stretch with k other words scores ``need`` with need + k equal ones, so it
+    takes need + 2k places of the item; its equal words form at most k + 1 runs.
+    """
+    others = F.greatest(F.lit(0), F.floor((F.size("item") - need) / 2))
+    return F.greatest(F.lit(1), F.ceil((need + others) / (others + 1)).cast("int"))
+
+
+def item_seeds(items: DataFrame, min_score: int = 13, min_share: float = 0.8) -> tuple[DataFrame, tuple[str, ...]]:
     """(seed, key, n, place) rows of :func:`item_words`, n the item's number of words, and the masks in use."""
-    span = max(map(len, MASKS))
-    # short items: at most span - 1 distinct lengths, each with a mask of its own
-    short = [r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n") < span).distinct().orderBy("n").collect()]
-    masks = MASKS + tuple("1" * n for n in short)
-    once = items.select("key", "item").distinct()
-    seeds = once.select("key", "item", F.explode(F.sequence(F.lit(0), F.size("item") - 1)).alias("place"))
-    seeds = seeds.select("key", F.size("item").alias("n"), "place", F.posexplode(seeds_at(F.col("item"), F.col("place"), masks)).alias("mask", "seed"))
-    whole = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), F.col("mask") + 1) == F.col("n")
-    long_item = F.col("mask") < len(MASKS)
-    return seeds.where(F.col("seed").isNotNull() & (long_item | whole)).select("seed", "key", "n", "place"), masks
+    run = sure_run(words_needed(min_score, min_share))
+    short = (F.size("item") <= SHORT_WORDS) | (run >= LEAST_RUN)
+    once = items.select("key", "item", F.when(short, run).otherwise(LEAST_RUN).alias("run"), (~short).alias("masked")).distinct()
+    # runs of at most min_score words, each a mask of its own
+    kinds = once.select("run", "masked").distinct().collect()
+    masks = (MASKS if any(r.masked for r in kinds) else ()) + tuple("1" * n for n in sorted({r.run for r in kinds}))
+    if not masks:  # no item has words
+        masks = MASKS
+    seeds = once.select("key", "item", "run", "masked", F.explode(F.sequence(F.lit(0), F.size("item") - 1)).alias("place"))
+    seeds = seeds.select("key", F.size("item").alias("n"), "run", "masked", "place",
+                         F.posexplode(seeds_at(F.col("item"), F.col("place"), masks)).alias("mask", "seed"))
+    runs = F.element_at(F.array(*[F.lit(0 if "0" in m else len(m)) for m in masks]), F.col("mask") + 1)
+    wanted = F.when(runs == 0, F.col("masked")).otherwise(runs == F.col("run"))
+    return seeds.where(F.col("seed").isNotNull() & wanted).select("seed", "key", "n", "place"), masks
 
 
 def seed_blocks(seeds: DataFrame, block_seeds: int) -> list[DataFrame]:
@@ -96,11 +119,11 @@ def overlaps(docs: DataFrame, items: DataFrame, min_score: int = 13, min_share:
              block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """Verified overlaps: doc_id, text_hash, item_id, n_item_words, n_matched, score (best per pair)."""
     items = item_words(items)
-    seeds, masks = item_seeds(items)
+    seeds, masks = item_seeds(items, min_score, min_share)
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_codes(F.col("text")).alias("doc"))
     at = source.select("doc_id", "text_hash", "doc", F.posexplode_outer("doc").alias("at", "code"))
     at = at.select("doc_id", "text_hash", "doc", "at", F.explode(seeds_at(F.col("doc"), F.col("at"), masks)).alias("seed"))
-    need = F.least(F.lit(min_score), F.ceil(F.lit(min_share) * F.size("item")).cast("int"))
+    need = words_needed(min_score, min_share)
     shift, laid = F.col("at") - F.col("place"), None
     for block in seed_blocks(seeds, block_seeds):  # one round for any benchmark of up to ``block_seeds`` seeds
         hits = at.join(F.broadcast(block), "seed")

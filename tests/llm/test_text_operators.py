@@ -2,17 +2,20 @@
 
 import collections
 import hashlib
+import itertools
 import os
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from blotter.llm import common, op1_token_counts, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix
+from blotter.llm import common, op1_token_counts, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix, oracles
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 DOC = "doc_id long, text string, id string, key int, count long, ranges string, rank string, n long"
@@ -335,12 +338,53 @@ def test_decontamination_broadcast_is_bounded(spark):
     assert {t for _, t in seeds.dtypes} <= {"bigint", "int"}
     blocks = op2_decontaminate.seed_blocks(seeds, 2000)
     sizes = [b.count() for b in blocks]
-    assert sum(sizes) == 3 * (2989 + 1989) and max(sizes) < 2400
+    assert sum(sizes) == seeds.count() >= 3 * (2989 + 1989) and max(sizes) < 2400
     docs = spark.createDataFrame([(1, passage(42, 30) + " " + rows[0][1]), (2, " ".join(["la"] * 40)), (3, passage(43, 500))], "doc_id long, text string")
     got = {(r.doc_id, r.item_id, r.score) for r in op2_decontaminate.contaminated(docs, items, block_seeds=4000).collect()}
     assert got == {(1, 1, 3000), (1, 2, 3000), (2, 3, 40)}
 
 
+def qualifying(n: int, need: int):
+    """Least sets of equal places of an ``n``-word item that score ``need``."""
+    for others in range((n - need) // 2 + 1):
+        for start in range(n - need - 2 * others + 1):
+            for out in itertools.combinations(range(start + 1, start + need + 2 * others - 1), others):
+                yield [j for j in range(start, start + need + 2 * others) if j not in out]
+
+
+def test_decontamination_sure_runs(spark):
+    """Every qualifying pattern of items of up to 22 words holds the run that is sought, by enumeration."""
+    items = spark.createDataFrame([(n, passage(n, n)) for n in range(1, 23)], "item_id long, text string")
+    items = op2_decontaminate.item_words(items)
+    runs = {r.n: r.run for r in items.select(F.size("item").alias("n"), op2_decontaminate.sure_run(
+        op2_decontaminate.words_needed(13, 0.8)).alias("run")).collect()}
+    for n, run in runs.items():
+        least = min(max(len(list(g)) for hit, g in itertools.groupby(j in p for j in range(n)) if hit)
+                    for p in map(set, qualifying(n, min(13, -(-4 * n // 5)))))
+        assert least >= run, n
+
+
+def test_decontamination_short_items_match_sql(spark):
+    """Items of 8 to 20 words: every single substitution, and patterns of up to three, as the SQL finds them."""
+    rng, items, docs = np.random.default_rng(5), [], []
+    for n in range(8, 21):
+        words = [f"w{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(words)))
+        patterns = [set(range(n)) - {j} for j in range(n)] + [set(range(n)) - {j, j + 1} for j in range(n - 1)]
+        every = list(qualifying(n, min(13, -(-4 * n // 5))))
+        patterns += [set(every[i]) for i in rng.permutation(len(every))[:40]] + [set(range(1, n)), set(range(n - 1))]
+        patterns += [set(rng.permutation(n)[:n - 4].tolist())]
+        docs += [" ".join(w if j in p else "zz" for j, w in enumerate(words)) for p in patterns]
+    docs = list(enumerate(f"lead {d} tail" for d in docs))
+    got = op2_decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    want = con.execute(oracles.LEAKS).fetchall()
+    assert len(want) > 500
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
 def test_decontamination_needs_no_python(spark, benchmark_items):
     df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     plan = op2_decontaminate.contaminated(df, benchmark_items)._jdf.queryExecution().executedPlan().toString()
