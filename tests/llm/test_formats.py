@@ -103,6 +103,13 @@ def test_html_host_repeats(spark, monkeypatch, array_pages):
     assert op9_html.extract(df.where("false")).count() == 0
 
 
+def test_html_arrays_get_their_own_strings(spark):
+    """A string common on the host goes only to the arrays in which it stands."""
+    rows = [("h", part, 1, 10 * part + i) for part in (0, 1) for i in (0, 1)] + [("h", 2, 2, 20), ("h", 3, 3, 30), ("g", 0, 1, 40)]
+    strings = spark.createDataFrame(rows, "host string, part long, code long, content long")
+    assert sorted(tuple(r) for r in op9_html.common_codes(strings, 3).collect()) == [("h", 0, 1), ("h", 1, 1)]
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/", "x"), (2, "http://b/", "x"), (2, "http://b/", "x"), (3, None, None), (4, " odd\n%20", ""), (5, "http://c/", "é" * 70_000),
             (None, "http://d/", "only"), (None, "http://e/", "x")]
