@@ -60,4 +60,71 @@ SELECT doc_id, item_id, CAST(MAX(n) AS BIGINT) AS n_item_words, CAST(MAX(matched
 FROM best WHERE score >= LEAST(13, CEIL(0.8 * n)) GROUP BY doc_id, item_id
 """
 
-SQL = {"op2_decontamination": LEAKS, "op8_chat_format": CHAT, "op10_warc": WARC}
+# op11: leaves in order, levels of three, each leaf's siblings, and the path folded again; CRC-32 bit by bit.
+MERKLE = r"""
+WITH RECURSIVE parity AS (
+  SELECT *, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+              lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda c, e: CASE WHEN e < 0 THEN xor(c >> 1, 3988292384::BIGINT * (c & 1)) ELSE xor(c, e) END) AS crc FROM documents),
+fields AS (
+  SELECT doc_id, source, xor(crc, 4294967295::BIGINT) % 2 = 0 AS even,
+         COALESCE(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || COALESCE(strlen(source) || ':' || source, '-')
+           || COALESCE(strlen(lang) || ':' || lang, '-') || COALESCE(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         text, replace(text, chr(10), '') AS cut FROM parity),
+leaves AS (
+  SELECT doc_id, source, sha256(head || COALESCE(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN even THEN sha256(head || COALESCE(strlen(cut) || ':' || cut, '-')) END AS told FROM fields),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER () AS rid,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, COUNT(*) OVER (PARTITION BY source) AS n FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS level, pos AS idx, leaf AS h, n FROM placed
+  UNION ALL SELECT tree, level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 3, n),
+tops AS (
+  SELECT 0 AS level, tree AS idx, h, (SELECT COUNT(DISTINCT tree) FROM placed) AS n FROM nodes WHERE n = 1
+  UNION ALL SELECT level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, idx // 3, n),
+steps AS (
+  SELECT p.rid, s.level, s.idx, s.h, p.pos // CAST(pow(3, s.level) AS BIGINT) AS own FROM placed p
+    JOIN nodes s ON s.tree = p.tree AND s.n > 1 AND s.idx // 3 = p.pos // CAST(pow(3, s.level + 1) AS BIGINT)
+  UNION ALL
+  SELECT p.rid, 1000 + s.level, s.idx, s.h, p.tree // CAST(pow(3, s.level) AS BIGINT) FROM placed p
+    JOIN tops s ON s.n > 1 AND s.idx // 3 = p.tree // CAST(pow(3, s.level + 1) AS BIGINT)),
+sides AS (
+  SELECT rid, level, COALESCE(string_agg(h, '' ORDER BY idx) FILTER (idx < own), '') AS l, COALESCE(string_agg(h, '' ORDER BY idx) FILTER (idx > own), '') AS r
+  FROM steps GROUP BY rid, level),
+paths AS (SELECT rid, string_agg(l || r, '' ORDER BY level) AS proof, list(l || '|' || r ORDER BY level) AS path FROM sides GROUP BY rid),
+folded AS (
+  SELECT p.doc_id, p.leaf, s.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(COALESCE(t.proof, '')) AS proof_sha256,
+         list_reduce(list_prepend(COALESCE(p.told, p.leaf), COALESCE(t.path, [])),
+                     lambda a, e: sha256(split_part(e, '|', 1) || a || split_part(e, '|', 2))) AS folded_root
+  FROM placed p JOIN nodes s ON s.tree = p.tree AND s.n = 1 LEFT JOIN paths t USING (rid))
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+# op12: every phrase of one to four words counted, cuts in 128-bit integers.
+PHRASES = r"""
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(string_split_regex(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+grams AS (SELECT lang, m, ws[i:i + m - 1] AS p FROM (
+  SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM worded, (VALUES (1), (2), (3), (4)) sizes(m) WHERE len(ws) >= m)),
+f AS (SELECT lang, m, p, COUNT(*) AS a FROM grams GROUP BY lang, m, p),
+totals AS (SELECT lang, SUM(a) AS n FROM f WHERE m = 1 GROUP BY lang),
+cands AS (SELECT * FROM f WHERE m > 1 AND a >= 30),
+inner_ AS (
+  SELECT lang, p[i:i + k - 1] AS p, MAX(a) AS around FROM (
+    SELECT lang, p, m, a, k, unnest(range(1, m - k + 2)) AS i FROM cands, (VALUES (2), (3)) parts(k) WHERE k < m) GROUP BY lang, p[i:i + k - 1]),
+kept AS (SELECT c.* FROM cands c LEFT JOIN inner_ s USING (lang, p) WHERE s.around IS NULL OR 100 * s.around < 80 * c.a),
+cuts AS (SELECT lang, p, m, a, unnest(range(1, m)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.p = c.p[1:c.k] JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1:c.m]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+SQL = {"op2_decontamination": LEAKS, "op8_chat_format": CHAT, "op10_warc": WARC, "op11_merkle_manifest": MERKLE, "op12_collocations": PHRASES}

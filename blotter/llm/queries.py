@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_token_counts, op10_warc, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix, op8_chat, op9_html, oracles
+from . import op1_token_counts, op10_warc, op11_merkle, op12_collocations as op12, op13_simhash as op13, op2_decontaminate, op3_packing, op4_neardup, op5_binary, op6_quality, op7_suffix, op8_chat, op9_html, oracles
 from .common import table
 
 
@@ -53,6 +53,18 @@ def op10_warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_warc.write_and_read(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_merkle.verify_tampered(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts_query,
@@ -65,6 +77,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_html_extraction": op9_html_extraction,
         "op10_warc": op10_warc_query,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_collocations": op12_collocations,
+        "op13_simhash_neardup": op13_simhash_neardup,
     }
 
 
