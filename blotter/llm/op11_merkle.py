@@ -40,7 +40,7 @@ from . import common as C
 
 ARITY = 3
 BLOCK_LEVELS = 7           # levels built in one group
-BUNDLE = 64                # whole small trees that share a group
+SMALL, BUNDLE = 200, 64    # trees of so few nodes share a group, so many at most
 PART_ROWS = 4_000          # leaves of a leaf partition
 TOP = -1                   # tree number of the subroots' tree
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -118,7 +118,7 @@ def build_nodes(level0: DataFrame, n_most: int, name: str) -> list[DataFrame]:
 
     out, now, per = [], level0, ARITY ** BLOCK_LEVELS
     for base in range(0, height(n_most), BLOCK_LEVELS):
-        small = F.col("n") <= per * ARITY ** base  # the whole tree is one block
+        small = F.col("n") <= SMALL * ARITY ** base  # the whole tree is a small part of a block
         cells = now.groupBy(F.when(small, F.lit(-2)).otherwise(F.col("tree")).alias("big"),
                             F.when(small, F.expr(f"tree div {BUNDLE}")).otherwise(F.expr(f"idx div {per}")).alias("cell"))
         out.append(C.materialize(cells.applyInPandas(build(base), "tree long, n long, level int, idx long, hash string, last boolean"), f"{name}-nodes"))
