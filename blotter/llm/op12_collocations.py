@@ -37,9 +37,9 @@ from . import common as C
 
 LEAST, TOP, SUBSUMED = 30, 2000, 80     # least count, phrases a language, percent of a phrase's count that a longer one needs
 WORDS = 4                  # longest phrase
-SLICE_BYTES = 4 << 20      # text worked on at once, to the next end of a piece
-ENTRIES = 1_500_000        # entries of a task's stripes before they are handed on
-BUCKET_BYTES = 16 << 20    # text whose entries share a bucket, about
+SLICE_BYTES = 1 << 20      # text worked on at once, to the next end of a piece
+ENTRIES = 1_000_000        # entries of a task's stripes before they are handed on
+BUCKET_BYTES = 4 << 20     # text whose entries share a bucket, about
 BITS = 1 << 27             # of the array over frequent pairs
 SEGMENT = 1 << 15          # bits made in one group
 SALT = 64                  # parts of a language in the first choice of the top phrases
@@ -129,14 +129,26 @@ class Stripes:
                                     np.concatenate([p[2] for p in self.parts]))
         self.held, self.parts = 0, []
         where, bounds = bucket_starts(key, self.buckets)
-        none = pa.nulls(len(where), pa.list_(pa.int64()))
-        columns = [C.ragged(words[i], bounds, pa.int64()) if i < self.size else none for i in range(WORDS)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(where), self.size, np.int32)), pa.nulls(len(where), pa.string()), pa.array(where), *columns,
-             C.ragged(counts, bounds, pa.int64()), pa.nulls(len(where), pa.list_(pa.string()))], names=ENTRY_NAMES)
+            [pa.array(np.full(len(where), self.size, np.int32)), pa.nulls(len(where), pa.string()), pa.array(where),
+             packed(words, counts, bounds), pa.nulls(len(where), pa.list_(pa.string()))], names=ENTRY_NAMES)
 
 
-ENTRY = "size int, lang string, bucket long, w1 array<long>, w2 array<long>, w3 array<long>, w4 array<long>, n array<long>, text array<string>"
+def layout(size: int) -> np.dtype:
+    """An entry as it is handed on: the words of prefix and next word, and the count (of a task, below 2^32)."""
+    return np.dtype([*[(f"w{i}", "<u8") for i in range(1, size + 1)], ("n", "<u4")])
+
+
+def packed(words: list[np.ndarray], counts: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary value per bucket, with its entries."""
+    rec = np.empty(len(counts), layout(len(words)))
+    for i, w in enumerate(words, 1):
+        rec[f"w{i}"] = w
+    rec["n"] = counts
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * rec.itemsize).astype(np.int32)), pa.py_buffer(rec)])
+
+
+ENTRY = "size int, lang string, bucket long, entries binary, text array<string>"
 ENTRY_NAMES = [c.split()[0] for c in ENTRY.split(", ")]
 COUNTED = "size int, lang string, w1 long, w2 long, w3 long, w4 long, a long, bit long, text string"
 COUNTED_NAMES = [c.split()[0] for c in COUNTED.split(", ")]
@@ -167,10 +179,9 @@ class Vocabulary:
             key, (at,), counts = merged(key, [np.arange(len(key))], np.concatenate([p[1] for p in parts]))
             where, bounds = bucket_starts(key, self.buckets)
             text = pa.chunked_array([p[2] for p in parts]).combine_chunks().take(pa.array(at))
-            none = pa.nulls(len(where), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(where), np.int32)), pa.array([lang] * len(where)), pa.array(where), C.ragged(key, bounds, pa.int64()), none, none, none,
-                 C.ragged(counts, bounds, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), text.cast(pa.string()))], names=ENTRY_NAMES)
+                [pa.array(np.ones(len(where), np.int32)), pa.array([lang] * len(where)), pa.array(where), packed([key], counts, bounds),
+                 pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), text.cast(pa.string()))], names=ENTRY_NAMES)
         self.held, self.parts = 0, {}
 
 
@@ -216,9 +227,8 @@ def merge_stripes(entries: DataFrame, least: int) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         size, lang = t.column("size")[0].as_py(), t.column("lang")[0].as_py()
 
-        def flat(name):
-            return t.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        words, counts = [flat(f"w{i}").view(np.uint64) for i in range(1, size + 1)], flat("n")
+        rec = np.frombuffer(b"".join(t.column("entries").to_pylist()), layout(size))
+        words, counts = [rec[f"w{i}"].astype(np.uint64) for i in range(1, size + 1)], rec["n"].astype(np.int64)
         key, parts, total = merged(phrase_key(words), [*words, np.arange(len(counts))], counts)
         keep = np.flatnonzero(total >= least)
         m, none = len(keep), pa.nulls(len(keep), pa.int64())
