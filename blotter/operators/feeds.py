@@ -50,6 +50,14 @@ class FeedResult:
             self._kept = _keyed(self.rows.filter(F.col("reason").isNull()).drop("reason"), self.key)
         return self._kept
 
+    @property
+    def rejected_keyed(self) -> DataFrame:
+        """The rejects with the keys they would have as incidents, so that they can become some later."""
+        rows = self.rows.filter(F.col("reason").isNotNull())
+        if self.key == "content" and ID1 in rows.columns:
+            return with_identity_key(rows)
+        return rows.drop(ID1, ID2).withColumn("uuid", F.coalesce(F.col("uuid"), F.expr("uuid()")))
+
     @property
     def rejected(self) -> DataFrame:
         return self.rows.filter(F.col("reason").isNotNull()).drop(ID1, ID2)

@@ -86,6 +86,32 @@ def summary_cube(inc: DataFrame) -> DataFrame:
     return inc.groupBy(*CUBE_KEYS).agg(_sum_count())
 
 
+def signed_cube(added: DataFrame | None, removed: DataFrame | None = None) -> DataFrame:
+    """The cube's change by rows that come and rows that go.
+
+    Beside the sums it counts rows (``n``) and rows with a count (``n_counted``),
+    so that a group without rows can be told from one whose counts add up to 0.
+    """
+    def part(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.select(*CUBE_KEYS, (F.col("count").cast("bigint") * sign).alias("count"), F.lit(sign).alias("n"))
+    both = [part(rows, sign) for rows, sign in ((added, 1), (removed, -1)) if rows is not None]
+    rows = both[0] if len(both) == 1 else both[0].unionByName(both[1])
+    return rows.groupBy(*CUBE_KEYS).agg(
+        F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("count"), F.sum("n").cast("bigint").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("count").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("n_counted"))
+
+
+def add_changes(cube: DataFrame, changes: DataFrame) -> DataFrame:
+    """A signed cube with further signed changes summed in; groups without rows go."""
+    return (cube.unionByName(changes).groupBy(*CUBE_KEYS)
+                .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("count", "n", "n_counted")]).where("n > 0"))
+
+
+def plain_cube(cube: DataFrame) -> DataFrame:
+    """The cube as :func:`summary_cube` gives it."""
+    return cube.select(*CUBE_KEYS, F.when(F.col("n_counted") > 0, F.col("count")).alias("count"))
+
+
 def all_summaries(inc: DataFrame, years=SUMMARY_YEARS, hour_exclude=HOUR_EXCLUDED_CITIES,
                   daylight_exclude=DAYLIGHT_EXCLUDED_CITIES, order: bool = False,
                   cube: DataFrame | None = None) -> dict[str, DataFrame]:

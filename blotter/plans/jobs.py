@@ -1,11 +1,11 @@
 """End-to-end batch jobs over the table catalogue.
 
-* :func:`load_feed`         -- adapter output -> incidents (merge by key into
-  the feed's (city, year) partitions) + reject log + dirty-partition log.
+* :func:`load_feed`         -- adapter output -> incidents (one layer, merged by
+  key on read) with its signed change of the summary cube + reject log.
 * :func:`unmapped_report`   -- unmapped sub-types per city over all loads.
 * :func:`rebuild_summaries` -- the five summary tables from one pre-aggregate.
-* :func:`refresh_summaries` -- the same, recomputing only partitions loaded
-  since the last refresh.
+* :func:`refresh_summaries` -- the same from the stored cube and the changes that
+  the loads since have left; no incident is read.
 * :func:`build_training`    -- feature table, written (cuts the lineage the
   model fit would otherwise replay each boosting round).
 * :func:`train_model`       -- key split, GBT fit, hold-out RMSE, model saved.
@@ -31,43 +31,30 @@ from ..session import ensure_checkpoint_dir
 from ..sources.catalog import Catalog
 
 SUMMARY_TABLES = ["crimes_yoy", "crimes_typ", "crimes_hr", "crimes_dl", "crimes_ss"]
-DIRTY_LOG = "dirty_partitions"
 CUBE_TABLE = "summary_cube"
-OPEN = ".open"      # suffix of the dirty-log entry of a load that has not finished
+UPTO = "upto"       # note of the stored cube: the last commit of the incident table that it holds
 
 
 def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
               table: str = "incidents", reject_table: str = "incident_rejects", mode: str = "merge") -> dict[str, str]:
-    """Write one feed load. Kept rows merge into their (city, year)
-    partitions by key (a re-run of the same load changes nothing); rejects go
-    to the log under ``load_id`` (a re-run rewrites that entry); the touched
-    (city, year) pairs go to the dirty-partition log that
-    :func:`refresh_summaries` consumes: as *open* before the rows change, and as
-    finished after. A refresh recomputes both kinds but clears only finished
-    ones, so neither a crash nor a refresh in between can lose a load.
+    """Write one feed load. Kept rows become a layer of the incident table, merged
+    by key (a re-run of the same load changes nothing); the commit holds the load's
+    signed change of the summary cube, so :func:`refresh_summaries` needs neither
+    the incidents nor a log of its own; rejects go to their own table by the same
+    keys. Loads may run side by side. ``load_id`` names the load in messages only.
 
     ``mode``: ``merge`` (insert or replace by key) or ``replace`` (the feed is
     a whole snapshot: its cities are replaced, corrected and withdrawn records
     included)."""
     rows = result.rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        pairs = result.kept.select("city", "year").distinct()
-        if mode == "replace" and catalog.exists(table):  # years the snapshot no longer has change as well
-            known = catalog.read(table).select("city", "year").distinct()
-            cities = pairs.select(F.col("city").alias("c")).distinct()
-            pairs = pairs.union(known.join(cities, F.col("city").eqNullSafe(F.col("c")), "left_semi")).distinct()
-        ensure_checkpoint_dir(catalog.spark)
-        pairs = pairs.checkpoint(eager=True)  # the table they are read from changes below
-        open_entry = catalog.write_epoch(DIRTY_LOG, pairs, f"{load_id}{OPEN}")
         if mode == "replace":
-            out = {"incidents": catalog.replace_partitions(table, result.kept)}
+            out = {"incidents": catalog.replace_partitions(table, result.kept, signed=S.signed_cube)}
         elif mode == "merge":
-            out = {"incidents": catalog.merge_partitions(table, result.kept, ["uuid"], unique=result.key == "content")}
+            out = {"incidents": catalog.merge_partitions(table, result.kept, ["uuid"], unique=result.key == "content", signed=S.signed_cube)}
         else:
             raise ValueError(f"unknown load mode {mode!r}")
-        out["dirty"] = catalog.write_epoch(DIRTY_LOG, pairs, load_id)
-        catalog.delete_paths([open_entry])
-        out["rejects"] = catalog.write_epoch(reject_table, result.rejected, load_id)
+        out["rejects"] = catalog.merge_partitions(reject_table, result.rejected_keyed, ["uuid"], unique=result.key == "content")
     finally:
         rows.unpersist()
     return out
@@ -75,7 +62,7 @@ def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
 
 def unmapped_report(catalog: Catalog, reject_table: str = "incident_rejects") -> DataFrame:
     """Unmapped sub-types per city across all loads."""
-    rej = catalog.read_log(reject_table)
+    rej = catalog.read(reject_table)
     return reject_report(rej.filter(rej["reason"] == "unmapped_type"))
 
 
@@ -94,33 +81,34 @@ def refresh_summaries(catalog: Catalog, years=SUMMARY_YEARS, hour_exclude=HOUR_E
                       daylight_exclude=DAYLIGHT_EXCLUDED_CITIES, table: str = "incidents") -> dict[str, str]:
     """Incremental form of :func:`rebuild_summaries`.
 
-    SUM is decomposable and the incident table is partitioned by
-    (city, year), so only the cube rows of the (city, year) pairs loaded since
-    the last refresh are recomputed -- from those partitions alone (pruned
-    reads) -- and spliced into the stored cube; the five summaries are then
-    rebuilt whole from the small cube. The first call builds the cube from
-    the whole table. Dirty-log entries are listed before reading; of those, the
-    ones of finished loads are cleared. A load racing the refresh leaves its
-    finished entry for the next one.
+    SUM is additive, so the stored cube plus the signed changes that the commits
+    since have left is the new cube: the cost follows the changes, and neither the
+    incidents nor their folders are touched. The cube's note names the last commit
+    it holds, so each change counts once, whatever loads or refreshes run side by
+    side. The cube is built from the whole table on the first call, and where a
+    commit left no change (the table was written by other means, or its manifest
+    is vacuumed away).
     """
-    spark = catalog.spark
-    entries = catalog.log_entries(DIRTY_LOG)
-    inc = catalog.read(table)
-    if not catalog.exists(CUBE_TABLE):
-        cube = S.summary_cube(inc)
-    elif not entries:
-        cube = catalog.read(CUBE_TABLE)
+    layers = catalog.layered(table)
+    now = layers.manifest()
+    if now is None:
+        raise FileNotFoundError(f"table {table!r} has no commit")
+    upto = catalog.note(CUBE_TABLE).get(UPTO) if catalog.exists(CUBE_TABLE) else None
+    notes = None
+    if upto is not None:
+        wanted = range(upto + 1, now["version"] + 1)
+        if set(wanted) <= set(layers.log.versions()):
+            notes = [layers.manifest(v)["change"] for v in wanted]
+    if notes is None or any(n["delta"] is None and n["kind"] != "compact" for n in notes):
+        cube = S.signed_cube(layers.read(now["version"]))
     else:
-        dirty = (catalog.read_log_entries(DIRTY_LOG, entries).select("city", "year").distinct()
-                 .select(F.col("city").alias("c"), F.col("year").alias("y")))
-        old = catalog.read(CUBE_TABLE)
-        fresh = S.summary_cube(catalog.read_partitions(table, dirty.select(F.col("c").alias("city"), F.col("y").alias("year"))))
-        same = F.col("city").eqNullSafe(F.col("c")) & F.col("year").eqNullSafe(F.col("y"))
-        cube = old.join(dirty, same, "left_anti").unionByName(fresh.select(*old.columns))
-    path = catalog.write(CUBE_TABLE, cube)
-    catalog.delete_paths([e for e in entries if not e.endswith(OPEN)])
-    ensure_checkpoint_dir(spark)
-    outs = S.all_summaries(None, years, hour_exclude, daylight_exclude, cube=spark.read.parquet(path))
+        paths = [n["delta"] for n in notes if n["delta"]]
+        cube = catalog.read(CUBE_TABLE)
+        if paths:
+            cube = S.add_changes(cube, catalog.spark.read.schema(cube.schema).parquet(*paths))
+    path = catalog.write(CUBE_TABLE, cube, note={UPTO: now["version"]})
+    stored = S.plain_cube(catalog.spark.read.schema(cube.schema).parquet(path))
+    outs = S.all_summaries(None, years, hour_exclude, daylight_exclude, cube=stored)
     written = {name: catalog.write(name, outs[name]) for name in SUMMARY_TABLES}
     written[CUBE_TABLE] = path
     return written

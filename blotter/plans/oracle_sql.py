@@ -373,6 +373,13 @@ SQL: dict[str, str] = {
     "catalog_city_reload": _socrata_cities("SELECT * FROM inc WHERE city IS DISTINCT FROM '007' OR month <= 6"),
     "summaries_incremental": _socrata_cities(f"SELECT city, crime_type, year, {SUM_COUNT} FROM inc "
                                              f"GROUP BY city, crime_type, year"),
+    "stored_by_type": _socrata_cities(f"SELECT crime_type, {SUM_COUNT} FROM inc WHERE {V2_YEARS} GROUP BY crime_type"),
+    "stored_by_hour": _socrata_cities(f"SELECT year, hour, {SUM_COUNT} FROM inc WHERE city NOT IN ('007') AND {V2_YEARS} GROUP BY year, hour"),
+    "stored_daylight": _socrata_cities(f"SELECT city, crime_type, {DAYLIGHT} AS daylight, {SUM_COUNT} FROM inc "
+                                       "WHERE city NOT IN ('NATION_4') GROUP BY city, crime_type, daylight"),
+    "stored_season": _socrata_cities(
+        f"SELECT city, crime_type, {SEASON} AS seasons, {R4('AVG(total)')} AS avgsum FROM (SELECT city, crime_type, month, "
+        f"CAST(SUM(count) AS BIGINT) AS total FROM inc WHERE {V2_YEARS} GROUP BY city, crime_type, month) AS m GROUP BY city, crime_type, seasons"),
     "feed_edmonton": _feed(_feed_edmonton),
     "feed_edmonton_rejects": W(
         ["g", "r", "tm_pa"],

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
@@ -34,6 +35,7 @@ from ..sources.catalog import Catalog
 from ..streaming.ingest import start_feed_stream
 from . import jobs as J
 from . import standins as V
+from .replay import replay
 from .oracle_sql import SQL
 
 
@@ -487,6 +489,113 @@ def q_catalog_city_reload(spark, sf):
     return _feed_out(cat.read("incidents"))
 
 
+def q_catalog_concurrent_loads(spark, sf):
+    """Two loads of the same cities at the same time; both land."""
+    cat, inc = _catalog(spark), _keyed_socrata(spark, sf)
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(cat.merge_partitions, "incidents", inc.filter(part), ["uuid"], True) for part in ("month % 2 = 0", "month % 2 = 1")]:
+            done.result()
+    return _feed_out(cat.read("incidents"))
+
+
+def _layered_incidents(spark, sf) -> Catalog:
+    """Three layers: all rows with wrong counts, some of them replaced, then all of them."""
+    cat, inc = _catalog(spark), _keyed_socrata(spark, sf)
+    cat.merge_partitions("incidents", inc.withColumn("count", F.lit(99)), ["uuid"])
+    cat.merge_partitions("incidents", inc.filter("month <= 6").withColumn("hour", F.lit(-1)), ["uuid"])
+    cat.merge_partitions("incidents", inc, ["uuid"], unique=True)
+    return cat
+
+
+def q_catalog_delta_read(spark, sf):
+    """Layers merged by key on read."""
+    return _feed_out(_layered_incidents(spark, sf).read("incidents"))
+
+
+def q_catalog_compacted_read(spark, sf):
+    """The same layers folded into one."""
+    cat = _layered_incidents(spark, sf)
+    cat.compact("incidents")
+    return _feed_out(cat.read("incidents"))
+
+
+def _refreshed(spark, sf) -> Catalog:
+    """Stored summaries after two loads, the second of which replaces rows of the first, with a refresh after each."""
+    cat, inc = _catalog(spark), _keyed_socrata(spark, sf)
+    first = inc.filter("month <= 8").withColumn("count", F.lit(7)).withColumn("hour", F.col("month"))
+    for load, rows in (("a", first), ("b", inc)):
+        J.load_feed(cat, FD.FeedResult(rows.withColumn("reason", F.lit(None).cast("string")), key="none"), load)
+        J.refresh_summaries(cat, V.V2_YEARS, ["007"], ["NATION_4"])
+    return cat
+
+
+# FIXED VALUES: an earlier stand-in type map: one type other, one missing, one too many.
+EARLIER_TYPES = [("click", "Clicks"), ("view", "Navigation"), ("purchase", "Commerce"), ("signup", "Commerce"), ("Click", "Wrong")]
+
+
+def _replayed_types(spark, sf) -> Catalog:
+    """The Socrata feed loaded with an earlier type map, then replayed for the change to the present one."""
+    cat, old = _catalog(spark), spark.createDataFrame(EARLIER_TYPES, "sub_type string, type string")
+    J.load_feed(cat, FD.adapt_socrata(V.raw_socrata(spark, sf), old, broadcast="fixed"), "s")
+    replay(cat, types=(old, _tm_events(spark)))
+    return cat
+
+
+def q_reclassify_after_map_change(spark, sf):
+    """Incidents after the change equal those of a load with the new map."""
+    return _feed_out(_replayed_types(spark, sf).read("incidents"))
+
+
+def q_rejects_after_map_change(spark, sf):
+    """So do the rejects."""
+    rows = _replayed_types(spark, sf).read("incident_rejects")
+    return rows.groupBy("reason", "crimesub_type").agg(F.sum("count").cast("bigint").alias("count"))
+
+
+def _replayed_places(spark, sf) -> Catalog:
+    """The Edmonton feed loaded with an earlier gazetteer (places missing, not found, elsewhere), then replayed."""
+    cat, places, raw = _catalog(spark), V.part_places(spark, sf), V.raw_edmonton(spark, sf)
+    found = V.part_places(spark, sf, resolver=True)
+    now = FD.adapt_edmonton(raw, _tm_parts(spark), places, found, key="none", broadcast="fixed").gazetteer
+    n = F.pmod(F.xxhash64("locality"), F.lit(4))
+    before = now.where(n != 0).withColumn("lat", F.when(n == 1, 0.0).when(n == 2, F.col("lat") + 1).otherwise(F.col("lat")))
+    nowhere = found.where("false")
+    J.load_feed(cat, FD.adapt_edmonton(raw, _tm_parts(spark), before, nowhere, broadcast="fixed"), "e")
+    replay(cat, places=(before, now), type_map=_tm_parts(spark))
+    return cat
+
+
+def q_relocate_after_gazetteer_change(spark, sf):
+    """Incidents after the change equal those of a load with the new gazetteer."""
+    return _feed_out(_replayed_places(spark, sf).read("incidents"))
+
+
+def q_rejects_after_gazetteer_change(spark, sf):
+    """So do the rejects."""
+    rows = _replayed_places(spark, sf).read("incident_rejects")
+    return rows.groupBy("reason", "crimesub_type").agg(F.sum("count").cast("bigint").alias("count"))
+
+
+def q_stored_by_type(spark, sf):
+    """K2, A2: the stored table by type."""
+    return _refreshed(spark, sf).read("crimes_typ")
+
+
+def q_stored_by_hour(spark, sf):
+    """K2, A3: the stored table by hour."""
+    return _refreshed(spark, sf).read("crimes_hr")
+
+
+def q_stored_daylight(spark, sf):
+    """K2, A4: the stored table by daylight."""
+    return _refreshed(spark, sf).read("crimes_dl")
+
+
+def q_stored_season(spark, sf):
+    """K2, A5: the stored table by season."""
+    return _season_rounded(_refreshed(spark, sf).read("crimes_ss"))
+
+
 def q_summaries_incremental(spark, sf):
     """K2, A1: two loads with a refresh after each; the stored year-on-year table."""
     cat, inc = _catalog(spark), _keyed_socrata(spark, sf)
@@ -565,6 +674,17 @@ QUERIES: list[Query] = [
     Query("catalog_merge", q_catalog_merge, SQL["catalog_merge"]),
     Query("catalog_city_reload", q_catalog_city_reload, SQL["catalog_city_reload"]),
     Query("summaries_incremental", q_summaries_incremental, SQL["summaries_incremental"]),
+    Query("catalog_concurrent_loads", q_catalog_concurrent_loads, SQL["catalog_merge"]),
+    Query("catalog_delta_read", q_catalog_delta_read, SQL["catalog_merge"]),
+    Query("catalog_compacted_read", q_catalog_compacted_read, SQL["catalog_merge"]),
+    Query("reclassify_after_map_change", q_reclassify_after_map_change, SQL["feed_socrata"]),
+    Query("rejects_after_map_change", q_rejects_after_map_change, SQL["feed_socrata_rejects"]),
+    Query("relocate_after_gazetteer_change", q_relocate_after_gazetteer_change, SQL["feed_edmonton"]),
+    Query("rejects_after_gazetteer_change", q_rejects_after_gazetteer_change, SQL["feed_edmonton_rejects"]),
+    Query("stored_by_type", q_stored_by_type, SQL["stored_by_type"]),
+    Query("stored_by_hour", q_stored_by_hour, SQL["stored_by_hour"]),
+    Query("stored_daylight", q_stored_daylight, SQL["stored_daylight"]),
+    Query("stored_season", q_stored_season, SQL["stored_season"]),
     Query("stream_cut_invariant", q_stream_cut_invariant, SQL["feed_socrata"]),
     Query("feed_edmonton", q_feed_edmonton, SQL["feed_edmonton"]),
     Query("feed_edmonton_rejects", q_feed_edmonton_rejects, SQL["feed_edmonton_rejects"]),

@@ -1,62 +1,34 @@
 """Parquet table catalogue: read by name, versioned writes, keyed upsert.
 
-A table lives under ``<root>/<name>/`` as numbered version directories
-``v00000001/ …``; a version is visible once Spark's ``_SUCCESS`` marker is
-written, so readers never see a half-written table and a failed job leaves
-the previous version in place. An upsert of an unpartitioned table reads
-the current version and writes the next one -- it never overwrites a path
-its own plan reads.
-
-The incident table is partitioned by ``(city, year)``: a feed load merges
-into only the (city, year) partitions its rows touch, and a reload replaces
-only its cities. The new partition folders are staged complete under the table
-root, a marker names them, and each is then moved into place; a job that dies
-in between is finished from the marker by the next write (or ``recover``).
-Which partitions a load touches is read from the staged folder names, so no
-rows and no value lists are collected, and old rows are read by folder.
-
-Every table is read with the schema it was written with (``_schemas/``), never
-one inferred from folder names: a city ``007`` stays text. The empty text, which
-a partition folder cannot hold apart from null, is stored escaped.
+A table lives under ``<root>/<name>/``. Whole tables are numbered version
+directories ``v00000001/ …``; a version is visible once Spark's ``_SUCCESS``
+marker is written, so readers never see a half-written table and a failed job
+leaves the previous version in place. An upsert of such a table reads the current
+version and writes the next one -- it never overwrites a path its own plan reads.
+
+The incident table is partitioned by ``(city, year)``, the rejects by reason; both are kept as layers
+(:mod:`layers`): a load writes its own rows and commits a manifest, a reload
+replaces only its cities, readers merge the layers by key.
+
+Every table is read with the schema it was written with, never one inferred
+from folder names: a city ``007`` stays text. The empty text, which a partition
+folder cannot hold apart from null, is stored escaped.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from ..operators.upsert import latest_per_key, upsert_by_key
+from .layers import LayeredTable, Signed
 
 # Tables and their partition columns. Incidents are partitioned by city and
 # year: a load touches only the (city, year) partitions of its rows, and year
 # ranges prune files like city lists do.
-PARTITIONS = {"incidents": ["city", "year"]}
-_ESCAPE = "="       # first character of an escaped partition text: '' -> '=', '=x' -> '==x'
-
-
-def _escaped(df: DataFrame, parts: list[str]) -> DataFrame:
-    """Partition texts as folder names can hold them."""
-    for c in parts:
-        if isinstance(df.schema[c].dataType, T.StringType):
-            v = F.col(f"`{c}`")
-            df = df.withColumn(c, F.when((v == "") | v.startswith(_ESCAPE), F.concat(F.lit(_ESCAPE), v)).otherwise(v))
-    return df
-
-
-def _plain(df: DataFrame, schema: T.StructType, parts: list[str]) -> DataFrame:
-    """Inverse of :func:`_escaped`, with the columns in the table's order."""
-    out = []
-    for f in schema.fields:
-        v = F.col(f"`{f.name}`")
-        if f.name in parts and isinstance(f.dataType, T.StringType):
-            v = F.when(v.startswith(_ESCAPE), F.substring(v, 2, 1 << 30)).otherwise(v).alias(f.name)
-        out.append(v)
-    return df.select(*out)
+PARTITIONS = {"incidents": ["city", "year"], "incident_rejects": ["reason"]}
 
 
 class Catalog:
@@ -72,7 +44,17 @@ class Catalog:
     def _table_dir(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def layered(self, name: str) -> LayeredTable:
+        """The layers of a partitioned table."""
+        parts = PARTITIONS.get(name)
+        if not parts:
+            raise ValueError(f"table {name!r} is not partitioned")
+        return LayeredTable(self.spark, self._table_dir(name), parts)
+
     def versions(self, name: str) -> list[int]:
+        """Committed versions; of a partitioned table, its commits."""
+        if name in PARTITIONS:
+            return self.layered(name).log.versions()
         d = self._Path(self._table_dir(name))
         if not self._fs.exists(d):
             return []
@@ -102,6 +84,8 @@ class Catalog:
         """Delete all but the newest ``keep`` committed versions (and any
         uncommitted folder older than them). Readers of a removed version
         must have finished; keep >= 2 leaves the previous one for them."""
+        if name in PARTITIONS:
+            return self.layered(name).vacuum(keep) if keep >= 1 else []
         d = self._Path(self._table_dir(name))
         if keep < 1 or not self._fs.exists(d):
             return []
@@ -117,13 +101,17 @@ class Catalog:
 
     # ---- S7: read -------------------------------------------------------------
     def exists(self, name: str) -> bool:
-        return self.current_path(name) is not None
-
-    def read(self, name: str) -> DataFrame:
-        p = self.current_path(name)
-        if p is None:
-            raise FileNotFoundError(f"table {name!r} has no committed version under {self.root}")
-        return self._scan(name, p, [p])
+        return bool(self.versions(name))
+
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        """The newest version of a table, or the one named."""
+        known = self.versions(name)
+        if not known or version is not None and version not in known:
+            raise FileNotFoundError(f"table {name!r} has no committed version {version or ''} under {self.root}")
+        if name in PARTITIONS:
+            return self.layered(name).read(version)
+        p = f"{self._table_dir(name)}/v{version or known[-1]:08d}"
+        return self.spark.read.schema(self.schema(name, p)).parquet(p)
 
     def schema(self, name: str, path: str) -> T.StructType:
         """The schema the version at ``path`` was written with."""
@@ -136,12 +124,6 @@ class Catalog:
         finally:
             src.close()
 
-    def _scan(self, name: str, base: str, paths: list[str]) -> DataFrame:
-        schema, parts = self.schema(name, base), PARTITIONS.get(name, [])
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return _plain(self.spark.read.schema(schema).option("basePath", base).parquet(*paths), schema, parts)
-
     def _schema_path(self, name: str, path: str) -> str:
         return f"{self._table_dir(name)}/_schemas/{path.rstrip('/').rpartition('/')[2]}.json"
 
@@ -152,23 +134,31 @@ class Catalog:
         finally:
             out.close()
 
-    def _leaves(self, base: str, depth: int) -> list[str]:
-        """Partition folders (relative paths) ``depth`` levels below ``base``."""
-        level = [""]
-        for _ in range(depth):
-            level = [f"{rel}/{st.getPath().getName()}" for rel in level for st in self._fs.listStatus(self._Path(base + rel))
-                     if st.isDirectory() and "=" in st.getPath().getName()]
-        return level
+    def note(self, name: str) -> dict:
+        """What :meth:`write` was given as ``note`` for the newest version."""
+        p = self.current_path(name)
+        f = self._Path(self._note_path(name, p)) if p else None
+        if f is None or not self._fs.exists(f):
+            return {}
+        src = self._fs.open(f)
+        try:
+            return json.loads(bytes(src.readAllBytes()).decode())
+        finally:
+            src.close()
+
+    def _note_path(self, name: str, path: str) -> str:
+        return f"{self._table_dir(name)}/_notes/{path.rstrip('/').rpartition('/')[2]}.json"
 
     # ---- K2: whole-table rewrite (aggregates are rebuilt whole) -----------------
-    def write(self, name: str, df: DataFrame) -> str:
+    def write(self, name: str, df: DataFrame, note: dict | None = None) -> str:
+        if name in PARTITIONS:
+            self.layered(name).write(df)
+            return self._table_dir(name)
         p = self._next_path(name)
         self._write_text(self._schema_path(name, p), df.schema.json())
-        parts = PARTITIONS.get(name)
-        if parts:
-            _escaped(df, parts).write.mode("errorifexists").partitionBy(*parts).parquet(p)
-        else:
-            df.write.mode("errorifexists").parquet(p)
+        if note is not None:
+            self._write_text(self._note_path(name, p), json.dumps(note))
+        df.write.mode("errorifexists").parquet(p)
         return p
 
     # ---- K1: insert-or-replace by key ------------------------------------------
@@ -179,131 +169,27 @@ class Catalog:
         return self.write(name, merged)
 
     # ---- K3: replace whole partitions (a city reload) -------------------------
-    def replace_partitions(self, name: str, df: DataFrame) -> str:
+    def replace_partitions(self, name: str, df: DataFrame, signed: Signed | None = None) -> str:
         """Replace every partition of the top-level values in ``df`` (for
         incidents: each city in ``df``) with ``df``; other cities untouched.
 
-        Cost is proportional to the reloaded cities, not the table. The new
-        rows are staged first and everything later works on the staged copy,
-        so ``df`` may be derived from this table. Sub-partitions of the
-        reloaded cities that ``df`` no longer has (a year dropped from the
-        feed) are removed.
+        Cost is proportional to ``df``; it may be derived from this table.
+        Sub-partitions of the reloaded cities that ``df`` no longer has (a year
+        dropped from the feed) are no longer live. ``signed``: see :mod:`layers`.
         """
-        parts = self._parts(name)
-        self.recover(name)
-        if not self.exists(name):
-            return self.write(name, df)
-        cur = self.current_path(name)
-        stage = self._stage(name, df.select(*self.schema(name, cur).names), parts)
-        self._swap(name, cur, stage, parts, whole_tops=True)
-        return cur
+        self.layered(name).replace(df, signed)
+        return self._table_dir(name)
 
-    def _parts(self, name: str) -> list[str]:
-        parts = PARTITIONS.get(name)
-        if not parts:
-            raise ValueError(f"table {name!r} is not partitioned")
-        return parts
-
-    def _stage(self, name: str, rows: DataFrame, parts: list[str]) -> str:
-        stage = f"{self._table_dir(name)}/_stage-{uuid.uuid4().hex}"
-        _escaped(rows, parts).write.mode("errorifexists").partitionBy(*parts).parquet(stage)
-        return stage
-
-    # ---- the swap, and its recovery --------------------------------------------
-    def _marker(self, name: str) -> str:
-        return f"{self._table_dir(name)}/_pending.json"
-
-    def _swap(self, name: str, cur: str, stage: str, parts: list[str], whole_tops: bool) -> None:
-        """Move the staged partition folders into ``cur``; the marker makes it repeatable."""
-        moves = self._leaves(stage, len(parts))
-        stale = []
-        if whole_tops:
-            tops = {m.split("/")[1] for m in moves}
-            stale = [x for t in sorted(tops) if self._fs.exists(self._Path(f"{cur}/{t}"))
-                     for x in (f"/{t}{y}" for y in self._leaves(f"{cur}/{t}", len(parts) - 1)) if x not in set(moves)]
-        self._write_text(self._marker(name), json.dumps({"version": cur, "stage": stage, "moves": moves, "stale": stale}))
-        self.recover(name)
-
-    def recover(self, name: str) -> bool:
-        """Finish a swap that was interrupted; true if there was one."""
-        marker = self._Path(self._marker(name))
-        if not self._fs.exists(marker):
-            return False
-        src = self._fs.open(marker)
-        try:
-            todo = json.loads(bytes(src.readAllBytes()).decode())
-        finally:
-            src.close()
-        for rel in todo["moves"]:
-            staged, place = self._Path(todo["stage"] + rel), self._Path(todo["version"] + rel)
-            if not self._fs.exists(staged):
-                continue  # moved before the interruption
-            self._fs.delete(place, True)
-            self._fs.mkdirs(place.getParent())
-            if not self._fs.rename(staged, place):
-                raise OSError(f"cannot move {staged} to {place}")
-        for rel in todo["stale"]:
-            self._fs.delete(self._Path(todo["version"] + rel), True)
-        self._fs.delete(marker, False)
-        self._fs.delete(self._Path(todo["stage"]), True)
-        return True
-
-    # ---- K1 on a partitioned table: merge only the touched partitions ---------
-    def merge_partitions(self, name: str, new: DataFrame, keys: list[str], unique: bool = False) -> str:
-        """Upsert ``new`` into the partitions it touches; others are not rewritten.
+    # ---- K1 on a partitioned table: one layer more -----------------------------
+    def merge_partitions(self, name: str, new: DataFrame, keys: list[str], unique: bool = False, signed: Signed | None = None) -> str:
+        """Upsert ``new`` into its partitions; nothing that is stored is rewritten.
 
-        ``new`` is staged, its folder names say which partitions it touches,
-        and only those folders of the table are read. ``unique``: the keys of
-        ``new`` are unique by construction.
+        ``unique``: the keys of ``new`` are unique by construction. ``signed``:
+        see :mod:`layers`.
         """
-        parts = self._parts(name)
-        self.recover(name)
-        if not self.exists(name):
-            return self.write(name, new)
-        cur = self.current_path(name)
-        schema = self.schema(name, cur)
-        landed = self._stage(name, new.select(*schema.names), parts)
-        touched = self._leaves(landed, len(parts))
-        if touched:
-            rows = _plain(self.spark.read.schema(schema).option("basePath", landed).parquet(landed), schema, parts)
-            merged = upsert_by_key(self._read_folders(name, cur, touched), rows, keys, unique=unique)
-            self._swap(name, cur, self._stage(name, merged, parts), parts, whole_tops=False)
-        self._fs.delete(self._Path(landed), True)
-        return cur
-
-    def _read_folders(self, name: str, cur: str, leaves: list[str]) -> DataFrame:
-        return self._scan(name, cur, [cur + x for x in leaves if self._fs.exists(self._Path(cur + x))])
-
-    def read_partitions(self, name: str, pairs: DataFrame) -> DataFrame:
-        """Rows of the partitions whose values are in ``pairs``; only their folders are read."""
-        parts, cur = self._parts(name), self.current_path(name)
-        names = self._stage(name, pairs.select(*parts, F.lit(1).alias("__one")).distinct(), parts)
-        out = self._read_folders(name, cur, self._leaves(names, len(parts)))
-        self._fs.delete(self._Path(names), True)
-        return out
-
-    # ---- append log keyed by batch id (idempotent on replay) -------------------
-    def write_epoch(self, name: str, df: DataFrame, epoch: int | str) -> str:
-        """Write one batch's rows to ``<name>/epoch=<id>``; a replay of the
-        same batch overwrites the same folder instead of duplicating."""
-        p = f"{self._table_dir(name)}/epoch={epoch}"
-        df.write.mode("overwrite").parquet(p)
-        return p
-
-    def read_log(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._table_dir(name))
-
-    def log_entries(self, name: str) -> list[str]:
-        """Paths of the batch folders of an append log (listed, not read)."""
-        d = self._Path(self._table_dir(name))
-        if not self._fs.exists(d):
-            return []
-        return sorted(str(st.getPath()) for st in self._fs.listStatus(d)
-                      if st.isDirectory() and st.getPath().getName().startswith("epoch="))
-
-    def read_log_entries(self, name: str, paths: list[str]) -> DataFrame:
-        return self.spark.read.option("basePath", self._table_dir(name)).parquet(*paths)
+        self.layered(name).merge(new, keys, unique, signed)
+        return self._table_dir(name)
 
-    def delete_paths(self, paths: list[str]) -> None:
-        for p in paths:
-            self._fs.delete(self._Path(p), True)
+    def compact(self, name: str) -> dict | None:
+        """Fold the layers of a partitioned table (an upkeep job of its own)."""
+        return self.layered(name).compact()

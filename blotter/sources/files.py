@@ -2,10 +2,9 @@
 
 All readers take explicit schemas (no inference pass over the data) and
 return lazy DataFrames. Splittable formats -- headerless / header CSV and
-JSON lines -- are read in parallel per file block. Whole-document formats
-(a JSON array, a GeoJSON FeatureCollection) can only be parsed one task per
-file, so land big feeds as many files or as JSON lines
-(``line_delimited=True``) to keep every task bounded.
+JSON lines -- are read in parallel per file block, and so are whole documents
+(a JSON array, a GeoJSON FeatureCollection), whose records are cut out by
+:mod:`documents`.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, SOCRATA_INCIDENT_SCHEMA, TORONTO_PROPERTIES,
                        TORONTO_SCHEMA, TYPE_MAP_SCHEMA, VANCOUVER_SCHEMA)
+from .documents import document_records
 
 
 def sourced(df: DataFrame, on: bool) -> DataFrame:
@@ -51,33 +51,39 @@ def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType =
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *["_source"] * source)
 
 
+def _parsed(records: DataFrame, schema: T.StructType, source: bool) -> DataFrame:
+    return records.select(F.from_json("value", schema).alias("__r"), "_source").select("__r.*", *["_source"] * source)
+
+
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType = SOCRATA_INCIDENT_SCHEMA,
                     line_delimited: bool = False, source: bool = False) -> DataFrame:
-    """S3: a file holding one JSON array of flat records (or JSON lines)."""
-    return sourced(spark.read.schema(schema).json(path, multiLine=not line_delimited), source)
+    """S3: a file holding one JSON array of flat records (or JSON lines), read by as many tasks as its size asks for."""
+    if line_delimited:
+        return sourced(spark.read.schema(schema).json(path), source)
+    return _parsed(document_records(spark, path), schema, source)
 
 
 def read_geojson_features(spark: SparkSession, path: str, line_delimited: bool = False, source: bool = False) -> DataFrame:
     """GeoJSON -> one row per feature with a ``properties`` struct.
 
-    A FeatureCollection document is exploded with ``inline(features)``; with
-    ``line_delimited`` each line is one Feature (GeoJSON text sequence).
+    The features of a FeatureCollection document are cut out by as many tasks
+    as its size asks for; with ``line_delimited`` each line is one Feature
+    (GeoJSON text sequence).
     """
     if line_delimited:
         feat = T.StructType([T.StructField("type", T.StringType()),
                              T.StructField("properties", TORONTO_PROPERTIES)])
         return sourced(spark.read.schema(feat).json(path), source)
-    doc = sourced(spark.read.schema(TORONTO_SCHEMA).json(path, multiLine=True), source)
-    return doc.select(F.inline("features"), *["_source"] * source)
+    return _parsed(document_records(spark, path, key="features"), TORONTO_SCHEMA["features"].dataType.elementType, source)
 
 
 def read_records_json(spark: SparkSession, path: str, schema: T.StructType = CALGARY_SCHEMA,
                       line_delimited: bool = True, source: bool = False) -> DataFrame:
     """API records landed as JSON (one record per line by default)."""
-    return sourced(spark.read.schema(schema).json(path, multiLine=not line_delimited), source)
+    return read_json_array(spark, path, schema, line_delimited, source)
 
 
 def read_all_string_records(spark: SparkSession, path: str, schema: T.StructType = EDMONTON_SCHEMA,
                             line_delimited: bool = True, source: bool = False) -> DataFrame:
     """Records whose every field is a string, bound by name."""
-    return sourced(spark.read.schema(schema).json(path, multiLine=not line_delimited), source)
+    return read_json_array(spark, path, schema, line_delimited, source)

@@ -2,9 +2,8 @@
 
 A file-source stream picks up newly landed feed files; each micro-batch
 runs the same adapter as the batch loader and merges the kept rows into the
-incident table by content key, touching only the cities in the batch. The
-rejects and the touched (city, year) partitions go to log folders per batch
-id (a replay rewrites them), so summaries refresh incrementally. Progress lives in a checkpoint
+incident table by content key, as one layer of its own rows; the rejects go to theirs
+in the same way, and each commit carries its change of the summaries. Progress lives in a checkpoint
 under the session's shared ``spark.checkpoint.dir``, so a restarted job
 resumes where it stopped; a replayed micro-batch produces the same content
 keys and therefore the same table. A row's identity includes its landed file,
@@ -40,8 +39,7 @@ def start_feed_stream(spark: SparkSession, source_dir: str, schema: T.StructType
               .select("*", F.col("_metadata.file_path").alias("_source")))
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the batch job: keyed merge, reject log and dirty-partition log, all
-        # under a load id derived from the batch id (a replay rewrites them)
+        # a replayed batch merges the same keys again, which changes nothing
         load_feed(catalog, adapt(batch), f"{name}-{epoch_id}", table=table, reject_table=reject_table)
 
     w = (stream.writeStream.foreachBatch(merge_batch)

@@ -17,14 +17,14 @@ def test_versions_upsert_and_partition_merge(spark, tmp_path):
     assert sorted((r["uuid"], r["count"]) for r in cat.read("incidents").collect()) == \
         [("u1", 1), ("u2", 20), ("u3", 3)]
     # a city reload replaces that city only; other partitions are not rewritten
-    ott = tmp_path / "wh" / "incidents" / "v00000001" / "city=Ottawa"
-    ott_files = sorted(str(p) for p in ott.rglob("*.parquet"))
+    data = tmp_path / "wh" / "incidents" / "data"
+    ott_files = sorted(str(p) for p in data.glob("*/city=Ottawa/**/*.parquet"))
     c = spark.createDataFrame([("u9", "Calgary", 9)], "uuid string, city string, count int")
     c = c.withColumn("year", c["count"] * 0 + 2015)
     cat.replace_partitions("incidents", c)
-    assert cat.versions("incidents") == [1]
+    assert cat.versions("incidents") == [1, 2, 3, 4]
     assert sorted(r["uuid"] for r in cat.read("incidents").collect()) == ["u2", "u3", "u9"]
-    assert sorted(str(p) for p in ott.rglob("*.parquet")) == ott_files
+    assert sorted(str(p) for p in data.glob("*/city=Ottawa/**/*.parquet")) == ott_files
 
 
 def test_city_reload_drops_years_no_longer_in_feed(spark, tmp_path):

@@ -38,7 +38,7 @@ def test_workflow(spark, tmp_path, capsys):
     cat = Catalog(spark, wh)
     inc = cat.read("incidents")
     assert inc.count() == 61                                # 60 Vancouver + 1 located Edmonton row
-    rej = cat.read_log("incident_rejects").filter("reason = 'no_location'").collect()
+    rej = cat.read("incident_rejects").filter("reason = 'no_location'").collect()
     assert [r["neighbourhood"] for r in rej] == ["Oliver"]
     assert {r["city"] for r in inc.select("city").distinct().collect()} == {"Vancouver", "Edmonton"}
     g = {r["locality"] for r in cat.read("gazetteer").collect()}

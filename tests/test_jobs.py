@@ -67,8 +67,7 @@ def test_incremental_summaries_equal_full_rebuild(spark, tmp_path):
     J.load_feed(inc_cat, socrata(a), "a")
     J.refresh_summaries(inc_cat)                       # first call: full build of the cube
     J.load_feed(inc_cat, socrata(b), "b")
-    J.refresh_summaries(inc_cat)                       # second call: only dirty partitions
-    assert inc_cat.log_entries(J.DIRTY_LOG) == []
+    J.refresh_summaries(inc_cat)                       # second call: only the load's change
     full_cat = Catalog(spark, str(tmp_path / "full"))
     J.load_feed(full_cat, socrata(a), "a")
     J.load_feed(full_cat, socrata(b), "b")
