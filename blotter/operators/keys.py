@@ -11,8 +11,8 @@ gives the same keys, so an upsert by key replaces instead of duplicating.
 Rows equal in every column are interchangeable, so they are not numbered but
 counted and expanded again: one map-side-combined shuffle, lazy, and a content
 that holds a large share of a table is one row until it is expanded in chunks.
-Only where further columns differ are the rows themselves numbered, salted so
-that no window group holds more than about 1/buckets of a hot content.
+Where further columns differ, the distinct rows are placed by prefix sums over
+cells of a content, so no window group holds more than about 1/cells of a hot one.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import content_hash128
-from ..session import ensure_checkpoint_dir
 
 
 def with_random_key(df: DataFrame, out: str = "uuid") -> DataFrame:
@@ -45,19 +44,23 @@ def with_identity(raw: DataFrame) -> DataFrame:
     return raw.withColumns({ID1: a, ID2: b}).drop(SOURCE)
 
 
-def numbered_rows(df: DataFrame, out: str) -> DataFrame:
-    """Rows equal in all columns, numbered 0..n-1 in ``out``: counted, then expanded."""
-    cols = [f"`{c}`" for c in df.columns]
-    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    few = counts.where(F.col("__n") <= EXPAND_CHUNK).select(
-        *cols, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias(out))
+def _copies(counts: DataFrame, cols: list[str], out: str, start=None) -> DataFrame:
+    """Each row of ``counts`` ``__n`` times, numbered from ``start`` in ``out``; many copies in chunks."""
+    start = F.lit(0).cast("long") if start is None else start
+    few = counts.where(F.col("__n") <= EXPAND_CHUNK).select(*cols, F.explode(F.sequence(start, start + F.col("__n") - 1)).alias(out))
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / EXPAND_CHUNK)))
     many = counts.where(F.col("__n") > EXPAND_CHUNK).withColumn("__c", chunk)
-    many = many.repartition("__c", *cols).select(
-        *cols, F.explode(F.sequence(F.col("__c") * EXPAND_CHUNK, F.least((F.col("__c") + 1) * EXPAND_CHUNK, F.col("__n")) - 1)).alias(out))
+    last = F.least((F.col("__c") + 1) * EXPAND_CHUNK, F.col("__n")) - 1
+    many = many.repartition("__c", *cols).select(*cols, F.explode(F.sequence(start + F.col("__c") * EXPAND_CHUNK, start + last)).alias(out))
     return few.unionByName(many)
 
 
+def numbered_rows(df: DataFrame, out: str) -> DataFrame:
+    """Rows equal in all columns, numbered 0..n-1 in ``out``: counted, then expanded."""
+    cols = [f"`{c}`" for c in df.columns]
+    return _copies(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")), cols, out)
+
+
 def with_identity_key(df: DataFrame, out: str = "uuid") -> DataFrame:
     """Key rows that carry the identity hashes of :func:`with_identity`; the hashes are dropped."""
     rows = numbered_rows(df.drop(out), "__occ")
@@ -65,53 +68,42 @@ def with_identity_key(df: DataFrame, out: str = "uuid") -> DataFrame:
     return rows.withColumn(out, key).drop(ID1, ID2, "__occ")
 
 
-# Salt buckets per content hash. A content with n copies occupies at most
-# min(n, SALT_BUCKETS) buckets, so a large value costs nothing for ordinary
-# data, while a content holding a third of 10^12 rows is cut into window
-# groups of ~5 * 10^6 rows.
-SALT_BUCKETS = 1 << 16
+# Cells of a content: its distinct rows fall into cells by their hash, so that a
+# content holding a third of 10^12 rows is cut into window groups of ~5 * 10^6.
+CELLS = 1 << 16
 
 
-def with_content_key(df: DataFrame, cols: list[str] | None = None, out: str = "uuid",
-                     buckets: int = SALT_BUCKETS, seed: int = 17, materialize: bool = True) -> DataFrame:
+def with_content_key(df: DataFrame, cols: list[str] | None = None, out: str = "uuid", buckets: int = CELLS) -> DataFrame:
     """Add ``out`` = ``<32 hex digits of a 128-bit content hash>-<occurrence>``.
 
     If ``cols`` are all columns, equal rows are counted and expanded
-    (:func:`numbered_rows`); what follows is for further, differing columns.
-
-    Plan: one shuffle of the rows by (hash, salt) numbers them inside each
-    bucket. That numbered frame is checkpointed to the shared
-    ``spark.checkpoint.dir`` (eager, reliable -- never a local checkpoint), so
-    the bucket sizes and the final join read the *same* salts and numbers
-    and a lost executor re-reads the checkpoint instead of re-drawing salts.
-    A narrow shuffle of bucket sizes by hash gives each bucket's start; only
-    non-zero starts (buckets after the first of a repeated content) are
-    joined back, so for mostly distinct rows that side is small and AQE
-    broadcasts it.
-
-    ``materialize=False`` skips the checkpoint and relies on the seeded salt
-    replaying identically in both branches (same input splits) -- lazy, but
-    only for inputs whose partitioning is stable.
+    (:func:`numbered_rows`). Where further columns differ, equal rows are
+    counted first too, and the distinct ones get their places by a prefix sum
+    of those counts: within cells of a content by one window, and over a
+    content's cells by another on their sizes, one narrow row a cell. Cell and
+    order are hashes of the row's values, so both plans see the same ones
+    whenever and wherever a task runs: no salt is drawn, nothing is
+    checkpointed, and the numbers do not depend on the partitioning.
+
+    The input must be deterministic, and its columns of types that can be grouped.
     """
     cols = cols or [c for c in df.columns if c != out]
-    h1, h2, s, i, off = "__key_h1", "__key_h2", "__key_s", "__key_i", "__key_off"
     base = df.drop(out) if out in df.columns else df
     a, b = content_hash128(*cols)
     if set(cols) == set(base.columns):
         return with_identity_key(base.withColumns({ID1: a, ID2: b}), out)
-    hk = [h1, h2]
-    x = (base.withColumn(h1, a).withColumn(h2, b)
-             .withColumn(s, F.floor(F.rand(seed) * buckets).cast("int")))
-    # number rows inside (hash, salt); order among identical rows is immaterial
-    x = x.withColumn(i, F.row_number().over(Window.partitionBy(*hk, s).orderBy(h1)) - 1)
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        x = x.checkpoint(eager=True)
-    sizes = x.groupBy(*hk, s).agg((F.max(i) + 1).alias("__key_n"))
-    before = Window.partitionBy(*hk).orderBy(s).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (sizes.select(*hk, s, F.sum("__key_n").over(before).alias(off))
-                    .filter(F.col(off).isNotNull() & (F.col(off) > 0)))
-    keyed = x.join(offsets, [*hk, s], "left")
-    occ = F.coalesce(F.col(off), F.lit(0)) + F.col(i)
-    key = F.format_string("%016x%016x-%d", F.col(h1), F.col(h2), occ)
-    return keyed.withColumn(out, key).drop(h1, h2, s, i, off)
+    r1, r2 = content_hash128(*[f"`{c}`" for c in base.columns])
+    rows = base.withColumns({ID1: a, ID2: b, "__r1": r1, "__r2": r2})
+    rows = rows.withColumn("__cell", F.pmod("__r1", F.lit(buckets)))
+    content = [ID1, ID2]
+    plain = [f"`{c}`" for c in base.columns]
+    counts = rows.groupBy(*plain, *content, "__r1", "__r2", "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*content, "__cell").orderBy("__r1", "__r2").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__at", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    sizes = rows.groupBy(*content, "__cell").agg(F.count(F.lit(1)).alias("__size"))
+    cells = Window.partitionBy(*content).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*content, "__cell", F.sum("__size").over(cells).alias("__start")).where("__start > 0")
+    placed = counts.join(starts, [*content, "__cell"], "left").withColumn("__at", F.col("__at") + F.coalesce("__start", F.lit(0)))
+    numbered = _copies(placed.select(*plain, *content, "__at", "__n"), [*plain, *content, "__at"], "__occ", F.col("__at"))
+    key = F.format_string("%016x%016x-%d", F.col(ID1), F.col(ID2), F.col("__occ"))
+    return numbered.withColumn(out, key).drop(*content, "__at", "__occ")

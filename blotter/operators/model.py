@@ -7,17 +7,20 @@ Long iteration lineage is cut with checkpoints in the session's shared
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import contains_any, has_lat, not_both_zero, round_half_up
 from ..lookups import SCORE_YEAR, SUPPORTED_CITIES
+from ..sources.commits import CommitLog
 from .joins import lookup_side, unique_lookup
 from .keys import numbered_rows, with_content_key, with_random_key
 
@@ -81,16 +84,31 @@ def content_hash_col(cols: list[str]) -> F.Column:
     return F.xxhash64(*args)
 
 
-def content_split_label(cols: list[str], train_pct: int = 60) -> F.Column:
-    """'train' / 'validation' from a hash of the row's values: the same data
-    always splits the same way, with no key, shuffle or partition dependence
-    (identical rows go to the same side)."""
-    bucket = F.pmod(content_hash_col(cols), F.lit(100))
-    return F.when(bucket < train_pct, F.lit("train")).otherwise(F.lit("validation"))
+SPLIT_DIGITS = 6     # decimals of a number that its canonical text holds
+
+
+def canonical_text(schema: T.StructType, cols: list[str]) -> F.Column:
+    """A row's values as text that any engine can write: fractions as whole numbers
+    of millionths, null as ``-``, all joined by ``|``."""
+    parts = []
+    for c in cols:
+        v, kind = F.col(f"`{c}`"), schema[c].dataType
+        if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+            v = (F.round(v.try_cast("decimal(28,8)"), SPLIT_DIGITS) * 10 ** SPLIT_DIGITS).cast("bigint")
+        parts.append(F.coalesce(v.cast("string"), F.lit("-")))
+    return F.concat_ws("|", *parts)
+
+
+def content_split_label(schema: T.StructType, cols: list[str], train_pct: int = 60) -> F.Column:
+    """'train' / 'validation' from the first eight hex digits of the MD5 of the row's
+    canonical text: the same data always splits the same way, in any engine, with no
+    key, shuffle or partition dependence (identical rows go to the same side)."""
+    digits = F.conv(F.substring(F.md5(canonical_text(schema, cols).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.when(digits % 100 < train_pct, F.lit("train")).otherwise(F.lit("validation"))
 
 
 def content_split(df: DataFrame, train_pct: int = 60, label: str = "count"):
-    lab = content_split_label(FEATURES + [label], train_pct)
+    lab = content_split_label(df.schema, FEATURES + [label], train_pct)
     return df.filter(lab == "train"), df.filter(lab == "validation")
 
 
@@ -155,12 +173,27 @@ def rmse_frame(df: DataFrame, label: str = "count", prediction: str = "predictio
         F.sqrt(F.avg(err * err)).alias("rmse"), F.count(F.lit(1)).alias("n"))
 
 
-def save_model(model: PipelineModel, path: str) -> None:        # K4
-    model.write().overwrite().save(path)
+def _models(path: str) -> CommitLog:
+    return CommitLog(SparkSession.active(), f"{path.rstrip('/')}/_commits")
 
 
-def load_model(path: str) -> PipelineModel:                      # S9
-    return PipelineModel.load(path)
+def save_model(model: PipelineModel, path: str, **note) -> int:  # K4
+    """Save as a new version under ``path``; it counts once its commit is published.
+
+    Earlier versions stay, so a job that scores with one is not disturbed.
+    """
+    folder = f"{path.rstrip('/')}/models/{uuid.uuid4().hex}"
+    model.write().save(folder)
+    return _models(path).commit(lambda now: {"model": folder, "note": note})["version"]
+
+
+def load_model(path: str, version: int | None = None) -> PipelineModel:   # S9
+    """The newest committed version (or the one named); a plain model folder is read as it is."""
+    log = _models(path)
+    found = log.versions()
+    if not found:
+        return PipelineModel.load(path)
+    return PipelineModel.load(log.read(version or found[-1])["model"])
 
 
 # ---- G5 / G4 / M9: location scoring -------------------------------------------

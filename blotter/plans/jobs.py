@@ -132,7 +132,7 @@ def train_model(catalog: Catalog, model_path: str, train_pct: int = 60, table: s
     train, validation = M.content_split(feats, train_pct)
     model = M.fit(train, **params)
     rmse = M.evaluate_rmse(model.transform(validation))
-    M.save_model(model, model_path)
+    M.save_model(model, model_path, rmse=rmse)
     return rmse
 
 

@@ -78,6 +78,18 @@ CTE = {
 
 
 
+def _millionths(expr: str) -> str:
+    return f"COALESCE(CAST(CAST(ROUND(CAST({expr} AS DECIMAL(28,8)), 6) * 1000000 AS BIGINT) AS VARCHAR), '-')"
+
+
+def _text(expr: str) -> str:
+    return f"COALESCE(CAST({expr} AS VARCHAR), '-')"
+
+
+SPLIT = ("CASE WHEN CAST('0x' || substr(md5(" + " || '|' || ".join([_millionths("lat"), _millionths("long"), _text("year"), _text("code"), _text("count")])
+         + "), 1, 8) AS BIGINT) % 100 < 60 THEN 'train' ELSE 'validation' END")
+
+
 def W(names: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
     """WITH <named CTEs in order> <extra CTEs> <body>."""
     parts = [f"{n} AS ({CTE[n]})" for n in names]
@@ -337,6 +349,32 @@ SQL: dict[str, str] = {
         "SELECT lat, long, year, code, count FROM f JOIN codes_pa ON crime_type = type_crime "
         "WHERE lat IS NOT NULL AND (lat <> 0 OR long <> 0)",
         [("f", f"SELECT {R4('lat')} AS lat, {R4('long')} AS long, year, crime_type, count FROM v1l")]),
+    "content_split": W(
+        ["v1", "v1l", "codes_pa"],
+        f"SELECT *, {SPLIT} AS split FROM (SELECT lat, long, year, code, count FROM f JOIN codes_pa ON crime_type = type_crime "
+        "WHERE lat IS NOT NULL AND (lat <> 0 OR long <> 0)) AS feats",
+        [("f", f"SELECT {R4('lat')} AS lat, {R4('long')} AS long, year, crime_type, count FROM v1l")]),
+    # every threshold of every feature: the split of the least squared error, its two means and their error
+    "gbt_stump": W(
+        ["v1", "v1l", "codes_pa"],
+        f"SELECT {R6('prediction')} AS prediction, COUNT(*) AS n, (SELECT {R6('sqrt(avg((count - prediction) * (count - prediction)))')} FROM told) AS rmse "
+        "FROM told GROUP BY prediction",
+        [("f", f"SELECT {R('lat', 0)} AS lat, {R('long', 0)} AS long, year, crime_type, count FROM v1l"),
+         ("feats", "SELECT lat, long, year, code, count FROM f JOIN codes_pa ON crime_type = type_crime WHERE lat IS NOT NULL AND (lat <> 0 OR long <> 0)"),
+         ("train", f"SELECT * FROM feats WHERE {SPLIT} = 'train' AND long IS NOT NULL AND count IS NOT NULL"),
+         ("cells", "SELECT name, x, COUNT(*) AS n, SUM(count) AS s FROM (SELECT count, unnest(['lat', 'long', 'year', 'code']) AS name, "
+                   "unnest([lat, long, CAST(year AS DOUBLE), CAST(code AS DOUBLE)]) AS x FROM train) AS t GROUP BY name, x"),
+         ("cum", "SELECT name, x, SUM(n) OVER (PARTITION BY name ORDER BY x) AS nl, SUM(s) OVER (PARTITION BY name ORDER BY x) AS sl, "
+                 "SUM(n) OVER (PARTITION BY name) AS n, SUM(s) OVER (PARTITION BY name) AS s FROM cells"),
+         ("best", "SELECT name, x, sl / nl AS ml, (s - sl) / (n - nl) AS mr FROM cum WHERE nl < n "
+                  "ORDER BY CAST(sl AS DOUBLE) * sl / nl + CAST(s - sl AS DOUBLE) * (s - sl) / (n - nl) DESC LIMIT 1"),
+         ("told", "SELECT t.count, CASE WHEN (CASE b.name WHEN 'lat' THEN lat WHEN 'long' THEN long WHEN 'year' THEN year ELSE code END) <= b.x "
+                  "THEN b.ml ELSE b.mr END AS prediction FROM train t, best b")]),
+    "ordered_summary": W(["v1"], f"SELECT *, row_number() OVER (ORDER BY city, crime_type, year) AS position FROM "
+                                 f"(SELECT city, crime_type, year, {SUM_COUNT} FROM v1 GROUP BY city, crime_type, year) AS y"),
+    "case_insensitive_names": W(["loc"], f"SELECT loc_id, {R6('lat')} AS lat, {R6('long')} AS long FROM loc WHERE lat > 49.1"),
+    "content_key_differing": W(["v1"], "SELECT content, COUNT(*) AS n, CAST(0 AS BIGINT) AS first, COUNT(*) - 1 AS last, COUNT(*) AS n_keys FROM "
+                                       "(SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE crime_type || '-' || l_partkey END AS content FROM v1) AS c GROUP BY content"),
     "rmse_metric": W(["v1"], "SELECT " + R6("sqrt(avg((CAST(count AS DOUBLE) * 0.5 + 3.0 - CAST(count AS DOUBLE)) * "
                                             "(CAST(count AS DOUBLE) * 0.5 + 3.0 - CAST(count AS DOUBLE))))")
                      + " AS rmse, COUNT(*) AS n FROM v1"),

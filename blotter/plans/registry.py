@@ -32,6 +32,7 @@ from ..schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
 from ..session import ensure_checkpoint_dir
 from ..sources import files as SRC
 from ..sources.catalog import Catalog
+from ..sources.ordered import read_ordered, write_ordered
 from ..streaming.ingest import start_feed_stream
 from . import jobs as J
 from . import standins as V
@@ -275,6 +276,35 @@ def q_key_split(spark, sf):
                                   M.split_label("l_orderkey", 60, hashed=False).alias("split"))
 
 
+def q_content_split(spark, sf):
+    """M2: the split that training uses, row by row."""
+    f = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="none", broadcast="fixed")
+    return f.withColumn("split", M.content_split_label(f.schema, [*M.FEATURES, "count"], 60))
+
+
+def q_gbt_stump(spark, sf):
+    """M5, M6, M7, M8: one round of depth one on features of few values, where the bins are exact; its RMSE by the evaluator."""
+    f = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), digits=0, key="none", broadcast="fixed")
+    train, _ = M.content_split(f, 60)
+    train = train.checkpoint(eager=True)
+    told = M.fit(train, max_iter=1, max_depth=1).transform(train)
+    rmse = F.lit(M.evaluate_rmse(told))
+    return told.groupBy(_r6("prediction").alias("prediction")).agg(F.count(F.lit(1)).alias("n")).withColumn("rmse", _r6(rmse))
+
+
+def q_ordered_summary(spark, sf):
+    """O1, A1: the year-on-year summary written in order; each row's place over the files read in order."""
+    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-ordered-{uuid.uuid4().hex}"
+    write_ordered(S.summary_yoy(V.v1(spark, sf)), d, "city", "crime_type", "year")
+    return read_ordered(spark, d)
+
+
+def q_case_insensitive_names(spark, sf):
+    """``lat`` and ``long`` asked for on columns named ``Lat`` and ``LONG``."""
+    loc = V.customer_locations(spark, sf).select("loc_id", F.col("lat").alias("Lat"), F.col("long").alias("LONG"))
+    return loc.where("lat > 49.1").select("loc_id", _r6("lat").alias("lat"), _r6("long").alias("long"))
+
+
 def q_gbt_score(spark, sf):
     """Fit on V1 features (content split 60/40), score gated customer locations."""
     feats = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), key="none", broadcast="fixed")
@@ -307,6 +337,15 @@ def q_content_key_occurrence(spark, sf):
     return keyed.select(*CONTENT, F.split("uuid", "-").getItem(1).cast("int").alias("occurrence"))
 
 
+def q_content_key_differing(spark, sf):
+    """Rows that differ beside their content, a third of them of one content: numbers from 0 without gaps."""
+    v = V.v1(spark, sf).select("l_orderkey", "l_partkey", "l_suppkey", "count", F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).otherwise(
+        F.concat_ws("-", "crime_type", "l_partkey")).alias("content"))
+    keyed = with_content_key(v, ["content"])
+    occ = F.split("uuid", "-").getItem(1).cast("bigint")
+    return keyed.groupBy("content").agg(F.count(F.lit(1)).alias("n"), F.min(occ).alias("first"), F.max(occ).alias("last"), F.countDistinct("uuid").alias("n_keys"))
+
+
 def q_upsert_by_key(spark, sf):
     v = V.v1(spark, sf).select("l_orderkey", "l_partkey", "l_suppkey", "year", "count")
     old = v.filter(F.col("year") <= 1998)
@@ -695,6 +734,11 @@ QUERIES: list[Query] = [
     Query("landed_toronto_geojson", q_landed_toronto_geojson, SQL["feed_toronto"]),
     Query("landed_socrata_json", q_landed_socrata_json, SQL["feed_socrata"]),
     Query("landed_edmonton_json", q_landed_edmonton_json, SQL["feed_edmonton"]),
+    Query("content_key_differing", q_content_key_differing, SQL["content_key_differing"]),
+    Query("content_split", q_content_split, SQL["content_split"]),
+    Query("gbt_stump", q_gbt_stump, SQL["gbt_stump"]),
+    Query("ordered_summary", q_ordered_summary, SQL["ordered_summary"]),
+    Query("case_insensitive_names", q_case_insensitive_names, SQL["case_insensitive_names"]),
     Query("gbt_score", q_gbt_score, None),
 ]
 

@@ -63,7 +63,7 @@ def rederived(rows: DataFrame, types: DataFrame, places: DataFrame, type_map: Da
     few = few.withColumn("long", F.when(F.col("__p"), F.col("__long")).otherwise(F.col("long")))
     few = few.withColumn("crime_type", F.when(mapped, F.col("__type")).otherwise(F.col("crime_type")))
     lat, long = F.col("lat"), F.col("long")
-    off = F.col("__loc").isNotNull() & ~F.coalesce(neither_zero("lat", "long"), F.lit(False))
+    off = F.coalesce(F.col("city").isin(*PLACED), F.lit(False)) & ~F.coalesce(neither_zero("lat", "long"), F.lit(False))
     wrong = ~(lat.isNull() | lat.between(-90, 90)) | ~(long.isNull() | long.between(-180, 180)) | F.isnan("lat") | F.isnan("long")
     reason = F.when(off, "no_location").when(wrong, "bad_coordinates").when(F.col("crime_type").isNull(), "unmapped_type")
     few = few.withColumn("was", F.col("reason")).withColumn("reason", reason)

@@ -71,7 +71,7 @@ def test_content_keys_unique_and_partition_independent(spark, sf_dir):
     v = V.v1(spark, sf_dir).select(*cols)
     k1 = with_content_key(v, cols).select("uuid")
     k2 = with_content_key(v.repartition(5), cols, buckets=3).select("uuid")
-    k3 = with_content_key(v.repartition(3), cols, buckets=7, materialize=False).select("uuid")
+    k3 = with_content_key(v.repartition(3), cols, buckets=7).select("uuid")
     n = v.count()
     assert k1.distinct().count() == n
     assert _set(k1) == _set(k2) == _set(k3)
@@ -87,6 +87,25 @@ def test_hot_key_numbering(spark, buckets):
     assert got == list(range(4000))
 
 
+@pytest.mark.parametrize("buckets", [1, 5, None])
+def test_hot_content_with_differing_columns(spark, monkeypatch, buckets):
+    from blotter.operators import keys
+    monkeypatch.setattr(keys, "EXPAND_CHUNK", 50)
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, "hot").when(F.col("id") < 2500, None).otherwise(F.col("id").cast("string")).alias("x"),
+                                  (F.col("id") % 700).alias("y"), F.when(F.col("id") % 2 == 0, "e").alias("z"))
+    df = df.unionByName(spark.range(400).select(F.lit("hot").alias("x"), F.lit(7).cast("long").alias("y"), F.lit(None).cast("string").alias("z")))
+    kw = {"buckets": buckets} if buckets else {}
+    keyed = with_content_key(df, ["x"], **kw)
+    assert keyed.select("x", "y", "z").exceptAll(df).isEmpty() and keyed.count() == 3400
+    occ = keyed.select("x", F.split("uuid", "-").getItem(1).cast("int").alias("o"), F.split("uuid", "-").getItem(0).alias("h")).collect()
+    by = {}
+    for r in occ:
+        by.setdefault((r["x"], r["h"]), []).append(r["o"])
+    assert len(by) == 502 and all(sorted(v) == list(range(len(v))) for v in by.values())
+    again = with_content_key(df.repartition(5, "y"), ["x"], **kw)
+    assert again.exceptAll(keyed).isEmpty()
+
+
 def test_random_keys_are_v4_uuids_and_unique(spark):
     from blotter.operators.keys import with_random_key
     df = with_random_key(spark.range(2000))
