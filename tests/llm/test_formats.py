@@ -5,6 +5,7 @@ import collections
 import gzip
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,70 @@ def test_html_whole_names():
     assert text("<p>the text of an unmarked page</p><div class=sidebar><article>teaser</article></div>") == ["the text of an unmarked page"]
 
 
+def test_html_teasers_are_not_the_article():
+    def kept(page):
+        return [t for k, t in op9_html.blocks_of(page) if k >= 0]
+    story = "long story " * 60
+    page = f"<h1>Title</h1><div id=story>{story}</div><div class=more><article>teaser one</article><article>teaser two</article></div>"
+    assert kept(page) == ["Title", story.strip()]
+    assert kept(page.replace("<article>teaser two</article>", "")) == ["Title", story.strip()]        # the headline stands outside
+    assert kept(f"<article><h1>Title</h1>short</article><div>{story}</div>") == ["Title", "short"]
+    assert kept(f"<article>short</article><div>{story}</div>") == ["short"]
+    assert kept("<article>one</article><article>two</article><p>or") == ["one", "two"]                # a list of posts
+    assert kept(f"<main><h1>Title</h1>{story}<article>teaser</article></main>") == ["Title", story.strip(), "teaser"]
+
+
+@pytest.mark.parametrize("name", ["hero banner", "share", "notice", "related", "overlay", "promo", "ad", "comments", "sidebar"])
+def test_html_the_headline_stays(name):
+    page = f"<article><div class='{name}'><p>kicker</p><h1>Headline</h1></div><p>text</p></article>"
+    assert [t for k, t in op9_html.blocks_of(page) if k > 0] == ["kicker", "Headline", "text"]
+    body = f"<article><h1>Headline</h1><div class='{name}'>a part of the text</div><p>text</p></article>"
+    strong = name in ("ad", "comments", "sidebar")
+    assert [t for k, t in op9_html.blocks_of(body) if k > 0] == ["Headline", *["a part of the text"] * (not strong), "text"]
+    links = f"<article><h1>Headline</h1><div class='{name}'><a href=x>one</a> <a href=y>two</a> or</div><p>text</p></article>"
+    assert [t for k, t in op9_html.blocks_of(links) if k > 0] == ["Headline", "text"]
+
+
+def plain_cover(streams, depth, least):
+    """Places covered by strings of ``depth`` tokens on ``least`` distinct streams of a host, by counting them all."""
+    seen = {}
+    for s in set(map(tuple, streams)):
+        for i in range(len(s) - depth + 1):
+            seen.setdefault(s[i:i + depth], set()).add(s)
+    out = []
+    for s in streams:
+        mark = [False] * len(s)
+        for i in range(len(s) - depth + 1):
+            if len(seen[tuple(s[i:i + depth])]) >= least:
+                mark[i:i + depth] = [True] * depth
+        out.append(mark)
+    return out
+
+
+@pytest.mark.parametrize("array_pages", [1000, 4])
+def test_html_host_repeats_by_brute_force(spark, monkeypatch, array_pages):
+    monkeypatch.setattr(op9_html, "ARRAY_PAGES", array_pages)
+    rng = np.random.default_rng(4)
+    parts = [" ".join(rng.choice(list("abcd"), int(rng.integers(5, 14)))) for _ in range(6)]
+    pages, streams = [], {}
+    for i in range(60):
+        host = ["h1.org", "h2.org", "h3.org"][int(rng.choice(3, p=[.6, .3, .1]))]
+        blocks = [parts[int(rng.integers(6))] if rng.random() < .5 else " ".join(rng.choice(list("abcdefgh"), int(rng.integers(1, 12)))) for _ in range(4)]
+        pages.append((i, f"http://{host}/{i}", "".join(f"<p>{b}</p>" for b in blocks)))
+        streams.setdefault(host, []).append((i, blocks))
+    want = {}
+    for host, found in streams.items():
+        for (i, blocks), mark in zip(found, plain_cover([" ".join(b).split() for _, b in found], 6, 3)):
+            at, left = 0, []
+            for b in blocks:
+                words = b.split()
+                left.append(" ".join(w for w, m in zip(words, mark[at:at + len(words)]) if not m))
+                at += len(words)
+            want[i] = "\n\n".join(x for x in left if x)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in op9_html.extract(df, min_tokens=6).collect()} == want
+
+
 def test_html_repeats_decide_doubtful_names(spark):
     """A block of an article goes only under a doubtful name and only if it stands as a whole on three pages of the host."""
     line = "the same nine words on all pages of ours"
