@@ -5,7 +5,8 @@ worker has not met yet are laid out as one ragged numpy array of symbol ids,
 and all of them are merged at once: each round finds every sequence's
 lowest-rank adjacent pair and applies it in all sequences simultaneously, until
 no pair is left. The surviving symbols are the tokens; their numbers go to a
-bounded memo and are summed per text. Normalising and pre-tokenising rules come
+memo, bounded in bytes, and are summed per text. Texts with rare white space are
+split by the tokenizer's own rules; long chunks are counted and not kept. Normalising and pre-tokenising rules come
 from the tokenizer file; the merging is done here.
 
 Defined cases: null and empty texts count 0 tokens and 0 bytes; a special
@@ -26,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .tokens import MEMO_LIMIT, ODD_SPACE, layout, tokenizer_path
+from .tokens import ENTRY_BYTES, LONG_CHUNK, MEMO_BYTES, ODD_SPACE, layout, tokenizer_path
 
+ROW_CHUNKS = 200_000       # chunks of texts that are looked up together
 
 class MergeTable:
     """Rank and result of a symbol pair, looked up for whole arrays."""
@@ -114,8 +116,11 @@ class TokenCounter:
         self.odd = re.compile(f"[{ODD_SPACE}]")
         self.memo: dict[str, int] = {}      # chunk -> tokens
         self.pre_memo: dict[str, int] = {}  # pre-token -> tokens
+        self.held = 0                       # bytes of both, about
 
     def _split(self, chunk: str) -> list[str]:
+        if chunk[0] == "\0":  # a pre-token already
+            return [chunk[1:]]
         if chunk.isascii():
             word = chunk.lower()
             if word.isalpha():
@@ -124,58 +129,74 @@ class TokenCounter:
                 return [word[:-1], word[-1]]
         return [p for p, _ in self.pretokens(self.normalize(chunk))]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Memo entries for chunks not met before: one ragged array for all their pre-tokens."""
-        if len(self.memo) + len(chunks) > MEMO_LIMIT:
-            self.memo.clear()
-            self.pre_memo.clear()
+    def _learn(self, chunks: list[str]) -> dict[str, int]:
+        """Tokens of chunks not met before: one ragged array for all their pre-tokens. Long ones are not kept."""
         parts = {c: self._split(c) for c in chunks}
         new = [p for p in dict.fromkeys(p for ps in parts.values() for p in ps) if p not in self.pre_memo]
+        found: dict[str, int] = {}
         for i in range(0, len(new), 50_000):
             block = new[i:i + 50_000]
             offs = np.concatenate([[0], np.cumsum([len(p) for p in block])])
             vocab, suffix = self.vocab, self.suffix
             symbols = np.array([vocab[s] for p in block for s in (*p[:-1], p[-1] + suffix)], np.int64)
-            self.pre_memo.update(zip(block, merge_counts(symbols, offs, self.table).tolist()))
+            found.update(zip(block, merge_counts(symbols, offs, self.table).tolist()))
         known = self.pre_memo
-        self.memo.update((c, sum([known[p] for p in ps])) for c, ps in parts.items())
+        for p, n in found.items():
+            if len(p) <= LONG_CHUNK:
+                known[p] = n
+                self.held += len(p) + ENTRY_BYTES
+        out = {c: sum([found[p] if p in found else known[p] for p in ps]) for c, ps in parts.items()}
+        for c, n in out.items():
+            if len(c) <= LONG_CHUNK:
+                self.memo[c] = n
+                self.held += len(c) + ENTRY_BYTES
+        return out
 
     def _chunks(self, text: str) -> list[str]:
-        if self.odd.search(text):  # let the tokenizer's own rules bound the pre-tokens
-            return [text]
+        if self.odd.search(text):  # the tokenizer's own rules bound the pre-tokens
+            return ["\0" + p for p, _ in self.pretokens(self.normalize(text))]
         return text.split()
 
+    def _counts(self, rows: list[list[str]]) -> list[int]:
+        """Tokens of some rows of chunks, whose distinct chunks fit the memo."""
+        get = self.memo.__getitem__
+        try:
+            return [sum(map(get, r)) for r in rows]
+        except KeyError:
+            pass
+        if self.held >= MEMO_BYTES:
+            self.memo.clear()
+            self.pre_memo.clear()
+            self.held = 0
+        memo = self.memo
+        new = self._learn(list({c for r in rows for c in r if c not in memo}))
+        return [sum([memo[c] if c in memo else new[c] for c in r]) for r in rows]
+
     def count_batch(self, texts: list[str | None]) -> list[int]:
-        rows, specials = [], []
+        out, rows, at, held = [], [], [], 0
+
+        def count():
+            for i, n in zip(at, self._counts(rows)):
+                out[i] += n
+            rows.clear(), at.clear()
+
         for t in texts:
             t = t or ""
+            pieces, special = [t] if t else [], 0
             if self.special is not None and "<|" in t and self.special.search(t):
-                bare = self.special.split(t)
-                specials.append(len(bare) - 1)
-                rows.append([c for s in bare for c in self._chunks(s)])
-            else:
-                specials.append(0)
-                rows.append(self._chunks(t) if t else [])
-        new = {c for r in rows for c in r if c not in self.memo}
-        if new:
-            self._learn(new)
-            new = {c for r in rows for c in r if c not in self.memo}  # the memo may have started anew
-            if new:
-                self._learn(new)
-        get = self.memo.__getitem__
-        try:
-            return [n + sum(map(get, r)) for n, r in zip(specials, rows)]
-        except KeyError:  # more distinct chunks in one batch than the memo holds
-            return [self.count_batch([t])[0] for t in texts] if len(texts) > 1 else self._count_long(rows[0], specials[0])
-
-    def _count_long(self, chunks: list[str], special: int) -> list[int]:
-        total = special
-        for i in range(0, len(chunks), MEMO_LIMIT // 2):
-            block = chunks[i:i + MEMO_LIMIT // 2]
-            self._learn({c for c in block if c not in self.memo})
-            self._learn({c for c in block if c not in self.memo})
-            total += sum(self.memo[c] for c in block)
-        return [total]
+                pieces = self.special.split(t)
+                special = len(pieces) - 1
+            out.append(special)
+            chunks = [c for p in pieces for c in self._chunks(p)] if len(pieces) != 1 else self._chunks(t)
+            for i in range(0, len(chunks), ROW_CHUNKS):  # a very long text in parts
+                rows.append(chunks[i:i + ROW_CHUNKS] if len(chunks) > ROW_CHUNKS else chunks)
+                at.append(len(out) - 1)
+                held += len(rows[-1])
+                if held >= ROW_CHUNKS:
+                    count()
+                    held = 0
+        count()
+        return out
 
 
 _COUNTERS: dict[str, TokenCounter] = {}

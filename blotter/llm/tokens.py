@@ -19,7 +19,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 # Control and rare white-space characters on which libraries may disagree.
 ODD_SPACE = "".join(map(chr, [0, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029,
                              0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]))
-MEMO_LIMIT = 600_000  # entries per worker; the memo starts anew when full
+MEMO_BYTES = 96 << 20  # of a worker's memo, an entry's own ENTRY_BYTES included; it starts anew when full
+ENTRY_BYTES, LONG_CHUNK = 150, 200  # longer chunks (characters) are not kept
 
 
 def tokenizer_path(name: str) -> str:
@@ -61,6 +62,7 @@ class ChunkEncoder:
             odd += [r"\s\s", r"[\t\x0b\x0c\r]", r"^\s", r"\s\Z"]
         self.odd = re.compile("|".join(added + odd))
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
@@ -78,9 +80,13 @@ class ChunkEncoder:
     def _known(self, chunk: str) -> bytes:
         got = self.memo.get(chunk)
         if got is None:
-            if len(self.memo) >= MEMO_LIMIT:
-                self.memo.clear()
-            got = self.memo[chunk] = self._chunk(chunk)
+            got = self._chunk(chunk)
+            if len(chunk) <= LONG_CHUNK:
+                if self.held >= MEMO_BYTES:
+                    self.memo.clear()
+                    self.held = 0
+                self.memo[chunk] = got
+                self.held += len(chunk) + len(got) + ENTRY_BYTES
         return got
 
     def encode(self, text: str | None) -> bytes:

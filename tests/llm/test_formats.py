@@ -97,7 +97,7 @@ def test_html_the_headline_stays(name):
     body = f"<article><h1>Headline</h1><div class='{name}'>a part of the text</div><p>text</p></article>"
     strong = name in ("ad", "comments", "sidebar")
     assert [t for k, t in op9_html.blocks_of(body) if k > 0] == ["Headline", *["a part of the text"] * (not strong), "text"]
-    links = f"<article><h1>Headline</h1><div class='{name}'><a href=x>one</a> <a href=y>two</a> or</div><p>text</p></article>"
+    links = f"<article><h1>Headline</h1><div class='{name}'><a href=x>the first other story</a> <a href=y>the second</a> or</div><p>text</p></article>"
     assert [t for k, t in op9_html.blocks_of(links) if k > 0] == ["Headline", "text"]
 
 

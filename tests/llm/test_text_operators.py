@@ -64,6 +64,30 @@ def test_token_counts(spark, docs, rows):
     assert op1_token_counts.count_tokens(empty(spark)).count() == 0
 
 
+def test_memos_are_bounded_in_bytes(monkeypatch):
+    """Texts with a rare white space, long chunks and many words leave no more in a worker than the bound."""
+    from blotter.llm import tokens
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rng = np.random.default_rng(2)
+    texts = [f"{passage(i, 400)}\u00a0{passage(i + 1000, 20)}" for i in range(40)] + ["x" * 5000 + str(i) + " y" for i in range(50)]
+    texts += [" ".join("".join(rng.choice(list("abcdefghij"), 9)) for _ in range(3000)) for _ in range(4)] + ["", None, "\u3000", "a\x1fb<|endoftext|>\u00a0c"]
+    monkeypatch.setattr(op1_token_counts, "MEMO_BYTES", 200_000)
+    monkeypatch.setattr(op1_token_counts, "ROW_CHUNKS", 700)
+    counter = op1_token_counts.TokenCounter(public_tokenizers.path("word_bpe_49k.json"))
+    want = [len(tok.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    for at in range(0, len(texts), 7):
+        assert counter.count_batch(texts[at:at + 7]) == want[at:at + 7]
+        # one look-up of at most ROW_CHUNKS chunks (and the last of a text before it) may pass the bound
+        assert sum(len(k) + tokens.ENTRY_BYTES for m in (counter.memo, counter.pre_memo) for k in m) < 200_000 + 2 * 2 * 700 * 210
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 100_000)
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        enc, lib = tokens.ChunkEncoder(path), Tokenizer.from_file(path)
+        for t in texts:
+            assert np.frombuffer(enc.encode(t), np.uint32).tolist() == lib.encode(t or "", add_special_tokens=False).ids
+            assert sum(len(k) + len(v) for k, v in enc.memo.items()) < 100_000 + 1000 and all(len(k) <= tokens.LONG_CHUNK for k in enc.memo)
+
+
 def test_merges_one_by_one():
     """Simultaneous merging equals merging the leftmost lowest-rank pair again and again."""
     pairs = [(0, 0), (0, 1), (2, 1), (2, 2), (3, 0)]
