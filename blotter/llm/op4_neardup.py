@@ -10,7 +10,7 @@ Candidates. Equal sets are one class, found by a 128-bit sum over the set, so
 copies never meet as pairs. Class representatives meet in band buckets. In a
 bucket every member is compared with a hub (another hub in each band); where a
 bucket still spans several components, its pairs across components are checked
-on full sets in blocks of bounded size, by counting shared shingles in a matrix
+on full sets in blocks bounded in members and in shingles, by counting shared shingles in a matrix
 product. Nothing is capped and no pairs are emitted: only links that hold are.
 
 Verification is on the full shingle sets. Components: union-find inside a block
@@ -39,7 +39,7 @@ from . import common as C
 BANDS, ROWS = 24, 4
 SHINGLE_WORDS = 5
 ROUND_ELEMENTS = 400_000   # shingles whose permutations are held at once
-BLOCK = 600                # members of a block; a task compares two blocks
+BLOCK, BLOCK_SHINGLES = 600, 2_000_000   # members of a block, and shingles of all its sets (means); a task compares two blocks
 
 
 def superminhash(sets: np.ndarray, offs: np.ndarray, slots: int) -> np.ndarray:
@@ -159,10 +159,11 @@ def components(links: DataFrame, name: str = "cc") -> DataFrame:
 
 
 def hub_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between bucket members and their bucket's hub, on full sets."""
-    hubs = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), F.col("id").alias("id"))).alias("hub"))
-    hubs = C.materialize(hubs.select("key", F.col("hub.id").alias("b")), "hubs")
-    pairs = (buckets.join(hubs, "key").where("id <> b")
+    """Links between bucket members and their bucket's hub, on full sets, where the sets' sizes allow one."""
+    hubs = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), F.col("id").alias("id"), "size")).alias("hub"))
+    hubs = C.materialize(hubs.select("key", F.col("hub.id").alias("b"), F.col("hub.size").alias("hub_size")), "hubs")
+    alike = link_holds(F.least("size", "hub_size"), F.col("size"), F.col("hub_size"), percent)  # the smaller set inside the larger
+    pairs = (buckets.join(hubs, "key").where("id <> b").where(alike)
              .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct())
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
@@ -171,19 +172,21 @@ def hub_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def block_tasks(open_: DataFrame) -> DataFrame:
-    """Block pairs (key, lo, hi) with their members for buckets (key, id, root) that span components.
+    """Block pairs (key, lo, hi) with their members for buckets (key, id, root, size) that span components.
 
     The members of a bucket's largest component form one run of blocks, all
     others another. Pairs inside the largest component need no comparison, so
     its blocks meet only the blocks of the others; those meet every block.
     """
-    by_root = open_.groupBy("key", "root").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"))
+    by_root = open_.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("w"), F.bit_xor(F.xxhash64("id")).alias("x"))
     spread = by_root.groupBy("key").agg(
         F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("n_major"), F.sum("n").alias("n"),
+        F.max_by("w", F.struct("n", "root")).alias("w_major"), F.sum("w").alias("w"),
         F.bit_xor("x").alias("x"), F.count("*").alias("roots")).where("roots > 1 and n > 2")
-    one = spread.groupBy("n", "x", "major").agg(F.min(F.struct("key", "n_major")).alias("s"))  # equal member lists once
-    one = one.select("s.key", "major", F.ceil(F.col("s.n_major") / BLOCK).alias("mb"),
-                     F.ceil((F.col("n") - F.col("s.n_major")) / BLOCK).alias("ob"))
+    one = spread.groupBy("n", "x", "major", "w").agg(F.min(F.struct("key", "n_major", "w_major")).alias("s"))  # equal member lists once
+    rest, heavy = F.col("n") - F.col("s.n_major"), F.col("w") - F.col("s.w_major")
+    one = one.select("s.key", "major", F.greatest(F.ceil(F.col("s.n_major") / BLOCK), F.ceil(F.col("s.w_major") / BLOCK_SHINGLES)).alias("mb"),
+                     F.greatest(F.ceil(rest / BLOCK), F.ceil(heavy / BLOCK_SHINGLES)).alias("ob"))
     rows = open_.join(one, "key")
     major = F.col("root") == F.col("major")
     salt = F.xxhash64("id")
@@ -239,7 +242,7 @@ def block_links(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def find_links(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Links (a, b) that connect all components among class representatives (id, doc, th, bands)."""
-    long = reps.select("id", F.explode("bands").alias("key"))
+    long = reps.select("id", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
     # written first, so that the join has exchanges of its own, whose skewed partitions Spark can split
     full = C.materialize(long.groupBy("key").count().where("count > 1").select("key"), "full-buckets")
     buckets = C.materialize(long.join(full, "key"), "buckets")
@@ -250,7 +253,7 @@ def find_links(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
     sets = C.materialize(full_sets(picked.select("id", "text"), size).dropDuplicates(["id"]), "sets")
     first = C.materialize(hub_links(buckets, sets, percent), "hub-links")
     label = components(first, "hub-cc")
-    open_ = buckets.join(label, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    open_ = buckets.join(label, "id", "left").select("key", "id", "size", F.coalesce("root", "id").alias("root"))
     tasks = C.materialize(block_tasks(open_), "block-tasks")
     return C.materialize(first.union(block_links(tasks, sets, percent)), "links")
 

@@ -143,7 +143,7 @@ def learn(labelled: DataFrame, max_rules: int = 8, max_conditions: int = 3, cuts
     names = list(FEATURES)
     points = [(i + 0.5) / cuts for i in range(cuts)]
     quantiles = labelled.groupBy("bad").agg(*[F.percentile_approx(feature(n), points, 2000).alias(n) for n in names]).collect()
-    grid = {n: sorted({v for r in quantiles for v in (r[n] or [])}) for n in names}
+    grid = {n: _with_middles(sorted({v for r in quantiles for v in (r[n] or [])})) for n in names}
     bins = {n: F.lit(0) if not grid[n] else _bin(feature(n), grid[n]) for n in names}  # cuts below the value
     rows = C.materialize(labelled.select(
         "bad", (F.pmod(F.col("fold"), F.lit(3)) == 2).alias("prune"), *[bins[n].cast("int").alias(n) for n in names]), "labelled")
@@ -191,18 +191,34 @@ def _bin(value: Column, cuts: list[float]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < value))
 
 
+def _with_middles(values: list[float]) -> list[float]:
+    """Cut points: the values, and the middles between neighbours."""
+    return sorted({*values, *[(a + b) / 2 for a, b in zip(values, values[1:])]})
+
+
 def _best(counts, names: list[str], grid: dict, p0: int, n0: int) -> Condition | None:
-    """Condition of greatest information gain from counts by (feature, bin, class)."""
+    """Condition of greatest information gain from counts by (feature, bin, class).
+
+    Cuts of one feature that part the rows alike lie in a gap between them; the
+    one nearest to the gap's middle stands for all, so that neither class is
+    held to its very last row seen.
+    """
     table = {}
     for r in counts:
         table.setdefault(r["f"], {}).setdefault(r["b"], [0, 0])[r["bad"]] += r["count"]
     before, best, gain = math.log2(p0 / (p0 + n0)), None, 1e-9
     for f, by_bin in sorted(table.items()):
         name, p, n = names[f], 0, 0
-        for k, cut in enumerate(grid[name]):
+        cuts, parted = grid[names[f]], []
+        for k in range(len(cuts)):
             n += by_bin.get(k, (0, 0))[0]
             p += by_bin.get(k, (0, 0))[1]
-            for above, (pp, nn) in ((False, (p, n)), (True, (p0 - p, n0 - n))):
+            parted.append((p, n))
+        for part in dict.fromkeys(parted):
+            gap = [c for c, x in zip(cuts, parted) if x == part]
+            middle = (gap[0] + gap[-1]) / 2
+            cut = min(gap, key=lambda c: (abs(c - middle), c))
+            for above, (pp, nn) in ((False, part), (True, (p0 - part[0], n0 - part[1]))):
                 if pp:
                     g = pp * (math.log2(pp / (pp + nn)) - before)
                     if g > gain:
@@ -228,10 +244,10 @@ def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat_pc
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat_pct: int = 50, **params) -> DataFrame:
-    """The documents that pass, with all their columns; nothing is shuffled but the labelled statistics."""
-    stats = with_stats(docs.select("doc_id", "text")).select("doc_id", "q.*")
-    known = labels.select(F.col("doc_id")).distinct()
-    rules = learn_from(C.materialize(stats.join(known, "doc_id", "left_semi"), "labelled-stats"), labels, **params)
+    """The documents that pass, with all their columns; statistics to learn from are made of the labelled ones alone."""
+    known = C.small_side(C.materialize(labels.select("doc_id").where("doc_id is not null").distinct(), "labelled-ids"))
+    marked = docs.select("doc_id", "text").join(known, "doc_id", "left_semi")
+    rules = learn_from(C.materialize(with_stats(marked).select("doc_id", "q.*"), "labelled-stats"), labels, **params)
     names = docs.columns
     inner = with_stats(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.col("text").alias("__text")), "__text")
     # the filter uses a column that is not deterministic (and never negative): else it would be pushed down,

@@ -413,3 +413,41 @@ def test_decontamination_needs_no_python(spark, benchmark_items):
     df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     plan = op2_decontaminate.contaminated(df, benchmark_items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_cuts_lie_in_the_middle_of_a_gap():
+    """Neither class is held to the last of its rows: 0 of the good, 8 and more of the bad, gives a cut near 4."""
+    grid = {"x": op6_quality._with_middles([0.0, 8.0, 9.0, 10.0])}
+    rows = [{"f": 0, "b": sum(c < v for c in grid["x"]), "bad": bad, "count": n}
+            for v, bad, n in ((0.0, 0, 50), (8.0, 1, 20), (9.0, 1, 5), (10.0, 1, 5))]
+    best = op6_quality._best(rows, ["x"], grid, 30, 50)
+    assert (best.feature, best.above, best.cut) == ("x", True, 4.0)
+
+
+@pytest.mark.parametrize("block, block_shingles", [(3, 2_000_000), (600, 150), (2, 40)])
+def test_blocks_are_bounded_in_members_and_shingles(spark, monkeypatch, block, block_shingles):
+    """Near copies of one text in small blocks, with far longer texts in the same buckets: the groups of brute force."""
+    monkeypatch.setattr(op4_neardup, "BLOCK", block)
+    monkeypatch.setattr(op4_neardup, "BLOCK_SHINGLES", block_shingles)
+    base, rows = passage(50, 120).split(), []
+    rng = np.random.default_rng(7)
+    for i in range(24):
+        w = list(base)
+        for at in rng.choice(120, int(rng.integers(0, 5)), replace=False):
+            w[int(at)] = f"w{i}"
+        rows.append((i, " ".join(w if i % 6 else w + passage(60 + i, 900).split())))
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        inter = len(sets[i] & sets[j])
+        if 100 * inter >= 85 * len(sets[i] | sets[j]):
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in op4_neardup.near_duplicates(df, bands=40, rows=2).collect()}
+    assert got == {i: find(i) for i in range(len(rows))} and len(set(got.values())) > 3
