@@ -56,16 +56,19 @@ def missing_localities(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: s
 
 
 def enrich(df: DataFrame, gazetteer: DataFrame, neighbourhood_col: str = "neighbourhood",
-           suffix: str = EDMONTON_SUFFIX, drop_unlocated: bool = True) -> DataFrame:
+           suffix: str = EDMONTON_SUFFIX, drop_unlocated: bool = True, unique: bool = False) -> DataFrame:
     """Attach lat, long by locality; optionally keep only located rows.
 
+    ``unique``: the gazetteer has one row per locality (as :func:`build_gazetteer`
+    and the upsert write it), so it need not be reduced to one first.
+
     "Located" is the neither-zero rule (F4): a zero on either axis, or no
     gazetteer entry at all (null), drops the row.
     """
     base = df.drop("lat", "long")
-    g = unique_lookup(gazetteer.select("locality", "lat", "long"), "locality")
+    g = gazetteer.select("locality", "lat", "long")
     out = (base.withColumn("locality", locality(neighbourhood_col, suffix))
-               .join(g, "locality", "left"))
+               .join(g if unique else unique_lookup(g, "locality"), "locality", "left"))
     if drop_unlocated:
         out = out.filter(neither_zero("lat", "long"))
     return out.drop("locality")

@@ -177,7 +177,7 @@ def q_distinct_neighbourhoods(spark, sf):
 
 def q_gazetteer_left(spark, sf):
     g = V.part_places(spark, sf)
-    return (L.enrich(V.v1(spark, sf), g)
+    return (L.enrich(V.v1(spark, sf), g, unique=True)   # grouped by locality
              .select("l_orderkey", "l_partkey", "l_suppkey", "neighbourhood", "lat", "long"))
 
 
