@@ -216,7 +216,7 @@ def _best(counts, names: list[str], grid: dict, p0: int, n0: int) -> Condition |
             parted.append((p, n))
         for part in dict.fromkeys(parted):
             gap = [c for c, x in zip(cuts, parted) if x == part]
-            middle = (gap[0] + gap[-1]) / 2
+            middle = (gap[0] + min([c for c in cuts if c > gap[-1]], default=gap[-1])) / 2
             cut = min(gap, key=lambda c: (abs(c - middle), c))
             for above, (pp, nn) in ((False, part), (True, (p0 - part[0], n0 - part[1]))):
                 if pp:
