@@ -58,11 +58,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-SMALL_ROWS = 500_000       # narrow rows that may be broadcast
+SMALL_ROWS = 500_000       # rows that may be broadcast
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """``df`` (a written table of narrow rows) with a broadcast hint if it has few rows, else left to a shuffle join."""
+    """``df`` with a broadcast hint if it has few rows, else left to a shuffle join.
+
+    ``df`` is a written table of rows of fixed width (ids, hashes, digests: at most
+    some 120 bytes), so the counted rows bound the broadcast to some 60 MB; either
+    join gives the same rows.
+    """
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 

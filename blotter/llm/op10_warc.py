@@ -325,19 +325,19 @@ def with_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Rows to write: of equal payloads of at least ``min_bytes`` the one with the largest page_id is the response."""
     payload = C.text_or_empty("html")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
-    rows = rows.withColumn("payload_digest", F.sha1(F.col("payload").cast("binary")))
-    rank = F.struct(F.col("page_id"), F.col("url"))
-    same = (rows.where(F.octet_length("payload") >= min_bytes).select("payload_digest", rank.alias("rank"))
-            .groupBy("payload_digest").agg(F.count("*").alias("n"), F.max("rank").alias("first")).where("n > 1"))
-    same = C.materialize(same.select(F.col("payload_digest").alias("digest"), "first"), "copies")
-    joined = rows.join(C.small_side(same), F.col("payload_digest") == F.col("digest"), "left")
+    rows = rows.withColumn("payload_digest", F.sha1(F.col("payload").cast("binary"))).withColumn("size", F.octet_length("payload"))
+    rank = F.struct(F.col("page_id"), F.xxhash64("url").alias("url_hash"))  # of fixed width, as it may be broadcast
+    same = (rows.where(F.col("size") >= min_bytes).select("payload_digest", "size", rank.alias("rank"))
+            .groupBy("payload_digest", "size").agg(F.count("*").alias("n"), F.max("rank").alias("first")).where("n > 1"))
+    same = C.materialize(same.select(F.col("payload_digest").alias("digest"), F.col("size").alias("length"), "first"), "copies")
+    joined = rows.join(C.small_side(same), (F.col("payload_digest") == F.col("digest")) & (F.col("size") == F.col("length")), "left")
     lead = F.col("first").isNull() | rank.eqNullSafe(F.col("first"))
     # rows equal in page_id, url and payload: only one of them leads
-    ties = C.materialize(joined.where(F.col("first").isNotNull() & lead).select("digest", F.monotonically_increasing_id().alias("row")), "leads")
-    if not ties.groupBy("digest").count().where("count > 1").isEmpty():
+    ties = C.materialize(joined.where(F.col("first").isNotNull() & lead).select("digest", "length", F.monotonically_increasing_id().alias("row")), "leads")
+    if not ties.groupBy("digest", "length").count().where("count > 1").isEmpty():
         joined = C.materialize(joined.withColumn("row", F.monotonically_increasing_id()), "ranked")
-        one = joined.where(F.col("first").isNotNull() & lead).groupBy(F.col("digest").alias("d")).agg(F.min("row").alias("lead_row"))
-        joined = joined.join(one, F.col("digest") == F.col("d"), "left").drop("d")
+        one = joined.where(F.col("first").isNotNull() & lead).groupBy(F.col("digest").alias("d"), F.col("length").alias("l")).agg(F.min("row").alias("lead_row"))
+        joined = joined.join(one, (F.col("digest") == F.col("d")) & (F.col("length") == F.col("l")), "left").drop("d", "l")
         lead = F.col("first").isNull() | (F.col("row") == F.col("lead_row"))
     return joined.select("page_id", "url", F.when(lead, "response").otherwise("revisit").alias("record_type"),
                          F.when(~lead, F.col("first.page_id")).alias("refers_to"), "payload_digest", "payload")

@@ -117,9 +117,10 @@ def plain_cover(streams, depth, least):
     return out
 
 
-@pytest.mark.parametrize("array_pages", [1000, 4])
-def test_html_host_repeats_by_brute_force(spark, monkeypatch, array_pages):
+@pytest.mark.parametrize("array_pages, array_chars", [(1000, 8_000_000), (4, 8_000_000), (1000, 300)])
+def test_html_host_repeats_by_brute_force(spark, monkeypatch, array_pages, array_chars):
     monkeypatch.setattr(op9_html, "ARRAY_PAGES", array_pages)
+    monkeypatch.setattr(op9_html, "ARRAY_CHARS", array_chars)
     rng = np.random.default_rng(4)
     parts = [" ".join(rng.choice(list("abcd"), int(rng.integers(5, 14)))) for _ in range(6)]
     pages, streams = [], {}
