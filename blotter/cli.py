@@ -10,6 +10,9 @@
     python -m blotter --warehouse W train --model W/models/gbt
     python -m blotter --warehouse W score locations.csv --model W/models/gbt
     python -m blotter --warehouse W unmapped             # sub-types the type map misses, per city
+    python -m blotter --warehouse W replay               # after load-types or a new gazetteer: only the records concerned
+    python -m blotter --warehouse W compact incidents    # fold the layers that loads have left
+    python -m blotter --warehouse W export crimes_yoy out/ --by city crime_type year
     python -m blotter --warehouse W vacuum crimes_yoy --keep 2
 
 Every step reads and writes tables of the catalogue under ``--warehouse``
@@ -29,11 +32,13 @@ from .operators import feeds as FD
 from .operators import locate as L
 from .operators.joins import unique_lookup
 from .plans import jobs as J
+from .plans.replay import replay
 from .schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, GAZETTEER_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
                       VANCOUVER_SCHEMA)
 from .session import get_spark
 from .sources import files as S
 from .sources.catalog import Catalog
+from .sources.ordered import write_ordered
 
 SOCRATA_CITIES = ("ottawa", "victoria", "lethbridge")
 FEEDS = ("vancouver", "calgary", "toronto", "edmonton") + SOCRATA_CITIES
@@ -50,6 +55,12 @@ def _read_table_file(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _change(cat: Catalog, table: str) -> tuple[DataFrame, DataFrame] | None:
+    """The last two versions of a lookup table, if there are as many."""
+    known = cat.versions(table)
+    return (cat.read(table, known[-2]), cat.read(table, known[-1])) if len(known) > 1 else None
+
+
 def _gazetteer(cat: Catalog) -> DataFrame:
     if cat.exists("gazetteer"):
         return cat.read("gazetteer")
@@ -120,6 +131,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--max-iter", type=int, default=100)
     p.add_argument("--weighted", action="store_true", help="collapse identical rows into weighted rows")
     sub.add_parser("unmapped")
+    sub.add_parser("replay", help="apply the last change of the type map and of the gazetteer to the stored records")
+    p = sub.add_parser("compact")
+    p.add_argument("table", nargs="?", default="incidents")
+    p = sub.add_parser("export", help="write a table as files in order")
+    p.add_argument("table")
+    p.add_argument("path")
+    p.add_argument("--by", nargs="+", required=True)
     p = sub.add_parser("vacuum")
     p.add_argument("table")
     p.add_argument("--keep", type=int, default=2)
@@ -151,6 +169,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print({"rmse": J.train_model(cat, args.model, max_iter=args.max_iter, weighted=args.weighted)})
     elif args.cmd == "unmapped":
         print(cat.write("unmapped_subtypes", J.unmapped_report(cat)))
+    elif args.cmd == "replay":
+        print(replay(cat, types=_change(cat, "crime_type"), places=_change(cat, "gazetteer"), type_map=_type_map(cat)))
+    elif args.cmd == "compact":
+        done = cat.compact(args.table)
+        print({"version": done["version"] if done else None})
+    elif args.cmd == "export":
+        write_ordered(cat.read(args.table), args.path, *args.by)
     elif args.cmd == "vacuum":
         print({"removed": cat.vacuum(args.table, keep=args.keep)})
     elif args.cmd == "score":

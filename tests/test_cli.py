@@ -48,3 +48,16 @@ def test_workflow(spark, tmp_path, capsys):
     assert main(["--warehouse", wh, "unmapped"], spark) == 0
     assert cat.read("unmapped_subtypes").count() == 0          # every fixture sub-type is mapped
     assert "rmse" in capsys.readouterr().out
+    # a corrected map and a found place concern few records, and reach them without a new load
+    types.write_text("".join(f"{a},{'Stolen' if a == 'Theft of Vehicle' else b}\n" for a, b in CRIME_TYPE_ROWS))
+    assert main(["--warehouse", wh, "load-types", str(types)], spark) == 0
+    edm.write_text("")
+    cat.write("gazetteer", cat.read("gazetteer").selectExpr("locality", "if(lat = 0, 53.5, lat) lat", "if(long = 0, -113.5, long) long"))
+    assert main(["--warehouse", wh, "replay"], spark) == 0
+    assert main(["--warehouse", wh, "compact"], spark) == 0
+    assert main(["--warehouse", wh, "summaries"], spark) == 0
+    assert {(r["city"], r["crime_type"], r["count"]) for r in cat.read("crimes_yoy").groupBy("city", "crime_type").sum("count").toDF(
+        "city", "crime_type", "count").collect()} == {("Vancouver", "Stolen", 60), ("Edmonton", "Assault", 4)}
+    assert cat.read("incident_rejects").count() == 0
+    assert main(["--warehouse", wh, "export", "crimes_yoy", str(tmp_path / "out"), "--by", "city", "year"], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == cat.read("crimes_yoy").count()
