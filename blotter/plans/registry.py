@@ -29,7 +29,7 @@ from ..operators.keys import with_content_key
 from ..operators.upsert import union_all, upsert_by_key
 from ..schemas import (CALGARY_SCHEMA, EDMONTON_SCHEMA, SOCRATA_INCIDENT_SCHEMA,
                        VANCOUVER_SCHEMA)
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_folder
 from ..sources import files as SRC
 from ..sources.catalog import Catalog
 from ..sources.ordered import read_ordered, write_ordered
@@ -286,6 +286,7 @@ def q_gbt_stump(spark, sf):
     """M5, M6, M7, M8: one round of depth one on features of few values, where the bins are exact; its RMSE by the evaluator."""
     f = M.training_features(V.v1_located(spark, sf), _codes_parts(spark), digits=0, key="none", broadcast="fixed")
     train, _ = M.content_split(f, 60)
+    ensure_checkpoint_dir(spark)
     train = train.checkpoint(eager=True)
     told = M.fit(train, max_iter=1, max_depth=1).transform(train)
     rmse = F.lit(M.evaluate_rmse(told))
@@ -294,7 +295,7 @@ def q_gbt_stump(spark, sf):
 
 def q_ordered_summary(spark, sf):
     """O1, A1: the year-on-year summary written in order; each row's place over the files read in order."""
-    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-ordered-{uuid.uuid4().hex}"
+    d = scratch_folder(spark, "ordered")
     write_ordered(S.summary_yoy(V.v1(spark, sf)), d, "city", "crime_type", "year")
     return read_ordered(spark, d)
 
@@ -322,7 +323,7 @@ def q_score_linear(spark, sf):
     stages = [SQLTransformer(statement="SELECT *, code * 10 + lat + CAST(0.0003 AS DOUBLE) AS prediction FROM __THIS__"),
               VectorAssembler(inputCols=M.FEATURES, outputCol="input_features", handleInvalid="skip")]
     locs = V.customer_locations(spark, sf).select("loc_id", "lat", "long")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-model-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "model")
     M.save_model(Pipeline(stages=stages).fit(locs), path)
     return M.score_locations(locs, M.load_model(path), [r for r in CRIME_CODE_ROWS if r[0] in SCORE_CODES])
 
@@ -427,7 +428,7 @@ def q_union_feeds(spark, sf):
 # reader and adapted: same expected rows as the in-memory feed query.
 
 def _land(spark, df, fmt: str) -> str:
-    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-landed-{uuid.uuid4().hex}"
+    d = scratch_folder(spark, "landed")
     if fmt == "csv":
         df.write.mode("errorifexists").option("header", True).csv(d)
     else:
@@ -468,7 +469,7 @@ def q_landed_edmonton_json(spark, sf):
 
 def _land_documents(spark, df, head: str, tail: str) -> str:
     """Whole JSON documents of at most 5,000 records, one a file."""
-    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-landed-{uuid.uuid4().hex}"
+    d = scratch_folder(spark, "landed")
     rows = df.select(F.to_json(F.struct("*")).alias("j"), F.floor(F.monotonically_increasing_id() / 5000).alias("k"))
     docs = rows.groupBy("k").agg(F.concat(F.lit(head), F.array_join(F.collect_list("j"), ","), F.lit(tail)).alias("value"))
     docs.select("value").write.option("maxRecordsPerFile", 1).text(d)
@@ -493,7 +494,7 @@ def q_type_map_csv(spark, sf):
     part = V.table(spark, sf, "part")
     types = part.select("p_type").distinct()
     doubled = types.select("p_type", F.concat(F.lit("T "), "p_type")).union(types.select("p_type", F.concat(F.lit("A "), "p_type")))
-    d = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-landed-{uuid.uuid4().hex}"
+    d = scratch_folder(spark, "landed")
     doubled.write.csv(d)
     out = C.classify(part.select("p_partkey", F.col("p_type").alias("crimesub_type")), SRC.read_type_map_csv(spark, d), on_unmapped=C.KEEP)
     return out.kept.select("p_partkey", "crimesub_type", "crime_type")
@@ -502,7 +503,7 @@ def q_type_map_csv(spark, sf):
 # ---- tables kept over time: each query writes a catalogue of its own in the shared folder ----
 
 def _catalog(spark) -> Catalog:
-    return Catalog(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-catalog-{uuid.uuid4().hex}")
+    return Catalog(spark, scratch_folder(spark, "catalog"))
 
 
 def _keyed_socrata(spark, sf):

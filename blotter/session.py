@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -117,3 +118,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blotter-{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
