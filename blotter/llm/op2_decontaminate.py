@@ -13,13 +13,14 @@ diagonal and every word is compared. An overlap counts when its local
 alignment score (match +1, other word -1) reaches ``min(min_score, ceil(
 min_share * words of the item))``.
 
-The document side is one scan without a shuffle: positions, seeds and the join
-stay in one generated stage. What is broadcast are rows of fixed width (seed, code
+The document side is one scan: positions, seeds and the join
+stay in one generated stage, and only narrow rows (document, item, diagonal) leave it. What is broadcast are rows of fixed width (seed, code
 and length of the item, place; an estimated 100 bytes each when hashed), once for
 items of equal words, in blocks of about ``block_seeds`` rows cut by a hash of the
 row, so the broadcast has a bound in bytes however many, long or repetitive the
 items are; more blocks mean more scans. The hits are reduced to one row per
-document, item and diagonal, and only these meet the item's words.
+document, item and diagonal; only documents with a hit are read once more for
+their words, and only these diagonals meet the item's words.
 
 Defined cases: null or empty texts and items without words match nothing; repeated
 documents are each compared and reported once per doc_id; repeated items are
@@ -122,15 +123,21 @@ def overlaps(docs: DataFrame, items: DataFrame, min_score: int = 13, min_share:
     seeds, masks = item_seeds(items, min_score, min_share)
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_codes(F.col("text")).alias("doc"))
     at = source.select("doc_id", "text_hash", "doc", F.posexplode_outer("doc").alias("at", "code"))
-    at = at.select("doc_id", "text_hash", "doc", "at", F.explode(seeds_at(F.col("doc"), F.col("at"), masks)).alias("seed"))
+    at = at.select("doc_id", "text_hash", "at", F.explode(seeds_at(F.col("doc"), F.col("at"), masks)).alias("seed"))
     need = words_needed(min_score, min_share)
-    shift, laid = F.col("at") - F.col("place"), None
+    shift, found = F.col("at") - F.col("place"), None
     for block in seed_blocks(seeds, block_seeds):  # one round for any benchmark of up to ``block_seeds`` seeds
-        hits = at.join(F.broadcast(block), "seed")
-        hits = hits.select("doc_id", "text_hash", "key", shift.alias("shift"), F.slice("doc", F.greatest(shift, F.lit(0)) + 1, F.col("n")).alias("window"))
-        laid = hits if laid is None else laid.unionByName(hits)
-    # the distinct keeps one row per diagonal, and the scoring (no generated code) out of the join's stage
-    laid = laid.distinct().join(items, "key")
+        hits = at.join(F.broadcast(block), "seed").select("doc_id", "text_hash", "key", shift.alias("shift"))
+        found = hits if found is None else found.unionByName(hits)
+    # one narrow row per document, item and diagonal; a document's hits are made together, so most fall together before they move
+    diagonals = C.materialize(found.distinct(), "diagonals")
+    # only documents that hold a seed are read for their words
+    hit = C.small_side(C.materialize(diagonals.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th")).distinct(), "hit-documents"))
+    picked = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    picked = picked.join(hit, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__th")), "left_semi")
+    words = picked.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th"), word_codes(F.col("text")).alias("doc"))  # repeated rows are scored alike
+    laid = diagonals.join(items, "key").join(words, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__th")))
+    laid = laid.withColumn("window", F.slice("doc", F.greatest(F.col("shift"), F.lit(0)) + 1, F.size("item")))
     scored = laid.select("doc_id", "text_hash", "item_id", F.size("item").alias("n_item_words"), need.alias("need"),
                          alignment_score(F.col("item"), F.col("window"), F.greatest(-F.col("shift"), F.lit(0))).alias("a"))
     found = scored.groupBy("doc_id", "text_hash", "item_id", "need").agg(
