@@ -19,8 +19,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 # Control and rare white-space characters on which libraries may disagree.
 ODD_SPACE = "".join(map(chr, [0, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029,
                              0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]))
-MEMO_BYTES = 96 << 20  # of a worker's memo, an entry's own ENTRY_BYTES included; it starts anew when full
-ENTRY_BYTES, LONG_CHUNK = 150, 200  # longer chunks (characters) are not kept
+MEMO_BYTES = 224 << 20  # of a worker's memo, an entry's own ENTRY_BYTES included; it starts anew when full
+ENTRY_BYTES, LONG_CHUNK = 200, 200  # longer chunks (characters) are not kept
 
 
 def tokenizer_path(name: str) -> str:

@@ -78,7 +78,7 @@ def test_memos_are_bounded_in_bytes(monkeypatch):
     for at in range(0, len(texts), 7):
         assert counter.count_batch(texts[at:at + 7]) == want[at:at + 7]
         # one look-up of at most ROW_CHUNKS chunks (and the last of a text before it) may pass the bound
-        assert sum(len(k) + tokens.ENTRY_BYTES for m in (counter.memo, counter.pre_memo) for k in m) < 200_000 + 2 * 2 * 700 * 210
+        assert sum(len(k) + tokens.ENTRY_BYTES for m in (counter.memo, counter.pre_memo) for k in m) < 200_000 + 2 * 2 * 700 * 400
     monkeypatch.setattr(tokens, "MEMO_BYTES", 100_000)
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         path = public_tokenizers.path(name)
