@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from decimal import Decimal
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -20,11 +21,13 @@ from pyspark.sql import types as T
 
 from ..functions import contains_any, has_lat, not_both_zero, round_half_up
 from ..lookups import SCORE_YEAR, SUPPORTED_CITIES
+from ..session import ensure_checkpoint_dir
 from ..sources.commits import CommitLog
 from .joins import lookup_side, unique_lookup
 from .keys import numbered_rows, with_content_key, with_random_key
 
 FEATURES = ["lat", "long", "year", "code"]
+FIT_ROWS = 100_000       # rows of a partition of the fit: every round runs several jobs over all of them
 
 
 # ---- M1: feature table -------------------------------------------------------
@@ -132,10 +135,13 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     """Fit on rows with a label and complete features (GBT rejects null labels).
 
     With ``deterministic`` the rows get a fixed layout before the fit --
-    hash-partitioned by their values and their number among equal rows into a fixed number of partitions and
-    sorted within them (identical rows are interchangeable) -- so the seeded
+    hash-partitioned by their values and their number among equal rows and
+    sorted within the partitions (identical rows are interchangeable) -- so the seeded
     split finding and boosting see the same data order on every run, whatever
-    the upstream partitioning or row keys were.
+    the upstream partitioning or row keys were. The number of partitions follows
+    the rows (``FIT_ROWS`` each) unless ``partitions`` is given: a fit of 100 rounds
+    runs some 650 jobs of two stages, so partitions far below that size cost more
+    than the rows in them.
 
     ``weighted`` (off by default) collapses identical (features, label) rows
     into one row weighted by their number -- a map-side-combined aggregate
@@ -150,14 +156,22 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     if weighted:
         clean = clean.groupBy(*FEATURES, label).agg(F.count(F.lit(1)).cast("double").alias("__weight"))
         params["weight_col"] = "__weight"
-    if deterministic:
-        order = FEATURES + [label]
-        n = partitions or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rest = ["__weight"] if weighted else []
-        clean = numbered_rows(clean.select(*order, *rest), "__occ")  # equal rows spread by their number
-        clean = (clean.withColumn("__h", F.xxhash64(content_hash_col(order), "__occ"))
-                      .repartition(n, "__h").sortWithinPartitions("__h", *order).drop("__h", "__occ"))
-    return build_pipeline(label=label, **params).fit(clean)
+    estimator = build_pipeline(label=label, **params)
+    if not deterministic:
+        return estimator.fit(clean)
+    order = FEATURES + [label]
+    rest = ["__weight"] if weighted else []
+    ensure_checkpoint_dir(clean.sparkSession)
+    clean = clean.select(*order, *rest).checkpoint(eager=True)   # the joins before it run once
+    n = partitions or max(1, -(-clean.count() // FIT_ROWS))
+    clean = numbered_rows(clean, "__occ")  # equal rows spread by their number
+    clean = (clean.withColumn("__h", F.xxhash64(content_hash_col(order), "__occ"))
+                  .repartition(n, "__h").sortWithinPartitions("__h", *order).drop("__h", "__occ"))
+    clean.persist(StorageLevel.MEMORY_AND_DISK)   # MLlib reads its input several times before the first round
+    try:
+        return estimator.fit(clean)
+    finally:
+        clean.unpersist()
 
 
 # ---- M7 / M8 / A9: predict and evaluate ---------------------------------------

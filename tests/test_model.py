@@ -119,3 +119,19 @@ def test_weighted_fit_collapses_duplicates(spark, incidents):
     r1 = M.rmse_frame(per_row.transform(f)).first()["rmse"]
     r2 = M.rmse_frame(weighted.transform(f)).first()["rmse"]
     assert abs(r1 - r2) <= 0.2 * max(r1, r2) + 1e-9
+
+
+def test_fit_layout_follows_the_rows(spark, incidents, monkeypatch):
+    """The fit's partitions hold FIT_ROWS rows, whatever the session's shuffle partitions are."""
+    seen = []
+
+    class Estimator:
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+    monkeypatch.setattr(M, "build_pipeline", lambda **params: Estimator())
+    f = M.training_features(incidents, code_table_df(spark), key="none")
+    M.fit(f)
+    monkeypatch.setattr(M, "FIT_ROWS", 30)
+    M.fit(f)
+    M.fit(f, partitions=3)
+    assert seen == [(1, 400), (14, 400), (3, 400)]
