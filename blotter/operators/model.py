@@ -28,6 +28,7 @@ from .keys import numbered_rows, with_content_key, with_random_key
 
 FEATURES = ["lat", "long", "year", "code"]
 FIT_ROWS = 100_000       # rows of a partition of the fit: every round runs several jobs over all of them
+SCORE_ROWS = 10_000      # locations that one task scores
 
 
 # ---- M1: feature table -------------------------------------------------------
@@ -255,10 +256,13 @@ def score_locations(locations: DataFrame, model: PipelineModel, code_rows: list[
 
     Batch form of the per-request scorer: grid -> codes -> transform ->
     average. Each location contributes 2*steps*len(codes) rows, so the work
-    is linear in the number of locations and no group is unbounded.
+    is linear in the number of locations and no group is unbounded. Locations are
+    dealt out evenly before they multiply, ``SCORE_ROWS`` a task: a file of them is
+    small and would be one task, whose table of averages grows with the file.
     """
-    grid = with_codes(neighbourhood_grid(locations.select(id_col, "lat", "long"), steps=steps),
-                      code_rows, year)
+    places = locations.select(id_col, "lat", "long")
+    places = places.repartition(max(1, -(-places.count() // SCORE_ROWS)))
+    grid = with_codes(neighbourhood_grid(places, steps=steps), code_rows, year)
     scored = model.transform(grid.select(id_col, "lat", "long", "year", "code", "type"))
     return (scored.groupBy(id_col, "year", "type")
                   .agg(F.round(F.avg("prediction"), 0).cast("int").alias("predictions")))

@@ -135,3 +135,19 @@ def test_fit_layout_follows_the_rows(spark, incidents, monkeypatch):
     M.fit(f)
     M.fit(f, partitions=3)
     assert seen == [(1, 400), (14, 400), (3, 400)]
+
+
+def test_scoring_deals_the_locations_out(spark, monkeypatch):
+    """Locations of one partition are scored in tasks of SCORE_ROWS, not in one."""
+    parts = []
+
+    class Model:
+        def transform(self, df):
+            parts.append(df.rdd.getNumPartitions())
+            return df.withColumn("prediction", F.col("code") * 10 + F.col("lat"))
+    monkeypatch.setattr(M, "SCORE_ROWS", 10)
+    locs = spark.createDataFrame([(i % 40, 10.0 + i % 40, -20.0) for i in range(95)], "loc_id int, lat double, long double").coalesce(1)
+    out = M.score_locations(locs, Model(), [(1, "a"), (2, "b")], steps=3)
+    assert sorted((r.loc_id, r.type, r.predictions) for r in out.collect()) == sorted((i, t, 10 * c + 10 + i) for i in range(40) for c, t in ((1, "a"), (2, "b")))
+    assert parts == [10]
+    assert M.score_locations(locs.where("false"), Model(), [(1, "a")]).count() == 0
