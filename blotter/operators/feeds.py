@@ -23,7 +23,7 @@ from ..functions import (hour_of, month_number, month_of, safe_cast,
                          with_utm_latlon, year_of)
 from ..schemas import INCIDENT_COLUMNS, INCIDENT_FIELDS
 from .classify import DROP, KEEP, REJECT, classify
-from .keys import ID1, ID2, with_content_key, with_identity, with_identity_key, with_random_key
+from .keys import ID1, ID2, counted_rows, keyed_copies, with_content_key, with_identity, with_random_key
 from .locate import EDMONTON_SUFFIX, refresh_and_enrich
 
 CANON_TYPES = dict(INCIDENT_FIELDS)
@@ -34,8 +34,8 @@ class FeedResult:
 
     ``rows`` holds all canonical rows before the split, with ``reason``
     (null = kept). ``kept`` (keyed) and ``rejected`` are derived from it on
-    first use, so a job can persist ``rows`` first and both outputs -- and
-    the content-key checkpoint -- read the feed once.
+    first use, so a job can persist ``shared`` first and both outputs read the
+    feed once.
     """
 
     def __init__(self, rows: DataFrame, key: str = "content", gazetteer: DataFrame | None = None):
@@ -43,19 +43,34 @@ class FeedResult:
         self.key = key
         self.gazetteer = gazetteer
         self._kept: DataFrame | None = None
+        self._shared: DataFrame | None = None
+
+    @property
+    def counts(self) -> bool:
+        """Whether the outputs are numbered by counting equal rows (content keys)."""
+        return self.key == "content" and ID1 in self.rows.columns
+
+    @property
+    def shared(self) -> DataFrame:
+        """What both keyed outputs are made from: ``rows``, or for content keys their distinct ones with counts."""
+        if self._shared is None:
+            self._shared = counted_rows(self.rows.drop("uuid")) if self.counts else self.rows
+        return self._shared
 
     @property
     def kept(self) -> DataFrame:
-        if self._kept is None:
+        if self._kept is None and self.counts:
+            self._kept = keyed_copies(self.shared.filter(F.col("reason").isNull()).drop("reason"))
+        elif self._kept is None:
             self._kept = _keyed(self.rows.filter(F.col("reason").isNull()).drop("reason"), self.key)
         return self._kept
 
     @property
     def rejected_keyed(self) -> DataFrame:
         """The rejects with the keys they would have as incidents, so that they can become some later."""
+        if self.counts:
+            return keyed_copies(self.shared.filter(F.col("reason").isNotNull()))
         rows = self.rows.filter(F.col("reason").isNotNull())
-        if self.key == "content" and ID1 in rows.columns:
-            return with_identity_key(rows)
         return rows.drop(ID1, ID2).withColumn("uuid", F.coalesce(F.col("uuid"), F.expr("uuid()")))
 
     @property
@@ -76,8 +91,6 @@ def canonical(df: DataFrame, extra: list | None = None) -> DataFrame:
 
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
-    if key == "content" and ID1 in df.columns:
-        return with_identity_key(df)
     df = df.drop(ID1, ID2)
     if key == "content":
         return with_content_key(df, [c for c in INCIDENT_COLUMNS if c != "uuid"])
@@ -88,21 +101,27 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
     raise ValueError(f"unknown key mode {key!r}")
 
 
-def _finish(located: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
-            unlocated: DataFrame | None = None, broadcast: str = "planner") -> FeedResult:
-    c = classify(located, type_map, on_unmapped=DROP if on_unmapped == DROP else KEEP, broadcast=broadcast)
+def _finish(rows: DataFrame, type_map: DataFrame, on_unmapped: str, key: str,
+            placed: str | None = None, broadcast: str = "planner") -> FeedResult:
+    """``placed``: column that is false for rows without a location, which are rejects and get no type."""
+    off, sub = F.lit(False), "crimesub_type"
+    if placed is not None:  # one pass over all rows: a null sub-type meets no entry of the map
+        off, sub = ~F.col(placed), "__type_of"
+        rows = rows.withColumn(sub, F.when(F.col(placed), F.col("crimesub_type")))
+    if on_unmapped != DROP:
+        kept = classify(rows, type_map, sub, on_unmapped=KEEP, broadcast=broadcast).kept
+    else:
+        kept = classify(rows, type_map, sub, on_unmapped=DROP, broadcast=broadcast).kept
+        if placed is not None:
+            kept = kept.unionByName(rows.filter(off).withColumn("crime_type", F.lit(None).cast("string")), allowMissingColumns=True)
     if on_unmapped == REJECT:
         reason = F.when(F.col("crime_type").isNull(), F.lit("unmapped_type"))
     else:
         reason = F.lit(None).cast("string")
     lat, long = F.col("lat"), F.col("long")
     impossible = ~(lat.isNull() | lat.between(-90, 90)) | ~(long.isNull() | long.between(-180, 180)) | F.isnan("lat") | F.isnan("long")
-    reason = F.when(impossible, F.lit("bad_coordinates")).otherwise(reason)
-    ids = [F.col(ID1), F.col(ID2)]
-    rows = canonical(c.kept, extra=[reason.alias("reason"), *ids])
-    if unlocated is not None:
-        rows = rows.unionByName(canonical(unlocated, extra=[F.lit("no_location").alias("reason"), *ids]))
-    return FeedResult(rows, key)
+    reason = F.when(off, F.lit("no_location")).when(impossible, F.lit("bad_coordinates")).otherwise(reason)
+    return FeedResult(canonical(kept, extra=[reason.alias("reason"), F.col(ID1), F.col(ID2)]), key)
 
 
 # ---- C1: Vancouver (CSV, UTM metres) ---------------------------------------
@@ -187,7 +206,7 @@ def adapt_edmonton(raw: DataFrame, type_map: DataFrame, gazetteer: DataFrame, pl
         safe_cast("month", "int").alias("month"), safe_cast("count", "int").alias("count"),
         F.lit("Edmonton").alias("city"), F.lit(0).alias("hour"))
     r = refresh_and_enrich(df, gazetteer, places, "neighbourhood", suffix)
-    out = _finish(r.located, type_map, on_unmapped, key, unlocated=r.unlocated, broadcast=broadcast)
+    out = _finish(r.rows, type_map, on_unmapped, key, placed="placed", broadcast=broadcast)
     out.gazetteer = r.gazetteer
     return out
 

@@ -55,15 +55,24 @@ def _copies(counts: DataFrame, cols: list[str], out: str, start=None) -> DataFra
     return few.unionByName(many)
 
 
+def counted_rows(df: DataFrame) -> DataFrame:
+    """Rows equal in all columns once, with their number in ``__n``."""
+    return df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+
+
 def numbered_rows(df: DataFrame, out: str) -> DataFrame:
     """Rows equal in all columns, numbered 0..n-1 in ``out``: counted, then expanded."""
-    cols = [f"`{c}`" for c in df.columns]
-    return _copies(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")), cols, out)
+    return _copies(counted_rows(df), [f"`{c}`" for c in df.columns], out)
 
 
 def with_identity_key(df: DataFrame, out: str = "uuid") -> DataFrame:
     """Key rows that carry the identity hashes of :func:`with_identity`; the hashes are dropped."""
-    rows = numbered_rows(df.drop(out), "__occ")
+    return keyed_copies(counted_rows(df.drop(out)), out)
+
+
+def keyed_copies(counts: DataFrame, out: str = "uuid") -> DataFrame:
+    """:func:`with_identity_key` of rows that are counted already (:func:`counted_rows`)."""
+    rows = _copies(counts, [f"`{c}`" for c in counts.columns if c != "__n"], "__occ")
     key = F.format_string("%016x%016x-%d", F.col(ID1), F.col(ID2), F.col("__occ"))
     return rows.withColumn(out, key).drop(ID1, ID2, "__occ")
 

@@ -102,6 +102,7 @@ class Refreshed:
     unlocated: DataFrame    # rows dropped by the neither-zero rule
     gazetteer: DataFrame    # gazetteer after adding newly resolved places
     new_places: DataFrame   # the localities that were looked up
+    rows: DataFrame         # located and unlocated rows in one pass, told apart by ``placed``
 
 
 def refresh_and_enrich(df: DataFrame, gazetteer: DataFrame, places: DataFrame,
@@ -132,7 +133,8 @@ def refresh_and_enrich(df: DataFrame, gazetteer: DataFrame, places: DataFrame,
                   .withColumn("lat", F.when(unknown, F.lit(0.0)).otherwise(F.col("__lat")))
                   .withColumn("long", F.when(unknown, F.lit(0.0)).otherwise(F.col("__long")))
                   .drop("locality", "__lat", "__long", "__known"))
-    located = all_rows.filter(neither_zero("lat", "long"))
-    unlocated = all_rows.filter(~F.coalesce(neither_zero("lat", "long"), F.lit(False)))
+    all_rows = all_rows.withColumn("placed", F.coalesce(neither_zero("lat", "long"), F.lit(False)))
+    located = all_rows.filter("placed").drop("placed")
+    unlocated = all_rows.filter("not placed").drop("placed")
     g2, resolved = refresh_gazetteer(df, gazetteer, places, neighbourhood_col, suffix, retry_not_found)
-    return Refreshed(located, unlocated, g2, resolved)
+    return Refreshed(located, unlocated, g2, resolved, all_rows)

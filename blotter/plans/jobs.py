@@ -46,7 +46,7 @@ def load_feed(catalog: Catalog, result: FeedResult, load_id: str,
     ``mode``: ``merge`` (insert or replace by key) or ``replace`` (the feed is
     a whole snapshot: its cities are replaced, corrected and withdrawn records
     included)."""
-    rows = result.rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = result.shared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if mode == "replace":
             out = {"incidents": catalog.replace_partitions(table, result.kept, signed=S.signed_cube)}

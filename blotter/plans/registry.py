@@ -596,7 +596,9 @@ def _replayed_places(spark, sf) -> Catalog:
     """The Edmonton feed loaded with an earlier gazetteer (places missing, not found, elsewhere), then replayed."""
     cat, places, raw = _catalog(spark), V.part_places(spark, sf), V.raw_edmonton(spark, sf)
     found = V.part_places(spark, sf, resolver=True)
-    now = FD.adapt_edmonton(raw, _tm_parts(spark), places, found, key="none", broadcast="fixed").gazetteer
+    # stored, as the job stores it: derived from the feed once, not by every reader
+    cat.write("gazetteer", FD.adapt_edmonton(raw, _tm_parts(spark), places, found, key="none", broadcast="fixed").gazetteer)
+    now = cat.read("gazetteer")
     n = F.pmod(F.xxhash64("locality"), F.lit(4))
     before = now.where(n != 0).withColumn("lat", F.when(n == 1, 0.0).when(n == 2, F.col("lat") + 1).otherwise(F.col("lat")))
     nowhere = found.where("false")

@@ -23,7 +23,7 @@ from ..operators import summaries as S
 from ..operators.joins import unique_lookup
 from ..operators.locate import EDMONTON_SUFFIX
 from ..schemas import INCIDENT_COLUMNS
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder
 from ..sources.catalog import Catalog
 
 OWN_TYPES = ("Toronto",)          # cities whose feed brings its own types
@@ -46,7 +46,9 @@ def changed_places(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def rederived(rows: DataFrame, types: DataFrame, places: DataFrame, type_map: DataFrame) -> DataFrame:
-    """The rows that the changes concern, with their new type, place and ``reason`` (null: kept) and the old one in ``was``."""
+    """The rows that the changes concern, with their new type, place and ``reason`` (null: kept) and the old one in ``was``.
+
+    All three lookups have one row per key."""
     suffix = F.lit(None).cast("string")
     for city, text in PLACED.items():
         suffix = F.when(F.col("city") == city, F.lit(text)).otherwise(suffix)
@@ -57,7 +59,7 @@ def rederived(rows: DataFrame, types: DataFrame, places: DataFrame, type_map: Da
     p = places.select(F.col("locality").alias("__loc"), F.col("lat").alias("__lat"), F.col("long").alias("__long"), F.lit(True).alias("__p"))
     few = rows.join(t, "__sub", "left").join(p, "__loc", "left").where("__t or __p")
     # a record that gets a place may never have been classified: the few look their type up in the whole map
-    m = unique_lookup(type_map.select(F.col("sub_type").alias("__sub"), F.col("type").alias("__type")), "__sub")
+    m = type_map.select(F.col("sub_type").alias("__sub"), F.col("type").alias("__type"))
     few = few.join(m, "__sub", "left")
     few = few.withColumn("lat", F.when(F.col("__p"), F.col("__lat")).otherwise(F.col("lat")))
     few = few.withColumn("long", F.when(F.col("__p"), F.col("__long")).otherwise(F.col("long")))
@@ -70,6 +72,13 @@ def rederived(rows: DataFrame, types: DataFrame, places: DataFrame, type_map: Da
     return few.withColumn("crime_type", F.when(off, F.lit(None).cast("string")).otherwise(F.col("crime_type"))).select(*INCIDENT_COLUMNS, "reason", "was")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared scratch folder, whose size the planner can read from its files."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def replay(catalog: Catalog, types: tuple[DataFrame, DataFrame] | None = None, places: tuple[DataFrame, DataFrame] | None = None,
            type_map: DataFrame | None = None, table: str = "incidents", reject_table: str = "incident_rejects") -> dict[str, int | None]:
     """Apply the change from the first to the second of ``types`` (maps) and ``places`` (gazetteers).
@@ -78,7 +87,6 @@ def replay(catalog: Catalog, types: tuple[DataFrame, DataFrame] | None = None, p
     the stored one). Returns the commits made.
     """
     spark = catalog.spark
-    ensure_checkpoint_dir(spark)
     t = changed_types(*types) if types else spark.createDataFrame([], "sub_type string, type string")
     p = changed_places(*places) if places else spark.createDataFrame([], "locality string, lat double, long double")
     if type_map is None:
@@ -86,14 +94,19 @@ def replay(catalog: Catalog, types: tuple[DataFrame, DataFrame] | None = None, p
     rows = catalog.read(table).withColumn("reason", F.lit(None).cast("string"))
     if catalog.exists(reject_table):
         rows = rows.unionByName(catalog.read(reject_table).select(*rows.columns))
-    few = rederived(rows, t, p, type_map).checkpoint(eager=True)   # the tables it is read from change below
+    # lookups of known size: the planner need not move all stored rows to find out that a few localities changed
+    t, p = written(t, "changed-types"), written(p, "changed-places")
+    type_map = written(unique_lookup(type_map.select("sub_type", "type"), "sub_type"), "type-map")
+    few = written(rederived(rows, t, p, type_map), "rederived")   # the tables it is read from change below
+    # a key is there twice only where an earlier replay died between its commits (by hash: a clash costs time, not rows)
+    once = few.groupBy(F.xxhash64("uuid").alias("h")).count().where("count > 1").isEmpty()
     out: dict[str, int | None] = {"incidents": None, "rejects": None}
     kept = few.where("reason is null")
     lost = few.where("was is null and reason is not null")
-    out["incidents"] = catalog.layered(table).merge(kept.select(*INCIDENT_COLUMNS), ["uuid"], signed=S.signed_cube, gone=lost)["version"]
+    out["incidents"] = catalog.layered(table).merge(kept.select(*INCIDENT_COLUMNS), ["uuid"], unique=once, signed=S.signed_cube, gone=lost)["version"]
     if catalog.exists(reject_table) or not lost.isEmpty():
         # a reject that stays one under another reason moves to that reason's partition
         moved = few.where("was is not null and not (was <=> reason)").select(F.col("was").alias("reason"), "uuid")
         rejects = catalog.layered(reject_table)
-        out["rejects"] = rejects.merge(few.where("reason is not null").select(*INCIDENT_COLUMNS, "reason"), ["uuid"], gone=moved)["version"]
+        out["rejects"] = rejects.merge(few.where("reason is not null").select(*INCIDENT_COLUMNS, "reason"), ["uuid"], unique=once, gone=moved)["version"]
     return out

@@ -125,9 +125,10 @@ class LayeredTable:
         names = next((x["keys"] for loads in keyed.values() for x in loads), None)
         if names is None:
             return rows.drop("__seq")
-        same = [*self.parts, *[k for k in names if k not in self.parts]]
-        later = (self._scan(m, {leaf: loads for leaf, loads in keyed.items() if loads}).select(*same, number.alias("__seq"))
-                 .groupBy(*same).agg(F.max("__seq").alias("__later")).select(*[F.col(c).alias(f"__{c}") for c in same], "__later"))
+        # keys before partitions: the join sorts by them, and the first alone tells nearly all rows apart
+        same = [*names, *[c for c in self.parts if c not in names]]
+        later = (self._scan(m, {leaf: loads for leaf, loads in keyed.items() if loads})
+                 .select(*[F.col(c).alias(f"__{c}") for c in same], number.alias("__later")))
         on = F.col("__later") > F.col("__seq")
         for c in same:  # a null key equals nothing, a null partition itself
             on &= F.col(c).eqNullSafe(F.col(f"__{c}")) if c in self.parts else F.col(c) == F.col(f"__{c}")
@@ -185,7 +186,7 @@ class LayeredTable:
         rows (partition columns and keys) that the same commit takes away.
         """
         rows, schema = self._columns(new)
-        same = [*self.parts, *[k for k in keys if k not in self.parts]]
+        same = [*keys, *[c for c in self.parts if c not in keys]]
         landed = [self._land(rows if unique else latest_per_key(rows, same).select(*schema.names), list(keys))]
         if gone is not None:
             landed.append(self._land(gone.select(*[F.col(c).cast(schema[c].dataType) for c in same]).distinct(), list(keys), dead=True))

@@ -80,3 +80,17 @@ def test_only_changed_keys_are_named(spark):
     h = g.where("locality = 'x'").unionByName(spark.createDataFrame([("z", 3.0, 4.0)], GAZETTEER_SCHEMA))
     assert sorted(map(tuple, changed_places(g, h).collect())) == [("y", 0.0, 0.0), ("z", 3.0, 4.0)]
     assert changed_places(g, g.withColumn("lat", F.col("lat"))).count() == 0
+
+
+def test_edmonton_feed_is_read_and_counted_once(spark):
+    """Located and unlocated rows come from one pass, and both outputs of a load from one count of equal rows."""
+    loc = ", Edmonton, Canada"
+    raw = _edmonton(spark)
+    gazetteer = spark.createDataFrame([("A" + loc, 53.1, -113.1), ("B" + loc, 0.0, 0.0)], GAZETTEER_SCHEMA)
+    out = adapt_edmonton(raw.unionAll(raw).unionAll(raw).localCheckpoint(), _types(spark, Theft="T"), gazetteer, spark.createDataFrame([], GAZETTEER_SCHEMA))
+    assert "Union" not in out.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["reason"] or "", r["crimesub_type"], r["__n"]) for r in out.shared.collect() if r["neighbourhood"] in ("A", "B")) == [
+        ("", "Theft", 3), ("no_location", "Noise", 3), ("no_location", "Theft", 3), ("unmapped_type", "Noise", 3)]
+    assert all(r["crime_type"] is None for r in out.shared.where("reason = 'no_location'").collect())
+    assert out.kept.count() == 3 and out.kept.select("uuid").distinct().count() == 3
+    assert out.rejected_keyed.count() == 27 and out.rejected_keyed.select("uuid").distinct().count() == 27
