@@ -27,7 +27,7 @@ from .joins import lookup_side, unique_lookup
 from .keys import numbered_rows, with_content_key, with_random_key
 
 FEATURES = ["lat", "long", "year", "code"]
-FIT_ROWS = 100_000       # rows of a partition of the fit: every round runs several jobs over all of them
+FIT_ROWS, FIT_PARTS = 100_000, 8   # rows of a partition of the fit, and its least partitions: every round runs several jobs over them
 SCORE_ROWS = 10_000      # locations that one task scores
 
 
@@ -139,10 +139,10 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     hash-partitioned by their values and their number among equal rows and
     sorted within the partitions (identical rows are interchangeable) -- so the seeded
     split finding and boosting see the same data order on every run, whatever
-    the upstream partitioning or row keys were. The number of partitions follows
-    the rows (``FIT_ROWS`` each) unless ``partitions`` is given: a fit of 100 rounds
-    runs some 650 jobs of two stages, so partitions far below that size cost more
-    than the rows in them.
+    the upstream partitioning or row keys were. Unless ``partitions`` is given, there are
+    as many partitions as the session shuffles into, but no more than the rows fill
+    with ``FIT_ROWS`` each (``FIT_PARTS`` at least): a fit of 100 rounds runs some 500
+    jobs of two stages, in which near-empty partitions cost more than the rows.
 
     ``weighted`` (off by default) collapses identical (features, label) rows
     into one row weighted by their number -- a map-side-combined aggregate
@@ -164,7 +164,8 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     rest = ["__weight"] if weighted else []
     ensure_checkpoint_dir(clean.sparkSession)
     clean = clean.select(*order, *rest).checkpoint(eager=True)   # the joins before it run once
-    n = partitions or max(1, -(-clean.count() // FIT_ROWS))
+    most = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or min(most, max(FIT_PARTS, -(-clean.count() // FIT_ROWS)))
     clean = numbered_rows(clean, "__occ")  # equal rows spread by their number
     clean = (clean.withColumn("__h", F.xxhash64(content_hash_col(order), "__occ"))
                   .repartition(n, "__h").sortWithinPartitions("__h", *order).drop("__h", "__occ"))

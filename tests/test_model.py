@@ -122,7 +122,7 @@ def test_weighted_fit_collapses_duplicates(spark, incidents):
 
 
 def test_fit_layout_follows_the_rows(spark, incidents, monkeypatch):
-    """The fit's partitions hold FIT_ROWS rows, whatever the session's shuffle partitions are."""
+    """The fit has as many partitions as its rows fill, at most those of the session."""
     seen = []
 
     class Estimator:
@@ -130,11 +130,18 @@ def test_fit_layout_follows_the_rows(spark, incidents, monkeypatch):
             seen.append((df.rdd.getNumPartitions(), df.count()))
     monkeypatch.setattr(M, "build_pipeline", lambda **params: Estimator())
     f = M.training_features(incidents, code_table_df(spark), key="none")
-    M.fit(f)
-    monkeypatch.setattr(M, "FIT_ROWS", 30)
-    M.fit(f)
-    M.fit(f, partitions=3)
-    assert seen == [(1, 400), (14, 400), (3, 400)]
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        M.fit(f)
+        monkeypatch.setattr(M, "FIT_ROWS", 30)
+        M.fit(f)
+        M.fit(f, partitions=3)
+        spark.conf.set("spark.sql.shuffle.partitions", "5")
+        M.fit(f)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert seen == [(8, 400), (14, 400), (3, 400), (5, 400)]
 
 
 def test_scoring_deals_the_locations_out(spark, monkeypatch):
