@@ -88,6 +88,32 @@ def test_memos_are_bounded_in_bytes(monkeypatch):
             assert sum(len(k) + len(v) for k, v in enc.memo.items()) < 100_000 + 1000 and all(len(k) <= tokens.LONG_CHUNK for k in enc.memo)
 
 
+def test_a_full_memo_keeps_what_it_met_first(monkeypatch):
+    """Rare words don't drive out the frequent ones, and ids stay the library's."""
+    from blotter.llm import tokens
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 20_000)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    enc, lib = tokens.ChunkEncoder(path), Tokenizer.from_file(path)
+    common_text = "the usual words, of ünsere texts"
+    for t in [common_text, *(passage(i, 40) for i in range(20))]:
+        assert np.frombuffer(enc.encode(t), np.uint32).tolist() == lib.encode(t, add_special_tokens=False).ids
+        assert {"the", " usual", " words,", " texts"} <= enc.memo.keys()
+
+
+def test_chunks_tell_what_must_be_encoded_whole():
+    """White space and special strings anywhere in a text, next to words already known, give the library's ids."""
+    from blotter.llm import tokens
+    rng = np.random.default_rng(6)
+    parts = ["ab", "Ünß", "ªº", "naïve.", "don't", "x1", "<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "\n\n", "\t", "\r", "\x0b", "\x0c", "\0", "\x1c",
+             "\x85", "\u00a0", "\u2003", "\u200b", "\u3000", "\ufeff", "…", "é", "e\u0301", "日本", "😀", ".", "\xad", "\x7f"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        enc, lib = tokens.ChunkEncoder(path), Tokenizer.from_file(path)
+        for _ in range(6000):
+            t = "".join(p + " " * int(rng.random() < .6) for p in rng.choice(parts, int(rng.integers(1, 7))))
+            assert np.frombuffer(enc.encode(t), np.uint32).tolist() == lib.encode(t, add_special_tokens=False).ids, (name, t)
+
+
 def test_merges_one_by_one():
     """Simultaneous merging equals merging the leftmost lowest-rank pair again and again."""
     pairs = [(0, 0), (0, 1), (2, 1), (2, 2), (3, 0)]
