@@ -28,7 +28,15 @@ many distinct pages a string stands; strings on ``min_pages`` or more are
 boilerplate. Covered tokens are removed from pages without a marked article; the
 unique runs stay and are their text. Covered blocks with a doubtful name are
 removed from articles. Pages with a marked article still count as
-witnesses of what repeats on their host. Pages with equal streams count as one page, so
+witnesses of what repeats on their host.
+
+The plain blocks of marked articles meet the arrays too, where they can be covered
+as a whole: blocks that begin and end with the same ``min_tokens`` tokens as blocks of
+``min_pages`` pages of the host. A block so covered is part of the host's template,
+and goes, if it stands on half of the host's distinct pages, the host has
+``TEMPLATE_PAGES`` of them, and what would go is at most half of the article (else
+the pages are near copies). Fewer repeats are quotations, licences or copied
+passages: text that the article holds. Pages with equal streams count as one page, so
 copies of a page do not erase each other.
 
 A host's pages are dealt to suffix arrays of bounded size; strings of hosts with
@@ -56,6 +64,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 MIN_TOKENS, MIN_PAGES = 8, 3
+TEMPLATE_PAGES = 20     # distinct pages of a host from which its articles show a template
 ARRAY_PAGES, ARRAY_CHARS = 1000, 8_000_000   # mean numbers of pages, and of characters, of one suffix array
 
 # Element names of the HTML standard and common names of page parts.
@@ -300,10 +309,10 @@ class HostArray:
         flat = [w for s in streams for w in s]
         data, offs = C.text_buffers(pa.array(flat, pa.string()))
         self.codes = C.PrefixHash(data).ranges(offs[:-1], offs[1:]) if flat else np.zeros(0, np.uint64)
-        # pages with the same stream stand as one
+        # pages with the same stream, or the same content where the stream is a part of it, stand as one
         bounds = np.concatenate([[0], np.cumsum(self.sizes)])
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(C.mix64(self.codes * np.uint64(31) + (np.arange(len(flat)) - bounds[self.page]).astype(np.uint64)))])
-        self.content = (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
+        self.content = pdf["content"].to_numpy(np.int64) if "content" in pdf else (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
         self.rank = suffix_ranks(self.codes, self.page, depth)
         order = np.argsort(self.rank, kind="stable")
         self.order = order[self.rank[order] >= 0]
@@ -344,10 +353,18 @@ def common_codes(strings: DataFrame, min_pages: int) -> DataFrame:
 
 
 def clean_streams(parsed: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
-    """(page, cover) with cover = one 0/1 character per token of the page's stream."""
+    """(page, cover) of all blocks but the plain ones of marked articles."""
     streams = parsed.select("page", "host", F.filter("texts", lambda t, i: F.get("kinds", i) != 1).alias("texts")).where(F.size("texts") > 0)
     # hosts all of whose pages are decided by their marked articles need no array
     streams = streams.join(parsed.where(undecided()).select("host").distinct(), "host", "left_semi")
+    return covers_of(streams, min_tokens, min_pages)
+
+
+def covers_of(streams: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
+    """(page, cover) of (page, host, texts) with cover = one 0/1 character per token of the page's stream.
+
+    A further column ``content`` tells which pages are distinct where the texts are only a part of them.
+    """
     arrays = F.greatest(F.ceil(F.col("pages") / ARRAY_PAGES), F.ceil(F.col("chars") / ARRAY_CHARS), F.lit(1))
     chars = F.aggregate("texts", F.lit(0).cast("long"), lambda a, t: a + F.char_length(t))
     streams = streams.withColumn("host_hash", F.xxhash64("host"))  # the table of hosts is of fixed width, as it may be broadcast
@@ -381,11 +398,59 @@ def clean_streams(parsed: DataFrame, min_tokens: int, min_pages: int) -> DataFra
     return dealt.groupBy("host", "part").cogroup(spread.groupBy("host", "part")).applyInPandas(cover, "page long, cover string")
 
 
+def repeated_ends(parsed: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
+    """(page, blocks) with the (pos, wide) of the article's blocks that begin and end as on ``min_pages`` pages of the host do.
+
+    ``wide`` says whether half of the host's distinct pages have such a block.
+    """
+    def key(text: Column, i: Column) -> Column:
+        enough = (F.get("kinds", i) == 1) & (F.substring_index(text, " ", min_tokens - 1) != text)
+        return F.when(enough, F.xxhash64("host", F.substring_index(text, " ", min_tokens), F.substring_index(text, " ", -min_tokens)))
+
+    named = parsed.select("page", F.xxhash64("host").alias("host_hash"), F.xxhash64("texts").alias("content"), F.transform("texts", key).alias("keys"))
+    ends = named.select("page", "host_hash", "content", F.posexplode("keys").alias("pos", "key")).where("key is not null")
+    hosts = named.groupBy("host_hash").agg(F.countDistinct("content").alias("pages"))
+    counts = ends.select("host_hash", "key", "content").distinct().groupBy("host_hash", "key").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    wide = (F.col("pages") >= TEMPLATE_PAGES) & (2 * F.col("n") >= F.col("pages"))
+    found = C.materialize(counts.join(hosts, "host_hash").select("host_hash", "key", wide.alias("wide")), "ends")
+    return ends.join(C.small_side(found), ["host_hash", "key"]).groupBy("page").agg(F.sort_array(F.collect_list(F.struct("pos", "wide"))).alias("blocks"))
+
+
+def without_templates(parsed: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
+    """``parsed`` where the article's blocks that belong to the host's template have kind -1."""
+    ends = C.materialize(repeated_ends(parsed, min_tokens, min_pages), "candidates")
+    size = F.aggregate(F.filter("texts", lambda t, i: F.get("kinds", i) == 1), F.lit(0).cast("long"), lambda a, t: a + F.char_length(t))
+    streams = parsed.join(ends, "page").select(
+        "page", "host", F.transform("blocks", lambda b: F.get("texts", b["pos"])).alias("texts"), "blocks", size.alias("size"),
+        F.xxhash64("texts").alias("content"))
+    streams = C.materialize(streams, "repeats")
+
+    @F.pandas_udf("array<int>")
+    def template(blocks: pd.Series, texts: pd.Series, size: pd.Series, cover: pd.Series) -> pd.Series:
+        def one(bs, ts, n, mark):
+            at, gone, chars = 0, [], 0
+            for b, t in zip(bs, ts):
+                words = len(t.split())
+                if b["wide"] and "0" not in mark[at:at + words]:
+                    gone.append(b["pos"])
+                    chars += len(t)
+                at += words
+            return gone if 2 * chars <= n else []
+        return pd.Series([one(*row) for row in zip(blocks, texts, size, cover)], dtype=object)
+
+    covers = covers_of(streams.select("page", "host", "texts", "content"), min_tokens, min_pages)
+    gone = streams.join(covers, "page").select("page", template("blocks", "texts", "size", "cover").alias("gone")).where(F.size("gone") > 0)
+    gone = C.materialize(gone, "templates")
+    kind = F.transform("kinds", lambda k, i: F.when(F.array_contains("gone", i), F.lit(-1)).otherwise(k))
+    return parsed.join(C.small_side(gone), "page", "left").withColumn("kinds", F.when(F.col("gone").isNull(), F.col("kinds")).otherwise(kind)).drop("gone")
+
+
 def extract(pages: DataFrame, min_tokens: int = MIN_TOKENS, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every page; see the module docstring."""
     spark = pages.sparkSession
     C.bound_batches(spark)
     parsed = C.materialize(parse(pages).withColumn("page", F.monotonically_increasing_id()), "blocks")
+    parsed = without_templates(parsed, min_tokens, min_pages)
     covers = clean_streams(parsed, min_tokens, min_pages)
 
     @F.pandas_udf("string")
@@ -408,7 +473,7 @@ def extract(pages: DataFrame, min_tokens: int = MIN_TOKENS, min_pages: int = MIN
             return "\n\n".join(out)
         return pd.Series([one(k, t, c) for k, t, c in zip(kinds, texts, cover)], dtype=object)
 
-    # a marked article is the text as it stands: only pages with undecided blocks meet their covers
+    # what is left of a marked article is the text as it stands: only pages with undecided blocks meet their covers
     plain = F.array_join(F.filter("texts", lambda t, i: F.get("kinds", i) == 1), "\n\n")
     decided = parsed.where(~undecided()).select("page_id", "url", plain.alias("text"))
     judged = parsed.where(undecided()).join(covers, "page", "left").select("page_id", "url", unique_runs("kinds", "texts", "cover").alias("text"))

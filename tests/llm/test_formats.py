@@ -152,6 +152,32 @@ def test_html_repeats_decide_doubtful_names(spark):
     assert got == {i: [line, f"u{i}", f"w{i} {line}"] for i in range(3)} | {9: [line, "u0", line, f"w0 {line}"]}
 
 
+@pytest.mark.parametrize("array_pages", [1000, 7])
+def test_html_repeats_decide_in_marked_articles(spark, monkeypatch, array_pages):
+    """The host's template goes from its articles under any name; what few pages share, near copies, and small hosts stay whole."""
+    monkeypatch.setattr(op9_html, "ARRAY_PAGES", array_pages)
+    line, quote = "all of our articles end with these ten plain words", "a passage of nine words that some pages cite"
+    cut = "all of our articles by {} end with these ten plain words"
+    rows, want = [], {}
+
+    def page(i, host, blocks, stays):
+        rows.append((i, f"http://{host}/{i}", "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"))
+        want[i] = "\n\n".join(b for b in blocks if b in stays)
+
+    for i in range(24):
+        own = " ".join(f"{w}{i}" for w in "abcdefghijklmnopqrstuv")
+        page(i, "h.org", [own, *[quote] * (i % 3 == 0), line], [own, quote])
+        page(100 + i, "near.org", [f"w{i}", line, quote], [f"w{i}", line, quote])
+        page(200 + i, "middle.org", [own, cut.format(f"x{i}")], [own, cut.format(f"x{i}")])
+    for i in range(300, 305):
+        own = " ".join(f"{w}{i}" for w in "abcdefghijklmnopqrstuv")
+        page(i, "small.org", [own, line], [own, line])
+    rows += rows[:2]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = op9_html.extract(df).collect()
+    assert len(got) == len(rows) and {r.page_id: r.text for r in got} == want
+
+
 @pytest.mark.parametrize("array_pages", [1000, 2])
 def test_html_host_repeats(spark, monkeypatch, array_pages):
     """Unmarked pages lose what stands on three pages of the host, whichever arrays the pages are dealt to."""
