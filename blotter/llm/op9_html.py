@@ -4,7 +4,8 @@ Each page is parsed once into blocks. Markup decides what it can: scripts,
 styles, forms, navigation, asides, footers, page headers and elements with a role
 or a whole class name of notices, adverts, sidebars, menus or reader comments are
 out; where a page marks its article (``article``, ``main``), the article's blocks
-are the text, in whole, even if other pages carry the same words.
+are the text, in whole, even if other pages carry the same words (but for blocks of
+the host's template, see below).
 
 A page's article is what ``article`` or ``main`` marks, unless that is less text
 than what stands beside it and there are several such elements, or the headline
