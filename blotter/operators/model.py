@@ -1,6 +1,7 @@
 """Features, split, GBT pipeline, evaluation and location scoring.
 
-Training is MLlib's distributed GBT; the driver only steers iterations.
+Training is MLlib's distributed GBT, on counted cells of the rows (:mod:`.cells`);
+the driver only steers iterations.
 Long iteration lineage is cut with checkpoints in the session's shared
 ``spark.checkpoint.dir`` (``checkpointInterval``).
 """
@@ -23,11 +24,12 @@ from ..functions import contains_any, has_lat, not_both_zero, round_half_up
 from ..lookups import SCORE_YEAR, SUPPORTED_CITIES
 from ..session import ensure_checkpoint_dir
 from ..sources.commits import CommitLog
+from .cells import SAME_ROWS, CellPipeline, predicted
 from .joins import lookup_side, unique_lookup
 from .keys import numbered_rows, with_content_key, with_random_key
 
 FEATURES = ["lat", "long", "year", "code"]
-FIT_ROWS, FIT_PARTS = 100_000, 8   # rows of a partition of the fit, and its least partitions: every round runs several jobs over them
+FIT_ROWS, FIT_PARTS = 100_000, 8   # rows of a partition of the fit, and its least partitions
 SCORE_ROWS = 10_000      # locations that one task scores
 
 
@@ -121,14 +123,14 @@ def content_split(df: DataFrame, train_pct: int = 60, label: str = "count"):
 def build_pipeline(max_depth: int = 5, max_iter: int = 100, seed: int = 50, step_size: float = 0.1,
                    label: str = "count", checkpoint_interval: int = 10,
                    weight_col: str | None = None) -> Pipeline:
-    identity = SQLTransformer(statement="select * from __THIS__")
+    identity = SQLTransformer(statement=SAME_ROWS)
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="input_features", handleInvalid="skip")
     gbt = GBTRegressor(featuresCol="input_features", labelCol=label, maxDepth=max_depth,
                        maxIter=max_iter, seed=seed, stepSize=step_size,
                        checkpointInterval=checkpoint_interval)
     if weight_col:
         gbt.setWeightCol(weight_col)
-    return Pipeline(stages=[identity, assemble, gbt])
+    return CellPipeline(stages=[identity, assemble, gbt])
 
 
 def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
@@ -141,8 +143,8 @@ def fit(train: DataFrame, label: str = "count", deterministic: bool = True,
     split finding and boosting see the same data order on every run, whatever
     the upstream partitioning or row keys were. Unless ``partitions`` is given, there are
     as many partitions as the session shuffles into, but no more than the rows fill
-    with ``FIT_ROWS`` each (``FIT_PARTS`` at least): a fit of 100 rounds runs some 500
-    jobs of two stages, in which near-empty partitions cost more than the rows.
+    with ``FIT_ROWS`` each (``FIT_PARTS`` at least). The cut points of the bins come from
+    these rows; the rounds, some 500 jobs of two stages, run over their cells.
 
     ``weighted`` (off by default) collapses identical (features, label) rows
     into one row weighted by their number -- a map-side-combined aggregate
@@ -256,7 +258,7 @@ def score_locations(locations: DataFrame, model: PipelineModel, code_rows: list[
     """M9: mean prediction per (location, year, type), rounded to an int.
 
     Batch form of the per-request scorer: grid -> codes -> transform ->
-    average. Each location contributes 2*steps*len(codes) rows, so the work
+    average (:func:`cells.predicted`). Each location contributes 2*steps*len(codes) rows, so the work
     is linear in the number of locations and no group is unbounded. Locations are
     dealt out evenly before they multiply, ``SCORE_ROWS`` a task: a file of them is
     small and would be one task, whose table of averages grows with the file.
@@ -264,6 +266,6 @@ def score_locations(locations: DataFrame, model: PipelineModel, code_rows: list[
     places = locations.select(id_col, "lat", "long")
     places = places.repartition(max(1, -(-places.count() // SCORE_ROWS)))
     grid = with_codes(neighbourhood_grid(places, steps=steps), code_rows, year)
-    scored = model.transform(grid.select(id_col, "lat", "long", "year", "code", "type"))
+    scored = predicted(model, grid.select(id_col, "lat", "long", "year", "code", "type"))
     return (scored.groupBy(id_col, "year", "type")
                   .agg(F.round(F.avg("prediction"), 0).cast("int").alias("predictions")))

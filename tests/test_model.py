@@ -158,3 +158,76 @@ def test_scoring_deals_the_locations_out(spark, monkeypatch):
     assert sorted((r.loc_id, r.type, r.predictions) for r in out.collect()) == sorted((i, t, 10 * c + 10 + i) for i in range(40) for c, t in ((1, "a"), (2, "b")))
     assert parts == [10]
     assert M.score_locations(locs.where("false"), Model(), [(1, "a")]).count() == 0
+
+
+def many_incidents(spark, n, label="cast(1 + pmod(hash(id, 2), 9) + id % 5 as int)"):
+    """``n`` rows of features, many of which share their bins."""
+    return spark.range(n).selectExpr("49 + pmod(hash(id), 4001) * 0.0003 as lat", "-123 - pmod(hash(id, 1), 3001) * 0.0007 as long",
+                                     "cast(2014 + id % 6 as int) as year", "cast(id % 5 as int) as code", f"{label} as count")
+
+
+def plain_pipeline(**params):
+    """MLlib's own pipeline of the same stages, fitted on the rows."""
+    from pyspark.ml import Pipeline
+    return Pipeline(stages=BUILD(**params).getStages())
+
+
+BUILD = M.build_pipeline
+
+
+def test_rounds_run_over_cells(spark, monkeypatch):
+    """MLlib's rounds are given the cells of features and labels, however many rows there are; of many labels two a cell."""
+    from pyspark.ml.regression import GBTRegressor
+
+    from blotter.operators import cells as C
+    given, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df, *a: given.append(df.count()) or fit(self, df, *a))
+    f = many_incidents(spark, 60_000).withColumns({"lat": F.round("lat", 1), "long": F.round("long", 1), "year": F.lit(2014)})
+    M.fit(f, max_iter=2)
+    assert 0 < given[0] <= f.select(*M.FEATURES, "count").distinct().count() < 25_000
+    monkeypatch.setattr(C, "MOST_CELLS", 100)
+    M.fit(f, max_iter=2)
+    assert 0 < given[1] <= 2 * f.select(*M.FEATURES).distinct().count() < 5_000 and given[1] < given[0]
+
+
+@pytest.mark.parametrize("label", ["cast(1 + pmod(hash(id, 2), 9) + id % 5 as int)", "pmod(hash(id, 2), 1000) / 7.0"])
+def test_cells_give_the_trees_of_the_rows(spark, monkeypatch, label):
+    from blotter.operators import cells as C
+    f = many_incidents(spark, 30_000, label)                 # more than MLlib samples for its cut points
+    for weighted, most in ((False, C.MOST_CELLS), (True, 100)):
+        monkeypatch.setattr(C, "MOST_CELLS", most)
+        monkeypatch.setattr(M, "build_pipeline", BUILD)
+        of_cells = M.fit(f, max_iter=5, weighted=weighted)
+        monkeypatch.setattr(M, "build_pipeline", plain_pipeline)
+        of_rows = M.fit(f, max_iter=5, weighted=weighted)
+        assert [type(s) for s in of_cells.stages] == [type(s) for s in of_rows.stages]
+        a, b = (m.transform(f).orderBy(*M.FEATURES, "count").select(*M.FEATURES, "count", "prediction").collect() for m in (of_cells, of_rows))
+        assert len(a) == 30_000 and [r[:5] for r in a] == [r[:5] for r in b]
+        assert max(abs(x["prediction"] - y["prediction"]) for x, y in zip(a, b)) < 1e-9
+        trees = [[x for x in m.stages[-1].toDebugString.splitlines() if "If" in x or "Else" in x] for m in (of_cells, of_rows)]
+        assert trees[0] == trees[1] and len(trees[0]) > 100
+
+
+def test_scoring_looks_cells_up(spark, monkeypatch, tmp_path):
+    """Each row is told what the model tells it: values on a cut, between, outside, null, NaN."""
+    from blotter.operators import cells as C
+    model = M.fit(many_incidents(spark, 3_000), max_iter=5)
+    cuts = C.thresholds(model.stages[-1], 4)
+    edge = [(t, u, 2014 + i % 8, i % 7) for i, (t, u) in enumerate(zip(cuts[0] * 2, cuts[1] * 2))]
+    odd = [(0.0, -0.0, 2016, 1), (-90.0, 180.0, 1900, -3), (float("inf"), float("-inf"), 3000, 99), (None, -123.0, 2015, 1),
+           (float("nan"), -123.0, 2015, 1), (49.1, None, 2015, 1), (49.1, -123.1, None, 1), (49.1, -123.1, 2015, None)]
+    rows = spark.createDataFrame(edge + odd, "lat double, long double, year int, code int").withColumn("id", F.monotonically_increasing_id())
+    rows = rows.unionByName(many_incidents(spark, 500).drop("count").withColumn("id", F.lit(-1).cast("long")))
+    M.save_model(model, str(tmp_path / "m"))
+
+    def told(df):
+        return sorted(map(tuple, df.select("id", "lat", "long", "year", "code", "prediction").collect()))
+    want, asked = told(model.transform(rows)), []
+    assert len(want) == len(edge) + 3 + 500
+    for m in (model, M.load_model(str(tmp_path / "m"))):
+        monkeypatch.setattr(type(m), "transform", lambda self, df, real=type(m).transform: asked.append(df.columns) or real(self, df))
+        assert told(C.predicted(m, rows)) == want
+        monkeypatch.undo()
+    assert asked and all("__cell" in columns for columns in asked)
+    monkeypatch.setattr(C, "MOST_CELLS", 5)                    # too many cells: row by row
+    assert told(C.predicted(model, rows)) == want
